@@ -6,7 +6,8 @@ The SQL runs unchanged in Spark and DuckDB.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from tracemill.sources.logs import spread
 
 # 2024-01-31 00:00:00 UTC, the evaluation time of every query.
 AS_OF = 1706659200
@@ -55,9 +56,9 @@ SELECT * FROM (VALUES ('proj-0', CAST(1706658600 AS BIGINT)),
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("events")
-    derived = spark.sql(LOGS_SQL)
-    return derived.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    events.createOrReplaceTempView("events")
+    return spark.sql(LOGS_SQL)
 
 
 def commits(spark: SparkSession) -> DataFrame:

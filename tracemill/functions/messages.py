@@ -84,17 +84,31 @@ def level_name(rank: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in LEVELS]), rank + 1)
 
 
-def contains_any(message: Column, keywords) -> Column:
-    text = F.lower(message)
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(k)) for k in keywords], F.lit(False))
+def contains_any(lowered: Column, keywords) -> Column:
+    """True when a lower-case message contains one of the keywords.
 
+    Takes the lower-case text as a column of its own: an inlined ``lower`` would
+    run once per keyword.
+    """
+    return reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(k)) for k in keywords], F.lit(False))
+
+
+# Separator of joined keywords; no message keyword contains a control character.
+KEYWORD_SEPARATOR = "\x01"
+
+
+def matched_keywords(lowered: Column, keywords) -> Column:
+    """Keywords found in a lower-case message, joined in list order; NULL when none.
+
+    A joined string groups and sorts cheaply and stays in generated code.
+    """
+    hits = [F.when(F.contains(lowered, F.lit(k)), F.lit(k)) for k in keywords]
+    return F.when(contains_any(lowered, keywords), F.concat_ws(KEYWORD_SEPARATOR, *hits))
 
-def matched_keywords(message: Column, keywords) -> Column:
-    """Keywords found in a message, in list order; empty array when none."""
-    text = F.lower(message)
-    hits = F.array(*[F.when(F.contains(text, F.lit(k)), F.lit(k)) for k in keywords])
+
+def split_keywords(joined: Column) -> Column:
     none = F.array().cast("array<string>")
-    return F.when(contains_any(message, keywords), F.array_compact(hits)).otherwise(none)
+    return F.when(joined != "", F.split(joined, KEYWORD_SEPARATOR)).otherwise(none)
 
 
 def extract_error_type(message: Column, meta: Column) -> Column:
@@ -103,20 +117,21 @@ def extract_error_type(message: Column, meta: Column) -> Column:
     An empty string means that the text before a leading colon was blank; it
     blocks the meta fallback and counts as no type.
     """
+    # Substring tests decide first, so the regexes and the JSON parser only see
+    # rows that can match them.
     pattern = rf"\b([A-Z][A-Za-z0-9]*(?:{'|'.join(ERROR_SUFFIXES)}))\b"
-    named = F.regexp_extract(message, unicode_aware(pattern), 1)
-    prefix = strip(F.substring_index(message, ":", 1))
-    short_prefix = (
-        F.contains(message, F.lit(":"))
-        & ~F.contains(prefix, F.lit(" "))
-        & (F.length(prefix) <= ERROR_PREFIX_CHARS)
+    may_name = reduce(lambda a, b: a | b, [F.contains(message, F.lit(x)) for x in ERROR_SUFFIXES])
+    named = F.when(
+        may_name, F.nullif(F.regexp_extract(message, unicode_aware(pattern), 1), F.lit(""))
     )
-    # Skip JSON parsing for rows that cannot hold the key.
+    head = strip(F.substring_index(message, ":", 1))
+    short = ~F.contains(head, F.lit(" ")) & (F.length(head) <= ERROR_PREFIX_CHARS)
+    prefix = F.when(F.contains(message, F.lit(":")), F.when(short, head))
     from_meta = F.when(
         F.contains(meta, F.lit("error_type")),
-        python_text(F.try_variant_get(F.try_parse_json(meta), "$.error_type", "variant")),
+        scalar_text(F.try_variant_get(F.try_parse_json(meta), "$.error_type", "variant")),
     )
-    return F.when(named != "", named).when(short_prefix, prefix).otherwise(from_meta)
+    return F.coalesce(named, prefix, from_meta)
 
 
 def resolve_service(logger: Column, component: Column, project: Column) -> Column:
@@ -144,30 +159,26 @@ def bracketed(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(items, quoted), ", "), F.lit("]"))
 
 
-def _scalar_text(value: Column) -> Column:
+def scalar_text(value: Column) -> Column:
+    """Text of a JSON scalar: ``True`` and ``None``; lists and objects stay JSON."""
     kind = F.schema_of_variant(value)
-    as_text = F.try_variant_get(value, "$", "string")
-    return F.when(kind == "BOOLEAN", F.initcap(as_text)).otherwise(as_text)
+    text = F.try_variant_get(value, "$", "string")
+    return F.when(F.is_variant_null(value), "None").otherwise(
+        F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
+    )
 
 
 def python_text(value: Column) -> Column:
-    """Text of a JSON value: ``True``, ``None``, ``['a', 1]``; objects stay JSON."""
+    """As ``scalar_text``, with lists written ``['a', 1, True]``.
+
+    Needs a lambda, which leaves generated code; keep it off the per-row path.
+    """
     kind = F.schema_of_variant(value)
 
     def element(item: Column) -> Column:
-        inner = F.schema_of_variant(item)
-        return (
-            F.when(F.is_variant_null(item), "None")
-            .when(inner == "STRING", quoted(_scalar_text(item)))
-            .when(inner.startswith("ARRAY") | inner.startswith("OBJECT"), F.to_json(item))
-            .otherwise(_scalar_text(item))
-        )
+        is_text = F.schema_of_variant(item) == "STRING"
+        return F.when(is_text, quoted(scalar_text(item))).otherwise(scalar_text(item))
 
     items = F.try_variant_get(value, "$", "array<variant>")
     as_list = F.concat(F.lit("["), F.array_join(F.transform(items, element), ", "), F.lit("]"))
-    return (
-        F.when(F.is_variant_null(value), "None")
-        .when(kind.startswith("ARRAY"), as_list)
-        .when(kind.startswith("OBJECT"), F.to_json(value))
-        .otherwise(_scalar_text(value))
-    )
+    return F.when(kind.startswith("ARRAY"), as_list).otherwise(scalar_text(value))

@@ -96,7 +96,7 @@ def text_lines(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
 
     def ordered(layer: str) -> Column:
         item = F.when(F.col("layer") == layer, F.struct("at", "line"))
-        return F.transform(F.array_sort(F.collect_list(item)), lambda x: x["line"])
+        return F.array_sort(F.collect_list(item))["line"]
 
     return needed.groupBy("correlation_id").agg(
         ordered("entry").alias("entries"), ordered("line").alias("lines")

@@ -57,19 +57,39 @@ def error_bit(name: str, failed: Column) -> Column:
 def error_text(bits: Column) -> Column:
     """Comma-separated error names, or NULL when the row or trace is valid."""
     names = [F.when(bits.bitwiseAND(bit) != 0, name) for name, bit in ROW_ERRORS.items()]
-    return F.nullif(F.concat_ws(", ", *names), F.lit(""))
+    return F.when(bits != NO_ERROR, F.concat_ws(", ", *names))
 
 
-def json_kind(text: Column) -> Column:
-    """``object``, ``null``, ``other`` for valid JSON; NULL for anything else."""
-    first = F.substring(F.ltrim(text, F.lit(" \t\r\n")), 1, 1)
-    kind = F.when(first == "{", "object").when(first == "n", "null").otherwise("other")
-    return F.when(F.try_parse_json(text).isNotNull(), kind)
+# How a JSON value other than an object or null can start, and the
+# number words that lenient readers accept.
+NON_OBJECT_START = r'^[ \t\r\n]*["\[0-9tf-]'
+NUMBER_WORDS = ("NaN", "Infinity", "-Infinity")
+
+
+def _first_char(text: Column) -> Column:
+    return F.substring(F.ltrim(text, F.lit(" \t\r\n")), 1, 1)
+
+
+def is_json_object(text: Column) -> Column:
+    return F.coalesce(
+        (_first_char(text) == "{") & F.try_parse_json(text).isNotNull(), F.lit(False)
+    )
+
+
+def is_json_non_object(text: Column) -> Column:
+    """Valid JSON that is neither an object nor null.
+
+    The first character rules out nearly every row before the parser runs.
+    """
+    first = _first_char(text)
+    possible = (first != "{") & (first != "") & text.rlike(NON_OBJECT_START)
+    other = F.when(possible, F.try_parse_json(text).isNotNull()).otherwise(False)
+    return other | F.coalesce(F.trim(text).isin(*NUMBER_WORDS), F.lit(False))
 
 
 def parse_json_column(text: Column) -> Column:
     """Key/value view of a JSON object; NULL for bad JSON and for non-objects."""
-    return F.when(json_kind(text) == "object", F.from_json(text, "map<string,variant>"))
+    return F.when(is_json_object(text), F.from_json(text, "map<string,variant>"))
 
 
 def normalize_timestamp(df: DataFrame, name: str) -> Column:
@@ -109,10 +129,6 @@ def has_request(method: Column, path: Column) -> Column:
     return F.coalesce(method != "", F.lit(False)) | F.coalesce(path != "", F.lit(False))
 
 
-def _common(level: Column) -> dict[str, Column]:
-    return {"level": level, "level_rank": M.level_rank(level)}
-
-
 def _instant_columns(parsed: Column, as_of: int) -> dict[str, Column]:
     instant = F.coalesce(parsed, F.timestamp_seconds(F.lit(as_of)))
     return {"ls_ts": instant, "ls_ts_unix": F.unix_seconds(instant), "ts_valid": parsed.isNotNull()}
@@ -121,14 +137,19 @@ def _instant_columns(parsed: Column, as_of: int) -> dict[str, Column]:
 def flat_rows(logs: DataFrame, as_of: int) -> DataFrame:
     """Canonical rows of the flat log table. ``as_of`` replaces unusable times."""
     logs = with_row_order(log_defaults(logs))
-    level = M.normalize_level(F.col("level"))
+    # Values used by several expressions are columns of their own first, so that
+    # they are computed once per row.
+    logs = logs.withColumns({
+        "canonical_level": M.normalize_level(F.col("level")), "lowered": F.lower("message"),
+    })
+    level = F.col("canonical_level")
     bits = (
         error_bit("missing_correlation_id", F.col("correlationId").isNull())
         + error_bit("invalid_level", level.isNull())
         + error_bit("missing_message", F.col("message").isNull())
         + error_bit("missing_logger", F.col("loggerName").isNull())
-        + error_bit("invalid_meta", json_kind(F.col("meta")) == "other")
-        + error_bit("invalid_exception", json_kind(F.col("exception")) == "other")
+        + error_bit("invalid_meta", is_json_non_object(F.col("meta")))
+        + error_bit("invalid_exception", is_json_non_object(F.col("exception")))
     )
     request = has_request(F.col("requestMethod"), F.col("requestPath"))
     in_batch = F.col("in_batch") if "in_batch" in logs.columns else F.lit(True)
@@ -137,9 +158,10 @@ def flat_rows(logs: DataFrame, as_of: int) -> DataFrame:
         F.col("rowSeq").alias("row_seq"),
         *[c.alias(n) for n, c in
           _instant_columns(normalize_timestamp(logs, "timestamp"), as_of).items()],
-        *[c.alias(n) for n, c in _common(level).items()],
+        level.alias("level"),
+        M.level_rank(level).alias("level_rank"),
         F.col("loggerName").alias("logger_name"),
-        "message", "meta", "exception",
+        "message", "lowered", "meta", "exception",
         bits.alias("error_bits"),
         in_batch.alias("in_batch"),
         F.col("projectId").alias("project_id"),
@@ -164,13 +186,15 @@ def nested_rows(traces: DataFrame, as_of: int) -> DataFrame:
     """Canonical rows of already nested traces; a trace without logs has none."""
     duration, status = _lax_integer(F.col("durationMs")), _lax_integer(F.col("request.statusCode"))
     rows = traces.select("*", F.posexplode("logs").alias("pos", "log")).select(
-        "*", F.col("log.timestamp").alias("log_ts")
+        "*", F.col("log.timestamp").alias("log_ts"),
+        M.normalize_level(F.col("log.level")).alias("canonical_level"),
+        F.lower("log.message").alias("lowered"),
     )
-    level = M.normalize_level(F.col("log.level"))
+    level = F.col("canonical_level")
     meta, exception = F.col("log.meta"), F.col("log.exception")
 
     def not_object(text):
-        return text.isNotNull() & ~json_kind(text).eqNullSafe("object")
+        return text.isNotNull() & ~is_json_object(text)
 
     bad_integer = (F.col("durationMs").isNotNull() & duration.isNull()) | (
         F.col("request.statusCode").isNotNull() & status.isNull()
@@ -194,9 +218,11 @@ def nested_rows(traces: DataFrame, as_of: int) -> DataFrame:
         F.col("pos").cast("bigint").alias("row_seq"),
         *[c.alias(n) for n, c in
           _instant_columns(normalize_timestamp(rows, "log_ts"), as_of).items()],
-        *[c.alias(n) for n, c in _common(level).items()],
+        level.alias("level"),
+        M.level_rank(level).alias("level_rank"),
         F.col("log.loggername").alias("logger_name"),
         F.col("log.message").alias("message"),
+        "lowered",
         meta.alias("meta"),
         exception.alias("exception"),
         bits.alias("error_bits"),

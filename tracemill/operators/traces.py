@@ -100,9 +100,7 @@ def first_seen(rows: DataFrame, value: Column, name: str) -> DataFrame:
         .agg(F.min(order_key()).alias("ord"))
     )
     ordered = F.array_sort(F.collect_list(F.struct("ord", "value")))
-    return seen.groupBy("correlation_id").agg(
-        F.transform(ordered, lambda item: item["value"]).alias(name)
-    )
+    return seen.groupBy("correlation_id").agg(ordered["value"].alias(name))
 
 
 def services_in_order(rows: DataFrame) -> DataFrame:
@@ -130,22 +128,28 @@ def _services(seen: str, first: str) -> Column:
     )
 
 
+def with_service(rows: DataFrame) -> DataFrame:
+    """Rows with their service; an empty logger falls back to the trace's fields."""
+    context = first_row_context(rows).select(
+        "correlation_id", F.col("component").alias("c"), F.col("project_name").alias("p")
+    )
+    service = M.resolve_service(F.col("logger_name"), F.col("c"), F.col("p"))
+    return rows.join(context, "correlation_id").withColumn("service", service).drop("c", "p")
+
+
 def error_types(rows: DataFrame) -> DataFrame:
     return first_seen(rows, M.extract_error_type(F.col("message"), F.col("meta")), "error_types")
 
 
 def suspicious_keywords(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Distinct keywords per trace: by log, then by their place in the list."""
-    message = F.col("message")
-    hits = rows.where(M.contains_any(message, cfg.suspicious_keywords)).select(
-        "correlation_id", *ORDER,
-        F.posexplode(M.matched_keywords(message, cfg.suspicious_keywords)).alias("i", "keyword"),
+    joined = M.matched_keywords(F.col("lowered"), cfg.suspicious_keywords)
+    hits = rows.select("correlation_id", *ORDER, joined.alias("joined")).where("joined != ''").select(
+        "correlation_id", *ORDER, F.posexplode(M.split_keywords(F.col("joined"))).alias("i", "keyword")
     )
     seen = hits.groupBy("correlation_id", "keyword").agg(F.min(F.struct(*ORDER, "i")).alias("ord"))
     ordered = F.array_sort(F.collect_list(F.struct("ord", "keyword")))
-    return seen.groupBy("correlation_id").agg(
-        F.transform(ordered, lambda item: item["keyword"]).alias("suspicious_keywords")
-    )
+    return seen.groupBy("correlation_id").agg(ordered["keyword"].alias("suspicious_keywords"))
 
 
 def level_features(rows: DataFrame) -> DataFrame:
@@ -175,7 +179,7 @@ def levels_present(bits: Column) -> Column:
     return F.array_compact(F.array(*[present[level] for level in sorted(present)]))
 
 
-def fingerprint_candidate(cfg: EngineConfig) -> Column:
+def fingerprint_candidate(suspicious: Column) -> Column:
     """Ordering key plus message; the smallest one represents the trace.
 
     First error, else first message with a keyword, else the last message. For
@@ -183,7 +187,7 @@ def fingerprint_candidate(cfg: EngineConfig) -> Column:
     """
     kind = (
         F.when(F.col("level_rank") >= M.ERROR_RANK, FIRST_ERROR)
-        .when(M.contains_any(F.col("message"), cfg.suspicious_keywords), FIRST_SUSPICIOUS)
+        .when(suspicious, FIRST_SUSPICIOUS)
         .otherwise(LAST)
     )
     direction = F.when(kind == LAST, -1).otherwise(1)
@@ -196,7 +200,8 @@ def fingerprint_candidate(cfg: EngineConfig) -> Column:
 
 
 def fingerprint_message(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
-    pick = F.min(fingerprint_candidate(cfg))
+    suspicious = M.contains_any(F.col("lowered"), cfg.suspicious_keywords)
+    pick = F.min(fingerprint_candidate(suspicious))
     return rows.groupBy("correlation_id").agg(pick["message"].alias("message"))
 
 
@@ -220,22 +225,20 @@ def signatures(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """
     message = F.col("message")
     usable = F.col("error_bits") == NO_ERROR
-    facets = {
-        "logger_name": F.col("logger_name"),
+    facets = ("logger_name", "error_type", "keywords")
+    scanned = rows.withColumns({
         "error_type": F.nullif(M.extract_error_type(message, F.col("meta")), F.lit("")),
-        "keywords": M.matched_keywords(message, cfg.suspicious_keywords),
-    }
-    prepared = rows.select(
+        "keywords": M.matched_keywords(F.col("lowered"), cfg.suspicious_keywords),
+        "critical": M.contains_any(F.col("lowered"), cfg.critical_keywords),
+    })
+    prepared = scanned.select(
         "correlation_id",
-        *[F.when(usable, col).alias(name) for name, col in facets.items()],
-        F.struct(*ORDER, *[c for c in CONTEXT]).alias("first"),
-        fingerprint_candidate(cfg).alias("pick"),
+        *[F.when(usable, F.col(name)).alias(name) for name in facets],
+        F.struct(*ORDER, *CONTEXT).alias("first"),
+        fingerprint_candidate(F.col("keywords").isNotNull()).alias("pick"),
         F.when(F.col("in_batch"), F.col("ls_ts")).alias("entered_at"),
-        F.col("in_batch"),
-        "error_bits",
-        "level_rank",
+        "in_batch", "error_bits", "level_rank", "critical",
         level_bit().alias("level_bits"),
-        M.contains_any(message, cfg.critical_keywords).alias("critical"),
     )
     return prepared.groupBy("correlation_id", *facets).agg(
         F.count("*").alias("log_count"),
@@ -276,8 +279,10 @@ def trace_features(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     bits = F.col("error_bits").bitwiseOR(
         F.when(no_project, ROW_ERRORS["missing_project"]).otherwise(NO_ERROR)
     )
-    types = F.array_distinct(F.array_compact(F.transform("seen", lambda s: s["error_type"])))
-    keywords = F.array_distinct(F.flatten(F.transform("seen", lambda s: s["keywords"])))
+    types = F.array_distinct(F.array_compact(F.col("seen.error_type")))
+    keywords = F.array_distinct(
+        M.split_keywords(F.array_join(F.col("seen.keywords"), M.KEYWORD_SEPARATOR))
+    )
     base = folded.select(
         "correlation_id",
         *[F.col(f"first.{c}").alias(c) for c in CONTEXT],

@@ -12,6 +12,9 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The keyword tests make large methods, which the JVM would only interpret;
+    # above this size Spark generates them split into small ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Lets "first n rows per trace" filter before the shuffle for any text budget in use.
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }

@@ -36,6 +36,12 @@ def scan_commits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COMMITS).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer splits than cores; else unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _bound(df: DataFrame, value):
     return F.lit(value).cast(df.schema["timestamp"].dataType)
 
