@@ -590,7 +590,7 @@ def extract_error_type(spark, sf):
 
 
 def has_suspicious_keywords(spark, sf):
-    hit = M.contains_any(F.col("lowered"), CFG.suspicious_keywords)
+    hit = M.contains_any("lowered", CFG.suspicious_keywords)
     return rows(spark, sf).select("row_seq", hit.alias("suspicious"))
 
 

@@ -63,47 +63,52 @@ def normalize_level(raw: Column) -> Column:
     """Canonical level, or NULL for anything unknown."""
 
     def lookup(name: Column) -> Column:
-        found = F.lit(None).cast("string")
-        for level in LEVELS:
-            aliases = [alias for alias, target in LEVEL_ALIASES.items() if target == level]
-            found = F.when(name.isin(aliases), level).otherwise(found)
-        return found
+        return F.coalesce(*[
+            F.when(name.isin([a for a, target in LEVEL_ALIASES.items() if target == level]), level)
+            for level in LEVELS
+        ])
 
     # The regex only runs for the few values that need trimming.
     return F.coalesce(lookup(F.lower(raw)), lookup(F.lower(strip(raw))))
 
 
 def level_rank(level: Column) -> Column:
-    rank = F.lit(None).cast("int")
-    for position, name in enumerate(LEVELS):
-        rank = F.when(level == name, position).otherwise(rank)
-    return rank
+    """Position in ``LEVELS``; NULL for an unknown level."""
+    place = F.array_position(F.array(*map(F.lit, LEVELS)), level)
+    return (F.nullif(place, F.lit(0)) - 1).cast("int")
 
 
 def level_name(rank: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in LEVELS]), rank + 1)
 
 
-def contains_any(lowered: Column, keywords) -> Column:
-    """True when a lower-case message contains one of the keywords.
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    Takes the lower-case text as a column of its own: an inlined ``lower`` would
-    run once per keyword.
+
+def contains_any(lowered: str, keywords) -> Column:
+    """True when a lower-case message column contains one of the keywords.
+
+    Takes a column, not an expression: an inlined ``lower`` would run once per
+    keyword. Written as SQL because one parsed expression is far quicker to build
+    than hundreds of column objects.
     """
-    return reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(k)) for k in keywords], F.lit(False))
+    tests = [f"contains({lowered}, {sql_text(k)})" for k in keywords]
+    return F.expr(" OR ".join(["false", *tests]))
 
 
 # Separator of joined keywords; no message keyword contains a control character.
 KEYWORD_SEPARATOR = "\x01"
 
 
-def matched_keywords(lowered: Column, keywords) -> Column:
+def matched_keywords(lowered: str, keywords) -> Column:
     """Keywords found in a lower-case message, joined in list order; NULL when none.
 
     A joined string groups and sorts cheaply and stays in generated code.
     """
-    hits = [F.when(F.contains(lowered, F.lit(k)), F.lit(k)) for k in keywords]
-    return F.when(contains_any(lowered, keywords), F.concat_ws(KEYWORD_SEPARATOR, *hits))
+    hits = [f"if(contains({lowered}, {sql_text(k)}), {sql_text(k)}, NULL)" for k in keywords]
+    joined = F.expr(f"concat_ws('{KEYWORD_SEPARATOR}', {', '.join(hits or ['NULL'])})")
+    return F.when(contains_any(lowered, keywords), joined)
 
 
 def split_keywords(joined: Column) -> Column:

@@ -32,50 +32,73 @@ def rows_of(rows: DataFrame, traces: DataFrame) -> DataFrame:
 
 
 # ---- text lines ------------------------------------------------------------
+#
+# Messages and meta entries become items of one shape, so that one pass over the
+# rows and one shuffle serve both.
 
+ENTRY, LINE = "entry", "line"
 
-def dedup_messages(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """One row per distinct line of a trace, with the place where it first occurs."""
+
+def message_items(cfg: EngineConfig) -> Column:
+    """The message of a row as a text line, keyed by its normalized form."""
     line = M.strip(F.col("message"))
+    text = line
     if cfg.tag_levels:
         tag = F.concat(F.lit("["), F.upper("level"), F.lit("] "))
-        line = F.concat(F.when(F.col("level").isin(*TAGGED_LEVELS), tag).otherwise(""), line)
+        text = F.concat(F.when(F.col("level").isin(*TAGGED_LEVELS), tag).otherwise(""), line)
+    item = F.struct(
+        F.lit(LINE).alias("layer"), M.normalize_for_dedup(F.col("message")).alias("key"),
+        F.lit(0).alias("pos"), text.alias("text"),
+    )
+    return F.when(line != "", F.array(item))
+
+
+def _showable(key: Column, value: Column) -> Column:
+    kind = F.schema_of_variant(value)
+    short = F.size(F.try_variant_get(value, "$", "array<variant>")) <= MAX_LISTED_VALUES
     return (
-        rows.where(M.strip(F.col("message")) != "")
-        .select("correlation_id", *ORDER, M.normalize_for_dedup(F.col("message")).alias("norm"),
-                line.alias("line"))
-        .groupBy("correlation_id", "norm")
-        .agg(F.min(F.struct(*ORDER, "line")).alias("first"))
-        .select("correlation_id", F.col("first.line").alias("line"),
-                F.struct(*[F.col(f"first.{c}") for c in ORDER], F.lit(0).alias("pos")).alias("at"))
+        ~F.lower(key).isin(*SKIPPED_META_KEYS)
+        & ~F.is_variant_null(value)
+        & ~kind.startswith("OBJECT")
+        & (~kind.startswith("ARRAY") | short)
     )
 
 
-def meta_context(rows: DataFrame) -> DataFrame:
-    """One ``key=value`` row per distinct usable meta key of a trace.
+def meta_items() -> Column:
+    """The usable meta entries of a row as ``key=value``, in document order.
 
-    Values that cannot be shown do not claim their key.
+    Values that cannot be shown are left out here, so they do not claim their key.
     """
-    entries = rows.select(
-        "correlation_id", *ORDER,
-        F.posexplode(parse_json_column(F.col("meta"))).alias("pos", "key", "value"),
+    entries = F.map_entries(parse_json_column(F.col("meta")))
+    usable = F.filter(entries, lambda e: _showable(e["key"], e["value"]))
+    return F.transform(usable, lambda e, i: F.struct(
+        F.lit(ENTRY).alias("layer"), e["key"].alias("key"), i.alias("pos"),
+        F.concat(e["key"], F.lit("="), M.python_text(e["value"])).alias("text"),
+    ))
+
+
+def first_items(rows: DataFrame, items: Column) -> DataFrame:
+    """The first item per (trace, layer, key), with the place where it occurs."""
+    return (
+        rows.select("correlation_id", *ORDER, F.explode(items).alias("item"))
+        .select("correlation_id", "item.layer", "item.key",
+                F.struct(*ORDER, "item.pos", "item.text").alias("at"))
+        .groupBy("correlation_id", "layer", "key")
+        .agg(F.min("at").alias("at"))
     )
-    kind = F.schema_of_variant("value")
-    listed = F.size(F.try_variant_get("value", "$", "array<variant>")) <= MAX_LISTED_VALUES
-    showable = (
-        ~F.lower("key").isin(*SKIPPED_META_KEYS)
-        & ~F.is_variant_null("value")
-        & ~kind.startswith("OBJECT")
-        & (~kind.startswith("ARRAY") | listed)
+
+
+def dedup_messages(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """One row per distinct line of a trace."""
+    return first_items(rows, message_items(cfg)).select(
+        "correlation_id", F.col("at.text").alias("line")
     )
-    line = F.concat("key", F.lit("="), M.python_text(F.col("value")))
-    return (
-        entries.where(showable)
-        .select("correlation_id", *ORDER, "pos", "key", line.alias("line"))
-        .groupBy("correlation_id", "key")
-        .agg(F.min(F.struct(*ORDER, "pos", "line")).alias("first"))
-        .select("correlation_id", F.col("first.line").alias("line"),
-                F.struct(*[F.col(f"first.{c}") for c in (*ORDER, "pos")]).alias("at"))
+
+
+def meta_context(rows: DataFrame) -> DataFrame:
+    """One ``key=value`` row per distinct usable meta key of a trace."""
+    return first_items(rows, meta_items()).select(
+        "correlation_id", F.col("at.text").alias("line")
     )
 
 
@@ -85,21 +108,20 @@ def text_lines(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     The row-number filter is applied before the shuffle too, so a trace with
     millions of distinct lines sends only the first few hundred of each task.
     """
-    both = (
-        meta_context(rows).withColumn("layer", F.lit("entry"))
-        .unionByName(dedup_messages(rows, cfg).withColumn("layer", F.lit("line")))
-    )
+    none = F.array().cast("array<struct<layer:string,key:string,pos:int,text:string>>")
+    items = F.concat(F.coalesce(message_items(cfg), none), F.coalesce(meta_items(), none))
     by_place = Window.partitionBy("correlation_id", "layer").orderBy("at")
-    needed = both.withColumn("n", F.row_number().over(by_place)).where(
-        F.col("n") <= cfg.text_lines_needed
+    needed = (
+        first_items(rows, items)
+        .withColumn("n", F.row_number().over(by_place))
+        .where(F.col("n") <= cfg.text_lines_needed)
     )
 
     def ordered(layer: str) -> Column:
-        item = F.when(F.col("layer") == layer, F.struct("at", "line"))
-        return F.array_sort(F.collect_list(item))["line"]
+        return F.array_sort(F.collect_list(F.when(F.col("layer") == layer, F.col("at"))))["text"]
 
     return needed.groupBy("correlation_id").agg(
-        ordered("entry").alias("entries"), ordered("line").alias("lines")
+        ordered(ENTRY).alias("entries"), ordered(LINE).alias("lines")
     )
 
 

@@ -127,8 +127,10 @@ def fingerprint_since(batch: DataFrame, documents: DataFrame) -> DataFrame:
         .groupBy(*key)
         .agg(F.min(F.struct(F.col("first_eligible").alias("at"), "path_key")).alias("first"))
     )
+    # Only the stored documents with a fingerprint of the batch are aggregated.
+    relevant = documents.join(first.select(*key), key, "left_semi")
     is_stored = F.col("keeper").isNotNull()
-    return first.join(stored_fingerprints(documents), key, "left").select(
+    return first.join(stored_fingerprints(relevant), key, "left").select(
         *key,
         F.when(is_stored, always()).otherwise(F.col("first.at")).alias("exists_since"),
         F.coalesce("keeper", F.col("first.at.correlation_id")).alias("keeper"),
@@ -139,8 +141,11 @@ def fingerprint_since(batch: DataFrame, documents: DataFrame) -> DataFrame:
 def pair_since(batch: DataFrame, since: DataFrame, documents: DataFrame) -> DataFrame:
     """When each (endpoint, fingerprint) becomes known, for endpoints of the batch."""
     on_path = batch.where(F.col("path_key") != "")
-    endpoints = on_path.select("project_id", "path_key").distinct()
-    stored = known_fingerprints(documents).join(endpoints, ["project_id", "path_key"], "left_semi")
+    endpoints = on_path.select(
+        "project_id", F.col("path_key").alias("request_path_pattern")
+    ).distinct()
+    relevant = documents.join(endpoints, ["project_id", "request_path_pattern"], "left_semi")
+    stored = known_fingerprints(relevant)
     inserted = F.when(F.col("insert_path") == F.col("path_key"), F.col("exists_since"))
     fresh = (
         on_path.join(since, ["project_id", "fingerprint"])

@@ -143,7 +143,7 @@ def error_types(rows: DataFrame) -> DataFrame:
 
 def suspicious_keywords(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Distinct keywords per trace: by log, then by their place in the list."""
-    joined = M.matched_keywords(F.col("lowered"), cfg.suspicious_keywords)
+    joined = M.matched_keywords("lowered", cfg.suspicious_keywords)
     hits = rows.select("correlation_id", *ORDER, joined.alias("joined")).where("joined != ''").select(
         "correlation_id", *ORDER, F.posexplode(M.split_keywords(F.col("joined"))).alias("i", "keyword")
     )
@@ -200,7 +200,7 @@ def fingerprint_candidate(suspicious: Column) -> Column:
 
 
 def fingerprint_message(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
-    suspicious = M.contains_any(F.col("lowered"), cfg.suspicious_keywords)
+    suspicious = M.contains_any("lowered", cfg.suspicious_keywords)
     pick = F.min(fingerprint_candidate(suspicious))
     return rows.groupBy("correlation_id").agg(pick["message"].alias("message"))
 
@@ -228,8 +228,8 @@ def signatures(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     facets = ("logger_name", "error_type", "keywords")
     scanned = rows.withColumns({
         "error_type": F.nullif(M.extract_error_type(message, F.col("meta")), F.lit("")),
-        "keywords": M.matched_keywords(F.col("lowered"), cfg.suspicious_keywords),
-        "critical": M.contains_any(F.col("lowered"), cfg.critical_keywords),
+        "keywords": M.matched_keywords("lowered", cfg.suspicious_keywords),
+        "critical": M.contains_any("lowered", cfg.critical_keywords),
     })
     prepared = scanned.select(
         "correlation_id",

@@ -45,11 +45,13 @@ def run_batch(
     cfg: EngineConfig = EngineConfig(),
     load_encoder: Callable | None = None,
     stage: Callable[[DataFrame, str], DataFrame] = staged,
+    trace_ids: DataFrame | None = None,
 ) -> BatchOutcome:
     """Evaluate canonical rows against the stored documents.
 
     Features and verdicts are staged: both feed several outputs, and the stages
-    after the gate should not run the row-level work again.
+    after the gate should not run the row-level work again. ``trace_ids`` may name
+    the correlation IDs of the batch where they are at hand already.
     """
     usable = Q.skip_poison(rows, quarantine, cfg)
     features = stage(trace_features(usable, cfg), "features")
@@ -68,9 +70,9 @@ def run_batch(
     new = D.checked_documents(fresh, cfg)
     repeated = D.repeats(verdicts, as_of)
     records = Q.failures(failed, as_of)
-    skipped = rows.join(Q.poisoned(quarantine, cfg), "correlation_id", "left_semi").select(
-        "correlation_id"
-    ).distinct()
+    if trace_ids is None:
+        trace_ids = rows.select("correlation_id").distinct()
+    skipped = trace_ids.join(Q.poisoned(quarantine, cfg), "correlation_id", "left_semi")
     return BatchOutcome(
         features=features,
         verdicts=verdicts,

@@ -57,8 +57,7 @@ def process_batch(
 ) -> BatchOutcome:
     """Evaluate one micro-batch against everything before it and write its tables."""
     store.write("archive", batch_id, with_row_order(log_defaults(logs)))
-    counts = batch_row_counts(store.batch("archive", batch_id).where("correlationId IS NOT NULL"))
-    store.write("seen", batch_id, counts)
+    store.write("seen", batch_id, batch_row_counts(store.batch("archive", batch_id)))
 
     outcome = run_batch(
         flat_rows(with_history(store, batch_id), as_of),
@@ -68,6 +67,9 @@ def process_batch(
         as_of,
         cfg,
         load_encoder,
+        trace_ids=store.batch("seen", batch_id).select(
+            F.col("correlationId").alias("correlation_id")
+        ),
     )
     if halt_on_failures and outcome.metrics.first()["tripped"]:
         # Each halted attempt counts, so traces that keep failing end up skipped.

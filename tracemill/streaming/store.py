@@ -40,6 +40,10 @@ class TraceStore:
         for name in TABLES:
             empty = self.spark.createDataFrame([], self._schema(name))
             empty.write.mode("ignore").partitionBy("batch_id").parquet(self._path(name))
+        documents = T.StructType([*self._schema("documents"), T.StructField("upto", S.LONG)])
+        self.spark.createDataFrame([], documents).write.mode("ignore").partitionBy(
+            "upto"
+        ).parquet(self._path("snapshots"))
         return self
 
     def _path(self, name: str) -> str:
@@ -82,25 +86,53 @@ class TraceStore:
     def batch(self, name: str, batch_id: int) -> DataFrame:
         return self.read(name).where(F.col("batch_id") == batch_id).drop("batch_id")
 
+    def compact(self, upto: int) -> None:
+        """Fold finished batches into one snapshot that later reads start from.
+
+        Call it between batches; ``upto`` must be a committed batch.
+        """
+        folded = self.documents(before=upto + 1).withColumn("batch_id", F.lit(upto))
+        folder = f"{self._path('snapshots')}/upto={upto}"
+        folded.hint("rebalance", "project_id").write.mode("overwrite").partitionBy(
+            "project_id"
+        ).parquet(folder)
+
+    def _snapshot(self, before: int | None) -> tuple[DataFrame, int]:
+        """The latest usable snapshot and the batch it reaches; -1 without one."""
+        schema = T.StructType([*self._schema("documents"), T.StructField("upto", S.LONG)])
+        table = self.spark.read.schema(schema).parquet(self._path("snapshots"))
+        if before is not None:
+            table = table.where(F.col("upto") < before)
+        upto = table.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
+        return table.where(F.col("upto") == upto).drop("upto"), upto
+
     def committed(self) -> DataFrame:
         """Finished batches; ``metrics`` is written last."""
         return self.read("metrics")
 
     def live_documents(self, before: int | None = None) -> DataFrame:
         """Stored documents that no later batch removed, counts as first written."""
-        documents = self.read("documents", before)
+        snapshot, upto = self._snapshot(before)
+        return self._live(snapshot, upto, before)
+
+    def _live(self, snapshot: DataFrame, upto: int, before: int | None) -> DataFrame:
+        documents = snapshot.unionByName(self._since("documents", upto, before))
         last_removed = (
-            self.read("removed", before)
+            self._since("removed", upto, before)
             .groupBy(*DOCUMENT_KEY)
             .agg(F.max("batch_id").alias("removed_in"))
         )
         gone = F.coalesce(F.col("removed_in") > F.col("batch_id"), F.lit(False))
         return documents.join(last_removed, DOCUMENT_KEY, "left").where(~gone).drop("removed_in")
 
+    def _since(self, name: str, upto: int, before: int | None) -> DataFrame:
+        return self.read(name, before).where(F.col("batch_id") > upto)
+
     def documents(self, before: int | None = None) -> DataFrame:
         """Live documents with their occurrence counts."""
-        live = self.live_documents(before)
-        repeats = self.read("repeats", before).withColumnRenamed("batch_id", "repeated_in")
+        snapshot, upto = self._snapshot(before)
+        live = self._live(snapshot, upto, before)
+        repeats = self._since("repeats", upto, before).withColumnRenamed("batch_id", "repeated_in")
         # Repeats of a document that was replaced later do not carry over.
         counted = (
             live.select(*DOCUMENT_KEY, "batch_id")
