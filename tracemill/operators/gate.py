@@ -24,6 +24,7 @@ from tracemill.config import EngineConfig
 from tracemill.functions.messages import bracketed
 from tracemill.functions.traces import FAILED_OUTCOMES
 from tracemill.operators.counting import count_before
+from tracemill.session import staged
 
 PROMOTE, DROP = "PROMOTE", "DROP"
 DROP_REASON = "healthy_traffic — no promotion criteria met"
@@ -167,10 +168,17 @@ def baselines(pairs: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
 
-def history(batch: DataFrame, documents: DataFrame, cfg: EngineConfig) -> tuple[DataFrame, DataFrame]:
-    """One row of moments per triple of the batch, and the known pairs."""
+def history(
+    traces: DataFrame, documents: DataFrame, cfg: EngineConfig, stage=staged
+) -> tuple[DataFrame, DataFrame]:
+    """One row of moments per triple of the batch, and the known pairs.
+
+    Triples and pairs are staged: each is read several times, and both are far
+    smaller than the trace table they come from.
+    """
+    batch = stage(triples(traces), "triples")
     since = fingerprint_since(batch, documents)
-    pairs = pair_since(batch, since, documents)
+    pairs = stage(pair_since(batch, since, documents), "pairs")
     moments = (
         batch.select(*TRIPLE)
         .join(since.drop("insert_path"), ["project_id", "fingerprint"], "left")
@@ -281,7 +289,7 @@ def gatekeeper(
 ) -> DataFrame:
     """Verdicts of valid traces against the stored documents."""
     traces = candidates(features, commits, as_of, cfg)
-    moments, _ = history(triples(traces), documents, cfg)
+    moments, _ = history(traces, documents, cfg)
     return evaluate(traces, moments, cfg)
 
 

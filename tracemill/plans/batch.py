@@ -61,7 +61,7 @@ def run_batch(
     kept = D.delete_by_cid(documents, removed)
 
     traces = G.candidates(valid, commits, as_of, cfg)
-    moments, pairs = G.history(G.triples(traces), kept, cfg)
+    moments, pairs = G.history(traces, kept, cfg, stage)
     verdicts = stage(G.explain_new(G.evaluate(traces, moments, cfg), pairs), "verdicts")
 
     fresh = embed_documents(
