@@ -23,7 +23,6 @@ from tracemill.operators import gate as G
 from tracemill.operators import quarantine as Q
 from tracemill.operators import rows as R
 from tracemill.operators import traces as O
-from tracemill.operators.embed import embed_documents
 from tracemill.operators.metrics import promotion_rate
 from tracemill.plans.batch import BatchOutcome, prepare_documents, run_batch
 from tracemill.session import apply_settings, shared_dir, staged
@@ -762,9 +761,7 @@ def idempotent_replay(spark, sf):
 
 
 def embeddings(spark, sf):
-    outcome = whole(spark, sf)
-    texts = D.semantic_text(D.inserted_only(outcome.verdicts), rows(spark, sf), CFG)
-    vectors = embed_documents(texts.select("correlation_id", "semantic_text"), CFG)
+    vectors = whole(spark, sf).new_documents
     squares = F.aggregate(
         "embedding", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")
     )

@@ -49,6 +49,6 @@ def normalize_request_path(path: Column) -> Column:
 
 
 def trace_fingerprint(services: Column, max_level: Column, message: Column) -> Column:
-    flow = F.array_join(F.array_sort(F.array_distinct(services)), SERVICE_ARROW)
+    flow = F.array_join(F.sort_array(F.array_distinct(services)), SERVICE_ARROW)
     raw = F.concat_ws("|", flow, max_level, normalize_message(message))
     return F.concat(F.lit(FINGERPRINT_PREFIX), F.upper(F.substring(F.md5(raw), 1, 8)))

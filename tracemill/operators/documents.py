@@ -118,7 +118,7 @@ def text_lines(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
     def ordered(layer: str) -> Column:
-        return F.array_sort(F.collect_list(F.when(F.col("layer") == layer, F.col("at"))))["text"]
+        return F.sort_array(F.collect_list(F.when(F.col("layer") == layer, F.col("at"))))["text"]
 
     return needed.groupBy("correlation_id").agg(
         ordered(ENTRY).alias("entries"), ordered(LINE).alias("lines")
@@ -126,9 +126,9 @@ def text_lines(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def semantic_text(traces: DataFrame, rows: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """``traces`` with their ``semantic_text``; ``rows`` may hold other traces too."""
+    """``traces`` with their ``semantic_text``; ``rows`` are the rows of these traces."""
     none = F.array().cast("array<string>")
-    lines = text_lines(rows_of(rows, traces), cfg)
+    lines = text_lines(rows, cfg)
     layers = [
         X.http_operation(F.col("request_method"), F.col("request_path_pattern"),
                          F.col("request_path"), F.col("duration_ms")),

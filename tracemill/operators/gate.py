@@ -31,6 +31,7 @@ DROP_REASON = "healthy_traffic — no promotion criteria met"
 INSERT, REPEAT, NONE = "insert", "repeat", "none"
 
 TRIPLE = ("project_id", "path_key", "fingerprint")
+VERDICT_KEY = ("project_id", "correlation_id", "entered_at", "fingerprint")
 
 
 def moment() -> Column:
@@ -44,6 +45,14 @@ def always() -> Column:
     return F.struct(early.alias("entered_at"), F.lit("").alias("correlation_id"))
 
 
+def gate_inputs(features: DataFrame) -> DataFrame:
+    """The columns of the trace features that verdicts depend on."""
+    return features.select(
+        *VERDICT_KEY, "request_path_pattern", "outcome", "severity_score", "has_errors",
+        "error_types", "suspicious_keywords", "is_merge", "error",
+    )
+
+
 # ---- history-free tiers ----------------------------------------------------
 
 
@@ -94,7 +103,11 @@ def known_fingerprints(documents: DataFrame) -> DataFrame:
 
 
 def candidates(features: DataFrame, commits: DataFrame, as_of: int, cfg: EngineConfig) -> DataFrame:
-    """Valid traces with the tier that needs no history and the eligibility flag."""
+    """What the gate needs of each valid trace, and no more.
+
+    ``own_tier`` is the tier that needs no history, ``eligible`` says whether the
+    trace is promoted whenever its fingerprint is new to the project.
+    """
     projects = deployed_projects(commits, as_of, cfg)
     joined = features.join(projects, "project_id", "left").withColumn(
         "in_deploy", F.coalesce("in_deploy", F.lit(False))
@@ -102,10 +115,14 @@ def candidates(features: DataFrame, commits: DataFrame, as_of: int, cfg: EngineC
     has_path = F.col("request_path_pattern").isNotNull()
     relaxed = F.col("in_deploy") & (F.col("outcome") != "success")
     return joined.select(
-        "*",
+        *VERDICT_KEY, "outcome", "severity_score", "error_types", "suspicious_keywords",
+        "is_merge", "in_deploy",
         F.coalesce(F.col("request_path_pattern"), F.lit("")).alias("path_key"),
         F.coalesce(severity_tier(cfg), content_tier()).alias("own_tier"),
-    ).withColumn("eligible", F.col("own_tier").isNotNull() | has_path | relaxed)
+        "request_path_pattern",
+    ).withColumn("eligible", F.col("own_tier").isNotNull() | has_path | relaxed).drop(
+        "request_path_pattern"
+    )
 
 
 def triples(traces: DataFrame) -> DataFrame:
@@ -164,7 +181,7 @@ def baselines(pairs: DataFrame, cfg: EngineConfig) -> DataFrame:
         pairs.withColumn("nth", F.row_number().over(by_moment))
         .where(F.col("nth") <= cfg.cold_start_baseline_count)
         .groupBy("project_id", "path_key")
-        .agg(F.array_sort(F.collect_list("known_since")).alias("baseline"))
+        .agg(F.sort_array(F.collect_list("known_since")).alias("baseline"))
     )
 
 
@@ -274,9 +291,8 @@ def evaluate(traces: DataFrame, moments: DataFrame, cfg: EngineConfig) -> DataFr
     promoted = F.col("tier") != "default"
     repeat = ~F.col("is_merge") & before_now("exists_since")
     operation = F.when(~promoted, NONE).when(repeat, REPEAT).otherwise(INSERT)
-    kept = [c for c in traces.columns if c not in ("own_tier", "eligible")]
     return judged.select(
-        *kept, "tier",
+        *VERDICT_KEY, "path_key", "is_merge", "tier",
         F.when(promoted, PROMOTE).otherwise(DROP).alias("action"),
         reason_text(cfg).alias("reason"),
         operation.alias("operation"),
@@ -294,18 +310,22 @@ def gatekeeper(
 
 
 def explain_new(verdicts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Add the number of known fingerprints to the reasons of tier 3."""
-    fresh = verdicts.where(F.col("tier") == "tier3_new_fingerprint").select(
-        "project_id", "path_key", "correlation_id", "entered_at"
-    )
+    """Add the number of known fingerprints to the reasons of tier 3.
+
+    Only those rows are joined; the others pass through.
+    """
+    is_fresh = F.col("tier") == "tier3_new_fingerprint"
+    fresh = verdicts.where(is_fresh)
     counted = count_before(
-        fresh, pairs.select("project_id", "path_key", "known_since"),
+        fresh.select("project_id", "path_key", "correlation_id", "entered_at"),
+        pairs.select("project_id", "path_key", "known_since"),
         ["project_id", "path_key"], "known_since",
     ).select("project_id", "correlation_id", "known")
     suffix = F.format_string(" (known: %d fingerprints)", "known")
-    return verdicts.join(counted, ["project_id", "correlation_id"], "left").withColumn(
-        "reason", F.concat("reason", F.when(F.col("known").isNotNull(), suffix).otherwise(""))
-    ).drop("known")
+    explained = fresh.join(counted, ["project_id", "correlation_id"]).withColumn(
+        "reason", F.concat("reason", suffix)
+    )
+    return verdicts.where(~is_fresh).unionByName(explained.select(*verdicts.columns))
 
 
 def dropped_only(verdicts: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def first_seen(rows: DataFrame, value: Column, name: str) -> DataFrame:
         .groupBy("correlation_id", "value")
         .agg(F.min(order_key()).alias("ord"))
     )
-    ordered = F.array_sort(F.collect_list(F.struct("ord", "value")))
+    ordered = F.sort_array(F.collect_list(F.struct("ord", "value")))
     return seen.groupBy("correlation_id").agg(ordered["value"].alias(name))
 
 
@@ -110,7 +110,7 @@ def services_in_order(rows: DataFrame) -> DataFrame:
         .groupBy("correlation_id")
         .agg(
             F.min("first").alias("first"),
-            F.array_sort(F.collect_list(F.struct(F.col("first").alias("ord"), "logger_name")))
+            F.sort_array(F.collect_list(F.struct(F.col("first").alias("ord"), "logger_name")))
             .alias("seen"),
         )
     )
@@ -148,7 +148,7 @@ def suspicious_keywords(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
         "correlation_id", *ORDER, F.posexplode(M.split_keywords(F.col("joined"))).alias("i", "keyword")
     )
     seen = hits.groupBy("correlation_id", "keyword").agg(F.min(F.struct(*ORDER, "i")).alias("ord"))
-    ordered = F.array_sort(F.collect_list(F.struct("ord", "keyword")))
+    ordered = F.sort_array(F.collect_list(F.struct("ord", "keyword")))
     return seen.groupBy("correlation_id").agg(ordered["keyword"].alias("suspicious_keywords"))
 
 
@@ -216,6 +216,9 @@ def validate_traces(rows: DataFrame) -> DataFrame:
 
 # ---- all features at once --------------------------------------------------
 
+# The part of the context that documents need; the rest stays out of the shuffle.
+CARRIED = tuple(c for c in CONTEXT if c not in ("started_at", "ended_at"))
+
 
 def signatures(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Rows folded by (trace, logger, error type, keywords).
@@ -234,7 +237,7 @@ def signatures(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     prepared = scanned.select(
         "correlation_id",
         *[F.when(usable, F.col(name)).alias(name) for name in facets],
-        F.struct(*ORDER, *CONTEXT).alias("first"),
+        F.struct(*ORDER, *CARRIED).alias("first"),
         fingerprint_candidate(F.col("keywords").isNotNull()).alias("pick"),
         F.when(F.col("in_batch"), F.col("ls_ts")).alias("entered_at"),
         "in_batch", "error_bits", "level_rank", "critical",
@@ -272,7 +275,7 @@ def trace_features(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
             F.coalesce(F.max("level_rank"), F.lit(0)).alias("level_rank"),
             F.bit_or("level_bits").alias("level_bits"),
             _any(F.col("critical")).alias("critical"),
-            F.array_sort(F.collect_list(seen)).alias("seen"),
+            F.sort_array(F.collect_list(seen)).alias("seen"),
         )
     )
     no_project = F.col("first.project_id").isNull()
@@ -285,7 +288,7 @@ def trace_features(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
     base = folded.select(
         "correlation_id",
-        *[F.col(f"first.{c}").alias(c) for c in CONTEXT],
+        *[F.col(f"first.{c}").alias(c) for c in CARRIED],
         "log_count",
         F.col("first.ls_ts").alias("first_ts"),
         F.unix_seconds("first.ls_ts").alias("timestamp_unix"),

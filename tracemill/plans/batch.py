@@ -49,25 +49,27 @@ def run_batch(
 ) -> BatchOutcome:
     """Evaluate canonical rows against the stored documents.
 
-    Features and verdicts are staged: both feed several outputs, and the stages
-    after the gate should not run the row-level work again. ``trace_ids`` may name
-    the correlation IDs of the batch where they are at hand already.
+    The first pass over the rows keeps only what verdicts need. Most traces are
+    dropped or are repeats, so the second pass, which builds documents, takes the
+    rows of the inserted traces alone. Staged tables feed several outputs each.
+    ``trace_ids`` may name the correlation IDs of the batch where they are at
+    hand already.
     """
     usable = Q.skip_poison(rows, quarantine, cfg)
-    features = stage(trace_features(usable, cfg), "features")
-    valid, failed = valid_traces(features), failed_traces(features)
+    features = trace_features(usable, cfg)
+    judged = stage(G.gate_inputs(features), "traces")
+    valid, failed = valid_traces(judged), failed_traces(judged)
 
     removed = valid.where("is_merge").select(*D.DOCUMENT_KEY)
     kept = D.delete_by_cid(documents, removed)
 
     traces = G.candidates(valid, commits, as_of, cfg)
     moments, pairs = G.history(traces, kept, cfg, stage)
-    verdicts = stage(G.explain_new(G.evaluate(traces, moments, cfg), pairs), "verdicts")
+    verdicts = stage(G.evaluate(traces, moments, cfg), "verdicts")
 
-    fresh = embed_documents(
-        D.trace_documents(D.inserted_only(verdicts), usable, cfg), cfg, load_encoder
-    )
-    new = D.checked_documents(fresh, cfg)
+    wanted = stage(D.rows_of(usable, D.inserted_only(verdicts)), "rows")
+    fresh = D.trace_documents(valid_traces(trace_features(wanted, cfg)), wanted, cfg)
+    new = D.checked_documents(embed_documents(fresh, cfg, load_encoder), cfg)
     repeated = D.repeats(verdicts, as_of)
     records = Q.failures(failed, as_of)
     if trace_ids is None:
@@ -75,7 +77,7 @@ def run_batch(
     skipped = trace_ids.join(Q.poisoned(quarantine, cfg), "correlation_id", "left_semi")
     return BatchOutcome(
         features=features,
-        verdicts=verdicts,
+        verdicts=G.explain_new(verdicts, pairs),
         failures=records,
         removed=removed,
         new_documents=new,

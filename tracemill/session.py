@@ -15,6 +15,8 @@ RECOMMENDED = {
     # The keyword tests make large methods, which the JVM would only interpret;
     # above this size Spark generates them split into small ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Traces per task kept in hash maps before an aggregate with lists starts to sort.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
     # Lets "first n rows per trace" filter before the shuffle for any text budget in use.
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
