@@ -19,6 +19,10 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        # On a handful of rows, compiling plans takes far longer than running them.
+        # The comparison with DuckDB switches generated code on again.
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
@@ -28,6 +32,17 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def generated_code(spark):
+    interpreted = {"spark.sql.codegen.wholeStage": "false",
+                   "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK")
+    yield
+    for key, value in interpreted.items():
+        spark.conf.set(key, value)
+
+
 @pytest.fixture(scope="session")
 def sf():
     return SF
