@@ -114,16 +114,12 @@ def raw_traces(spark: SparkSession, sf: str) -> DataFrame:
     return L.scan_raw_traces(spark, path)
 
 
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def evaluate(
     spark: SparkSession, canonical: DataFrame, documents: DataFrame | None = None
 ) -> BatchOutcome:
-    stored = documents if documents is not None else empty(spark, S.DOCUMENTS)
+    stored = documents if documents is not None else S.empty_table(spark, S.DOCUMENTS)
     return run_batch(
-        canonical, stored, fixtures.commits(spark), empty(spark, S.QUARANTINE), AS_OF, CFG
+        canonical, stored, fixtures.commits(spark), S.empty_table(spark, S.QUARANTINE), AS_OF, CFG
     )
 
 
@@ -558,7 +554,7 @@ def gate_default(spark, sf):
 def gatekeeper(spark, sf):
     features = staged(O.trace_features(rows(spark, sf), CFG), "features")
     verdicts = G.gatekeeper(
-        O.valid_traces(features), empty(spark, S.DOCUMENTS), fixtures.commits(spark), AS_OF, CFG
+        O.valid_traces(features), S.empty_table(spark, S.DOCUMENTS), fixtures.commits(spark), AS_OF, CFG
     )
     return verdicts.select("correlation_id", "project_id", "action", "tier", "operation")
 

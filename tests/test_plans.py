@@ -34,7 +34,7 @@ def stages(spark, sf):
 
     outcome = run_batch(
         Q.rows(spark, sf), Q.stored_documents(spark, sf), fixtures.commits(spark),
-        Q.empty(spark, Q.S.QUARANTINE), AS_OF, CFG, stage=stage,
+        Q.S.empty_table(spark, Q.S.QUARANTINE), AS_OF, CFG, stage=stage,
     )
     for name in ("new_documents", "documents", "metrics", "repeats", "verdicts", "quarantine"):
         plans[name] = plan(getattr(outcome, name))

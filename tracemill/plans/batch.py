@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -16,18 +17,7 @@ from tracemill.operators.metrics import batch_metrics
 from tracemill.operators.traces import failed_traces, trace_features, valid_traces
 from tracemill.session import staged
 
-
-@dataclass(frozen=True)
-class BatchOutcome:
-    features: DataFrame
-    verdicts: DataFrame
-    failures: DataFrame
-    removed: DataFrame
-    new_documents: DataFrame
-    repeats: DataFrame
-    documents: DataFrame
-    quarantine: DataFrame
-    metrics: DataFrame
+Stage = Callable[[DataFrame, str], DataFrame]
 
 
 def prepare_documents(rows: DataFrame, cfg: EngineConfig | None = None) -> DataFrame:
@@ -36,6 +26,83 @@ def prepare_documents(rows: DataFrame, cfg: EngineConfig | None = None) -> DataF
     return D.trace_documents(valid_traces(trace_features(rows, cfg)), rows, cfg)
 
 
+@dataclass(frozen=True)
+class BatchOutcome:
+    """Results of a batch. Each is planned when it is first asked for."""
+
+    rows: DataFrame
+    kept: DataFrame
+    quarantined: DataFrame
+    trace_ids: DataFrame | None
+    traces: DataFrame
+    pairs: DataFrame
+    decided: DataFrame
+    as_of: int
+    cfg: EngineConfig
+    load_encoder: Callable | None
+    stage: Stage
+
+    @cached_property
+    def usable(self) -> DataFrame:
+        return Q.skip_poison(self.rows, self.quarantined, self.cfg)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        """All features of all traces, valid or not."""
+        return trace_features(self.usable, self.cfg)
+
+    @cached_property
+    def verdicts(self) -> DataFrame:
+        return G.explain_new(self.decided, self.pairs)
+
+    @cached_property
+    def removed(self) -> DataFrame:
+        """Keys of the documents that re-evaluated traces replace."""
+        return valid_traces(self.traces).where("is_merge").select(*D.DOCUMENT_KEY)
+
+    @cached_property
+    def new_documents(self) -> DataFrame:
+        """Documents of the inserted traces.
+
+        Most traces are dropped or are repeats, so this second pass over the
+        rows takes those of the inserted traces alone.
+        """
+        inserted = D.inserted_only(self.decided)
+        wanted = self.stage(D.rows_of(self.usable, inserted), "rows")
+        fresh = D.trace_documents(
+            valid_traces(trace_features(wanted, self.cfg)), wanted, self.cfg
+        )
+        return D.checked_documents(
+            embed_documents(fresh, self.cfg, self.load_encoder), self.cfg
+        )
+
+    @cached_property
+    def repeats(self) -> DataFrame:
+        return D.repeats(self.decided, self.as_of)
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        """The stored documents after the batch."""
+        return D.increment_occurrence(D.upsert(self.kept, self.new_documents), self.repeats)
+
+    @cached_property
+    def failures(self) -> DataFrame:
+        return Q.failures(failed_traces(self.traces), self.as_of)
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        """The quarantine after the batch."""
+        return Q.record_failures(self.quarantined, self.failures, self.cfg)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        ids = self.trace_ids
+        if ids is None:
+            ids = self.rows.select("correlation_id").distinct()
+        skipped = ids.join(Q.poisoned(self.quarantined, self.cfg), "correlation_id", "left_semi")
+        return batch_metrics(self.decided, failed_traces(self.traces), skipped, self.cfg)
+
+
 def run_batch(
     rows: DataFrame,
     documents: DataFrame,
@@ -44,45 +111,22 @@ def run_batch(
     as_of: int,
     cfg: EngineConfig = EngineConfig(),
     load_encoder: Callable | None = None,
-    stage: Callable[[DataFrame, str], DataFrame] = staged,
+    stage: Stage = staged,
     trace_ids: DataFrame | None = None,
 ) -> BatchOutcome:
     """Evaluate canonical rows against the stored documents.
 
-    The first pass over the rows keeps only what verdicts need. Most traces are
-    dropped or are repeats, so the second pass, which builds documents, takes the
-    rows of the inserted traces alone. Staged tables feed several outputs each.
-    ``trace_ids`` may name the correlation IDs of the batch where they are at
-    hand already.
+    The first pass over the rows keeps only what verdicts need. Staged tables
+    feed several outputs each. ``trace_ids`` may name the correlation IDs of the
+    batch where they are at hand already.
     """
     usable = Q.skip_poison(rows, quarantine, cfg)
-    features = trace_features(usable, cfg)
-    judged = stage(G.gate_inputs(features), "traces")
-    valid, failed = valid_traces(judged), failed_traces(judged)
-
-    removed = valid.where("is_merge").select(*D.DOCUMENT_KEY)
-    kept = D.delete_by_cid(documents, removed)
-
+    judged = stage(G.gate_inputs(trace_features(usable, cfg)), "traces")
+    valid = valid_traces(judged)
+    kept = D.delete_by_cid(documents, valid.where("is_merge"))
     traces = G.candidates(valid, commits, as_of, cfg)
     moments, pairs = G.history(traces, kept, cfg, stage)
-    verdicts = stage(G.evaluate(traces, moments, cfg), "verdicts")
-
-    wanted = stage(D.rows_of(usable, D.inserted_only(verdicts)), "rows")
-    fresh = D.trace_documents(valid_traces(trace_features(wanted, cfg)), wanted, cfg)
-    new = D.checked_documents(embed_documents(fresh, cfg, load_encoder), cfg)
-    repeated = D.repeats(verdicts, as_of)
-    records = Q.failures(failed, as_of)
-    if trace_ids is None:
-        trace_ids = rows.select("correlation_id").distinct()
-    skipped = trace_ids.join(Q.poisoned(quarantine, cfg), "correlation_id", "left_semi")
+    decided = stage(G.evaluate(traces, moments, cfg), "verdicts")
     return BatchOutcome(
-        features=features,
-        verdicts=G.explain_new(verdicts, pairs),
-        failures=records,
-        removed=removed,
-        new_documents=new,
-        repeats=repeated,
-        documents=D.increment_occurrence(D.upsert(kept, new), repeated),
-        quarantine=Q.record_failures(quarantine, records, cfg),
-        metrics=batch_metrics(verdicts, failed, skipped, cfg),
+        rows, kept, quarantine, trace_ids, judged, pairs, decided, as_of, cfg, load_encoder, stage
     )

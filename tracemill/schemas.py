@@ -1,5 +1,6 @@
 """Table schemas."""
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 STR, INT, LONG, BOOL, TS = (
@@ -45,3 +46,9 @@ QUARANTINE = table(correlation_id=STR, count=LONG, last_error=STR, first_seen=TS
 FAILURES = table(correlation_id=STR, error=STR, seen=TS)
 REMOVED = table(project_id=STR, correlation_id=STR)
 REPEATS = table(project_id=STR, correlation_id=STR, n=LONG, seen=LONG)
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A table known to be empty, so the optimizer drops the joins with it."""
+    columns = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
+    return spark.sql(f"SELECT {', '.join(columns)} WHERE false")
