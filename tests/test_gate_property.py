@@ -104,7 +104,8 @@ def test_set_form_equals_sequence(spark, baseline, seed):
     verdicts = G.explain_new(G.evaluate(traces, moments, cfg), pairs).cache()
     got = {r.correlation_id: r for r in verdicts.collect()}
     new = verdicts.where("operation = 'insert'").selectExpr(
-        "project_id", "correlation_id", "fingerprint", "request_path_pattern",
+        "project_id", "correlation_id", "fingerprint",
+        "nullif(path_key, '') AS request_path_pattern",
         "1L AS occurrence_count", "0L AS last_seen", "entered_at",
     )
     after = D.increment_occurrence(D.upsert(documents, new), D.repeats(verdicts, AS_OF))
