@@ -68,16 +68,18 @@ def _text_groups(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", bits: int = 16,
           max_docs: int = 20_000, seed: int = 7, smoothing: float = 0.1) -> LanguageModel:
-    """Fit on at most `max_docs` labelled rows, those whose text hashes lowest.
+    """Fit on about `max_docs` distinct labelled texts, those whose hashes are lowest.
 
     The bound is part of the interface: it keeps the training cost the same at every size.
-    Counting runs in tasks; one row per language and filled bucket reaches the driver, at
-    most 2**bits times the number of languages.
+    The share of the hash range that holds so many rows follows from the number of labelled
+    rows, so that every task picks its own; copies meet in a partial aggregation. Counting
+    runs in tasks; one row per language and filled bucket reaches the driver, at most 2**bits
+    times the number of languages.
     """
-    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(text), F.lit(seed)).alias("at")
-    )
-    rows = rows.orderBy("at", "lang").limit(max_docs).repartition(16, "at").select("text", "lang")
+    labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    share = min(1.0, max_docs / max(1, labelled.count()))
+    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(text), F.lit(seed)).alias("at"))
+    rows = rows.where(F.col("at") / 2.0**64 + 0.5 <= share).dropDuplicates(["text", "lang"]).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

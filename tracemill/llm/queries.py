@@ -7,7 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracemill.llm import language_id, substring_dedup
+from tracemill.llm import (
+    chat,
+    decontamination,
+    html_extract,
+    language_id,
+    nearest,
+    ngram_join,
+    packing,
+    substring_dedup,
+    token_counts,
+    url_filter,
+)
+
+#: The rules of the URL query.
+URL_RULES = (
+    url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
+    url_filter.Rule("block", "example.com/de/"), url_filter.Rule("allow", "org/fr/"),
+)
+#: A conversation whose texts hold what templates are made of.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +40,45 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), ids=False)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, model, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], said.schema)
+    formatted = chat.conversations(chat.thread(said.union(control)))
+    turns = F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = formatted.select(
+        F.col("tree").alias("conv_id"), "formatted", F.array_join(turns, "").alias("turns"),
+        F.size(chat.read_turns(F.col("formatted"))).cast("long").alias("n_turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    )
+    return read.select(
+        "conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", language_id.held_out(F.col("doc_id")).alias("held_out")
@@ -31,9 +89,26 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, html_extract.train()).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontamination": op2_decontamination,
+    "op3_packing": op3_packing,
+    "op4_url_filter": op4_url_filter,
+    "op5_nearest": op5_nearest,
+    "op6_chat": op6_chat,
+    "op7_ngram_join": op7_ngram_join,
     "op8_language_id": op8_language_id,
+    "op9_html_extract": op9_html_extract,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
@@ -60,4 +135,19 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
                sha256(coalesce(text, '')) AS kept_sha256
         FROM lists LEFT JOIN kept USING (doc_id)""",
+    "op6_chat": r"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        sized AS (
+            SELECT *, 22 + sum_of.role_size + sum_of.text_size AS size FROM said, LATERAL (
+                SELECT length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')) AS role_size,
+                       length(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')) AS text_size) AS sum_of)
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(size)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id""",
 }
