@@ -4,8 +4,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.oracle import oracles
+from catalog.queries import registered
 
-QUERIES, EXPECTED = queries(), oracle_sql()
+QUERIES, EXPECTED = registered(), oracles()
 SPARK_TO_DUCKDB = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN",
                    "double": "DOUBLE"}
 
@@ -19,6 +21,7 @@ def duck(sf):
 
 def test_every_query_has_an_expectation():
     assert set(QUERIES) == set(EXPECTED)
+    assert set(QUERIES) <= set(queries()) and set(EXPECTED) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
