@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracemill.sources.logs import spread
-
 # 2024-01-31 00:00:00 UTC, the evaluation time of every query.
 AS_OF = 1706659200
 
@@ -27,11 +25,15 @@ SELECT event_id AS rowSeq,
   CASE WHEN event_type = 'error' AND k < 40
          THEN 'TimeoutError: upstream 10.0.0.' || CAST(k AS STRING) || ':8080 silent for '
               || CAST(event_id AS STRING) || ' ms at 0x' || CAST(1000 + k AS STRING)
+       WHEN user_id = 7 AND event_type <> 'error'
+         THEN 'req-' || CAST(event_id AS STRING) || 'x: step done'
+       WHEN k = 52 THEN repeat('long dump of state ', 150) || CAST(event_id AS STRING)
        WHEN k = 50 THEN 'Retrying call ' || CAST(event_id AS STRING) || ', fallback used'
        WHEN k = 51 THEN '12:30 clock tick'
        ELSE 'User ' || CAST(user_id AS STRING) || ' did ' || event_type END AS message,
   CASE WHEN event_id % 997 = 0 THEN '[1]' WHEN event_id % 5 = 0 THEN props
        WHEN event_id % 5 = 1 THEN 'not json'
+       WHEN event_id % 25 = 3 THEN '{"items":["a",1,true,null],"many":[1,2,3,4,5,6,7],"nested":{"x":[1]},"empty":[],"none":null}'
        WHEN event_id % 5 = 2 THEN '{"order":"A-' || CAST(k AS STRING) || '","flag":true}' END
     AS meta,
   CAST(NULL AS STRING) AS exception,
@@ -48,18 +50,23 @@ SELECT event_id AS rowSeq,
 FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events) e
 """
 
-COMMITS_SQL = """
-SELECT * FROM (VALUES ('proj-0', CAST(1706658600 AS BIGINT)),
-                      ('proj-0', CAST(1706000000 AS BIGINT)),
-                      ('proj-1', CAST(1706650000 AS BIGINT))) AS t(project_id, timestamp_unix)
+# One project with commits up to the evaluation time, one with older commits only.
+COMMITS_SQL = f"""
+SELECT 'proj-' || CAST(user_id % 3 AS STRING) AS project_id,
+  CAST({AS_OF} - (user_id % 3) * 7200 - 60 * (event_id % 500) AS BIGINT) AS timestamp_unix
+FROM events WHERE user_id % 3 < 2 AND event_id % 10 = 0
 """
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    events.createOrReplaceTempView("events")
+    _events(spark, sf_dir)
     return spark.sql(LOGS_SQL)
 
 
-def commits(spark: SparkSession) -> DataFrame:
+def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _events(spark, sf_dir)
     return spark.sql(COMMITS_SQL)
+
+
+def _events(spark: SparkSession, sf_dir: str) -> None:
+    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("events")

@@ -14,6 +14,7 @@ MID_DAY = "2024-01-16 12:00:00"
 SLICE_AFTER, SLICE_UPTO = "2024-01-10 00:00:00", "2024-01-20 12:00:00"
 SLICE_ROWS = 1000
 
+# Patterns of dynamic parts, error names and path segments.
 UUID = r"\b[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\b"
 ERROR_NAME = (
     r"\b([A-Z][A-Za-z0-9]*(?:Error|Exception|Timeout|Failure|Refused|Denied|Overflow|Violation))\b"
@@ -192,12 +193,26 @@ def gate_ctes(p: str, stored: str) -> dict[str, str]:
           FROM {p}tiers""",
         f"{p}repeats": f"""
           SELECT pid, fp, count(*) more FROM {p}verdicts WHERE operation = 'repeat' GROUP BY ALL""",
+    }
+
+
+# What a stored document carries besides its counts, by its name in the trace tables.
+CARRIED = (
+    "method, path, status, services, max_level, outcome, severity, mr, warned, n, levels, dur, types, kws"
+)
+
+
+def docs_ctes(p: str) -> dict[str, str]:
+    """Stored documents after the verdicts of ``{p}``."""
+    return {
         f"{p}alldocs": f"""
-          SELECT pid, cid, pattern, fp, entered, occurrences, seen, 0 fresh FROM {p}kept UNION ALL
-          SELECT pid, cid, pattern, fp, entered, 1, CAST(floor(epoch(first_ts)) AS BIGINT), 1
-          FROM {p}verdicts WHERE operation = 'insert'""",
+          SELECT pid, cid, pattern, fp, entered, occurrences, seen, unix, txt, {CARRIED}, 0 fresh
+          FROM {p}kept UNION ALL
+          SELECT pid, cid, pattern, fp, entered, 1, CAST(floor(epoch(first_ts)) AS BIGINT),
+            CAST(floor(epoch(first_ts)) AS BIGINT), semantic_text, {CARRIED}, 1
+          FROM {p}verdicts JOIN {p}texts USING (cid) WHERE operation = 'insert'""",
         f"{p}docs": f"""
-          SELECT d.pid, d.cid, d.pattern, d.fp, d.entered,
+          SELECT d.pid, d.cid, d.pattern, d.fp, d.entered, unix, txt, {CARRIED},
             occurrences + CASE WHEN oldest THEN coalesce(more, 0) ELSE 0 END occurrences,
             CASE WHEN oldest AND more > 0 THEN {AS_OF} ELSE seen END seen
           FROM (SELECT *, row_number() OVER (PARTITION BY pid, fp ORDER BY fresh, entered, cid) = 1
@@ -206,11 +221,22 @@ def gate_ctes(p: str, stored: str) -> dict[str, str]:
     }
 
 
-def text_ctes(p: str, wanted: str) -> dict[str, str]:
+def text_ctes(p: str, wanted: str, max_list: int | None = None, max_chars: int | None = None) -> dict[str, str]:
     """Semantic text of the traces in ``wanted`` (columns of ``{p}traces``)."""
     value = """CASE json_type(meta, '$.' || key) WHEN 'BOOLEAN'
         THEN CASE json_extract_string(meta, '$.' || key) WHEN 'true' THEN 'True' ELSE 'False' END
+        WHEN 'ARRAY' THEN '[' || array_to_string(list_transform(
+          CAST(json_extract(meta, '$.' || key) AS JSON[]), lambda x: CASE json_type(x)
+            WHEN 'VARCHAR' THEN '''' || json_extract_string(x, '$') || ''''
+            WHEN 'BOOLEAN' THEN CASE CAST(x AS VARCHAR) WHEN 'true' THEN 'True' ELSE 'False' END
+            ELSE coalesce(nullif(CAST(x AS VARCHAR), 'null'), 'None') END), ', ') || ']'
         ELSE json_extract_string(meta, '$.' || key) END"""
+    lists = "true" if max_list is None else (
+        f"(json_type(meta, '$.' || key) <> 'ARRAY' OR json_array_length(meta, '$.' || key) <= {max_list})"
+    )
+    cut = "txt" if max_chars is None else (
+        f"CASE WHEN length(txt) > {max_chars} THEN substr(txt, 1, {max_chars}) || '...' ELSE txt END"
+    )
     return {
         f"{p}lines0": f"""
           SELECT cid, {DEDUP.format('msg')} norm, min(pos) pos FROM {p}rows
@@ -226,7 +252,7 @@ def text_ctes(p: str, wanted: str) -> dict[str, str]:
         f"{p}entries0": f"""
           SELECT cid, key, pos * 1000 + i AS place, {value} v FROM {p}keys
           WHERE lower(key) NOT IN ('logger', 'loggername', 'correlation_id', 'level', 'timestamp')
-            AND json_type(meta, '$.' || key) NOT IN ('NULL', 'OBJECT', 'ARRAY')""",
+            AND json_type(meta, '$.' || key) NOT IN ('NULL', 'OBJECT') AND {lists}""",
         f"{p}entries": f"""
           SELECT cid, key || '=' || arg_min(v, place) entry, min(place) place
           FROM {p}entries0 GROUP BY cid, key""",
@@ -242,14 +268,14 @@ def text_ctes(p: str, wanted: str) -> dict[str, str]:
             digest,
             'Outcome: ' || concat_ws(', ', replace(outcome, '_', ' '), status, dur || 'ms')) txt
           FROM {wanted} t LEFT JOIN {p}context USING (cid) LEFT JOIN {p}digest USING (cid)""",
-        f"{p}texts": f"""
-          SELECT cid, CASE WHEN length(txt) > 2000 THEN substr(txt, 1, 2000) || '...' ELSE txt END
-            semantic_text FROM {p}texts0""",
+        f"{p}texts": f"SELECT cid, {cut} semantic_text FROM {p}texts0",
     }
 
 
 NO_DOCUMENTS = """SELECT '' pid, '' cid, '' pattern, '' fp, TIMESTAMP '2024-01-01' entered,
-  1 occurrences, 0::BIGINT seen WHERE false"""
+  1::BIGINT occurrences, 0::BIGINT seen, 0::BIGINT unix, '' txt, '' "method", '' path, 0 status,
+  [''] services, '' max_level, '' outcome, 0 severity, 0 mr, false warned, 0::BIGINT n, [''] levels,
+  0::BIGINT dur, [''] types, [''] kws WHERE false"""
 
 
 def _source(where: str) -> str:
@@ -262,14 +288,16 @@ def _split(first: str, second: str) -> dict[str, str]:
         "one_src": f"SELECT *, true in_batch FROM logs WHERE {first}",
         **trace_ctes("one_", "one_src"),
         **gate_ctes("one_", "no_documents"),
+        **text_ctes("one_", "one_verdicts"),
+        **docs_ctes("one_"),
         "two_src": f"""
           SELECT *, true in_batch FROM logs WHERE {second} UNION ALL
           SELECT *, false FROM logs WHERE {first} AND correlationId IN
             (SELECT correlationId FROM logs WHERE {second})""",
         **trace_ctes("two_", "two_src"),
         **gate_ctes("two_", "one_docs"),
-        **text_ctes("one_", "one_verdicts"),
         **text_ctes("two_", "two_verdicts"),
+        **docs_ctes("two_"),
     }
 
 
@@ -280,6 +308,13 @@ WHOLE = {
     **trace_ctes("", "all_src"),
     **gate_ctes("", "no_documents"),
     **text_ctes("", "traces"),
+    **docs_ctes(""),
+}
+BUDGET = {
+    **COMMON,
+    "all_src": "SELECT *, true in_batch FROM logs",
+    **trace_ctes("", "all_src"),
+    **text_ctes("", "valid", max_list=5, max_chars=2000),
 }
 EARLY, LATE = f"timestamp <= TIMESTAMP '{MID_DAY}'", f"timestamp > TIMESTAMP '{MID_DAY}'"
 SPLIT = {**COMMON, **_split(EARLY, LATE)}
@@ -312,6 +347,8 @@ def split(select: str) -> str:
 SLICE = f"""(SELECT *, row_number() OVER (ORDER BY timestamp, correlationId, rowSeq) nth FROM logs
   WHERE timestamp > TIMESTAMP '{SLICE_AFTER}' AND timestamp <= TIMESTAMP '{SLICE_UPTO}'
   ORDER BY timestamp, correlationId, rowSeq LIMIT {SLICE_ROWS})"""
+WINDOW = f"""(SELECT *, row_number() OVER (ORDER BY timestamp, correlationId, rowSeq) nth FROM logs
+  WHERE timestamp > TIMESTAMP '{SLICE_AFTER}' AND timestamp <= TIMESTAMP '{SLICE_UPTO}')"""
 FAILED = "SELECT cid, error FROM traces WHERE error <> ''"
 # Failures of the early traces count twice before the whole table is recorded.
 QUARANTINE = f"""
@@ -326,9 +363,17 @@ ISO_TEXT = """CASE WHEN rowSeq % 17 = 0 THEN 'not a time'
 
 
 def _documents(p: str) -> str:
-    return f"""SELECT pid AS project_id, cid AS correlation_id, fp AS fingerprint,
+    return f"""SELECT pid AS project_id, cid AS correlation_id, pid AS project_name, fp AS fingerprint,
+      txt AS semantic_text, coalesce("method", '') AS request_method, coalesce(path, '') AS request_path,
       coalesce(pattern, '') AS request_path_pattern,
-      CAST(occurrences AS BIGINT) AS occurrence_count, CAST(seen AS BIGINT) AS last_seen
+      CAST(coalesce(status, -1) AS BIGINT) AS request_status_code,
+      array_to_string(services, ' > ') AS services, max_level, outcome,
+      CAST(severity AS BIGINT) AS severity_score, mr >= 3 AS has_errors, warned AS has_warnings,
+      n AS log_count, array_to_string(levels, '|') AS levels_present, '' AS environment,
+      CAST(coalesce(dur, -1) AS BIGINT) AS duration_ms, unix AS timestamp_unix,
+      array_to_string(types, '|') AS error_types, array_to_string(kws, '|') AS suspicious_keywords,
+      CAST(occurrences AS BIGINT) AS occurrence_count, CAST(seen AS BIGINT) AS last_seen,
+      epoch_us(entered) AS entered_us, 384::BIGINT AS dimensions
     FROM {p}docs"""
 
 
@@ -372,7 +417,7 @@ def oracles() -> dict[str, str]:
         ),
         "fetch_cid": logs_sql(
             f"""SELECT rowSeq AS row_seq, correlationId AS correlation_id FROM logs
-            WHERE correlationId IN (SELECT correlationId FROM {SLICE})"""
+            WHERE correlationId IN (SELECT correlationId FROM {WINDOW})"""
         ),
         "latest_commit": logs_sql(
             """SELECT l.projectId AS project_id, count(*) AS log_rows,
@@ -384,10 +429,10 @@ def oracles() -> dict[str, str]:
             """SELECT cid AS correlation_id, fp AS fingerprint FROM one_docs
             WHERE pid = 'proj-1'"""
         ),
-        "high_water_mark": logs_sql(f"SELECT max(epoch_us(timestamp)) AS mark_us FROM {SLICE}"),
+        "high_water_mark": logs_sql(f"SELECT max(epoch_us(timestamp)) AS mark_us FROM {WINDOW}"),
         "safe_high_water_mark": whole(
             f"""SELECT coalesce(max(epoch_us(timestamp)), epoch_us(TIMESTAMP '{SLICE_AFTER}'))
-              AS mark_us FROM {SLICE} WHERE nth < (SELECT min(nth) FROM {SLICE}
+              AS mark_us FROM {WINDOW} WHERE nth < (SELECT min(nth) FROM {WINDOW}
                 WHERE correlationId IN (SELECT cid FROM ({FAILED})))"""
         ),
         "process_one_trace": statement(
@@ -448,6 +493,19 @@ def oracles() -> dict[str, str]:
             CAST(coalesce({RANK.format('(' + LEVEL.format('level') + ')')}, -1) AS BIGINT) AS level_rank FROM logs"""
         ),
         "validate_trace": whole("SELECT cid AS correlation_id, error FROM traces"),
+        "validate_gaps": logs_sql(
+            f"""SELECT correlationId AS correlation_id, concat_ws(', ',
+              CASE WHEN bool_or(rowSeq % 101 = 1 OR {LEVEL.format('level')} IS NULL) THEN 'invalid_level' END,
+              CASE WHEN bool_or(rowSeq % 103 = 2) THEN 'missing_message' END,
+              CASE WHEN bool_or(rowSeq % 107 = 3) THEN 'missing_logger' END,
+              CASE WHEN bool_or(coalesce({JSON_KIND.format('meta')} NOT IN ('OBJECT', 'NULL'), false))
+                THEN 'invalid_meta' END,
+              CASE WHEN bool_or(rowSeq % 109 = 4) THEN 'invalid_exception' END) AS error,
+            coalesce(CASE WHEN arg_min(rowSeq, {{'at': timestamp, 'seq': rowSeq}}) % 3 = 0
+              THEN regexp_replace(strftime(min(timestamp), '%Y-%m-%d %H:%M:%S.%f'), '\\.?0+$', '') END, '')
+              AS ended_at
+            FROM logs GROUP BY 1"""
+        ),
         "build_request": whole(
             """SELECT rs AS row_seq, coalesce(method, '') AS method, coalesce(path, '') AS path,
             CAST(coalesce(status, -1) AS BIGINT) AS status FROM rows"""
@@ -499,6 +557,12 @@ def oracles() -> dict[str, str]:
             JOIN (SELECT correlationId, count(*) total FROM logs GROUP BY 1) USING (correlationId)
             WHERE total > n"""
         ),
+        "refetch_without_order": logs_sql(
+            f"""SELECT correlationId AS correlation_id,
+            (count(*) + count(*) FILTER (rowSeq % 3 = 0))::BIGINT AS log_count,
+            (count(*) FILTER ({LATE}) + count(*) FILTER ({LATE} AND rowSeq % 3 = 0))::BIGINT AS in_batch
+            FROM logs GROUP BY 1 HAVING count(*) FILTER ({LATE}) > 0"""
+        ),
         "refetch_partial_traces": split(
             "SELECT cid AS correlation_id, n AS log_count, is_merge FROM two_traces0"
         ),
@@ -527,10 +591,10 @@ def oracles() -> dict[str, str]:
         ),
         "bulk_count_cids": logs_sql(
             f"""SELECT correlationId AS correlation_id, count(*) AS n FROM logs
-            WHERE correlationId IN (SELECT correlationId FROM {SLICE}) GROUP BY 1"""
+            WHERE correlationId IN (SELECT correlationId FROM {WINDOW}) GROUP BY 1"""
         ),
         "batch_row_counts": logs_sql(
-            f"""SELECT correlationId AS correlation_id, count(*) AS n FROM {SLICE} GROUP BY 1"""
+            f"""SELECT correlationId AS correlation_id, count(*) AS n FROM {WINDOW} GROUP BY 1"""
         ),
         "chronological_logs": whole(
             "SELECT cid AS correlation_id, rs AS row_seq, pos AS position FROM rows"
@@ -580,6 +644,19 @@ def oracles() -> dict[str, str]:
         "gatekeeper": whole(
             "SELECT cid AS correlation_id, pid AS project_id, action, tier, operation FROM verdicts"
         ),
+        "gatekeeper_without_store": whole(
+            """SELECT cid AS correlation_id, coalesce(own, 'default') AS tier,
+            CASE WHEN own IS NULL THEN 'DROP' ELSE 'PROMOTE' END AS action,
+            CASE own
+              WHEN 'tier0_severity' THEN 'severity_score=' || severity || ' >= 7'
+              WHEN 'tier0_outcome' THEN 'outcome=' || outcome
+              WHEN 'tier0_has_errors' THEN 'trace contains ERROR/FATAL logs'
+              WHEN 'tier1_error_types'
+                THEN 'error_types detected: [''' || array_to_string(types, ''', ''') || ''']'
+              WHEN 'tier1_keywords'
+                THEN 'suspicious keywords: [''' || array_to_string(kws, ''', ''') || ''']'
+              ELSE 'healthy_traffic — no promotion criteria met' END AS reason FROM cand"""
+        ),
         "gatekeeper_with_store": _tier(""),
         "verdict": split(
             """SELECT cid AS correlation_id, action, tier, reason, action = 'PROMOTE' AS is_promote
@@ -629,12 +706,20 @@ def oracles() -> dict[str, str]:
         "semantic_text": whole(
             "SELECT cid AS correlation_id, semantic_text FROM texts JOIN valid USING (cid)"
         ),
+        "semantic_text_budget": statement(
+            BUDGET, "SELECT cid AS correlation_id, semantic_text FROM texts"
+        ),
         "vector_metadata": whole(
             """SELECT cid AS correlation_id, pid AS project_id, pid AS project_name,
-            coalesce(method, '') AS request_method, coalesce(pattern, '') AS request_path_pattern,
-            CAST(coalesce(status, -1) AS BIGINT) AS request_status_code, max_level, outcome, fp AS fingerprint,
-            array_to_string(types, '|') AS error_types,
-            array_to_string(kws, '|') AS suspicious_keywords, '' AS environment,
+            coalesce(method, '') AS request_method, coalesce(path, '') AS request_path,
+            coalesce(pattern, '') AS request_path_pattern,
+            CAST(coalesce(status, -1) AS BIGINT) AS request_status_code,
+            array_to_string(services, ' > ') AS services, max_level, outcome,
+            CAST(severity AS BIGINT) AS severity_score, fp AS fingerprint,
+            mr >= 3 AS has_errors, warned AS has_warnings, n AS log_count,
+            array_to_string(levels, '|') AS levels_present,
+            array_to_string(types, '|') AS error_types, len(types) = 0 AS no_error_types,
+            array_to_string(kws, '|') AS suspicious_keywords, len(kws) = 0 AS no_keywords, '' AS environment,
             dur AS duration_ms, CAST(floor(epoch(first_ts)) AS BIGINT) AS timestamp_unix,
             CAST(floor(epoch(first_ts)) AS BIGINT) AS last_seen, 1::BIGINT AS occurrence_count FROM valid"""
         ),
@@ -652,15 +737,24 @@ def oracles() -> dict[str, str]:
               (SELECT count(*) FROM two_traces WHERE error <> '')"""
         ),
         "bounded_drain": logs_sql(
-            f"""SELECT correlationId AS correlation_id, count(*) AS n FROM logs
+            f"""SELECT correlationId AS correlation_id, count(*) AS n,
+            (SELECT count(*) FROM logs WHERE {LATE}) AS waiting FROM logs
             WHERE {EARLY} GROUP BY 1"""
         ),
+        "halted_batch": whole(
+            f"SELECT cid AS correlation_id, error, 0::BIGINT AS written FROM ({FAILED})"
+        ),
         "merge_on_duplicate": split(_documents("two_")),
         "late_rows": statement(REVERSED, _documents("two_")),
         "idempotent_replay": split(_documents("two_")),
         # embeddings
         "embed_documents": whole(
-            """SELECT cid AS correlation_id, 384::BIGINT AS dimensions, 1.0::DOUBLE AS length
-            FROM verdicts WHERE operation = 'insert'"""
+            r"""SELECT cid AS correlation_id, 384::BIGINT AS dimensions,
+            string_agg(bucket || ':' || c, ' ' ORDER BY bucket) AS content FROM (
+              SELECT cid, CAST(('0x' || substr(md5(word), 1, 8))::UBIGINT % 384 AS BIGINT) AS bucket,
+                count(*) AS c
+              FROM (SELECT cid, unnest(string_split_regex(lower(semantic_text), '\s+')) AS word
+                FROM texts JOIN verdicts USING (cid) WHERE operation = 'insert')
+              WHERE word <> '' GROUP BY ALL) GROUP BY cid"""
         ),
     }

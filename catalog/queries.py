@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cache
+from contextlib import suppress
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +28,13 @@ from tracemill.operators.metrics import promotion_rate
 from tracemill.plans.batch import BatchOutcome, prepare_documents, run_batch
 from tracemill.session import apply_settings, shared_dir, staged
 from tracemill.sources import logs as L
-from tracemill.streaming.ingest import process_batch, run_stream
+from tracemill.streaming.ingest import BatchHalted, process_batch, run_stream
 from tracemill.streaming.store import TraceStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = EngineConfig()
+# The fixture holds more failed traces than a batch may have by default.
+STREAM_CFG = replace(CFG, circuit_breaker_threshold=10**9)
 
 
 # ---- inputs ----------------------------------------------------------------
@@ -57,10 +60,14 @@ def valid(spark: SparkSession, sf: str) -> DataFrame:
     return O.valid_traces(O.trace_features(rows(spark, sf), CFG))
 
 
+def window(spark: SparkSession, sf: str) -> DataFrame:
+    """Everything between two marks."""
+    return L.incremental_filter(logs(spark, sf), SLICE_AFTER, SLICE_UPTO)
+
+
 def cut(spark: SparkSession, sf: str) -> DataFrame:
     """The polling slice used by the slice operators."""
-    window = L.incremental_filter(logs(spark, sf), SLICE_AFTER, SLICE_UPTO)
-    return L.batch_slice(window, SLICE_ROWS)
+    return L.batch_slice(window(spark, sf), SLICE_ROWS)
 
 
 def failed(spark: SparkSession, sf: str) -> DataFrame:
@@ -115,24 +122,27 @@ def raw_traces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def evaluate(
-    spark: SparkSession, canonical: DataFrame, documents: DataFrame | None = None
+    spark: SparkSession, sf: str, canonical: DataFrame, documents: DataFrame | None = None
 ) -> BatchOutcome:
     stored = documents if documents is not None else S.empty_table(spark, S.DOCUMENTS)
     return run_batch(
-        canonical, stored, fixtures.commits(spark), S.empty_table(spark, S.QUARANTINE), AS_OF, CFG
+        canonical, stored, fixtures.commits(spark, sf), S.empty_table(spark, S.QUARANTINE), AS_OF, CFG
     )
 
 
 def whole(spark: SparkSession, sf: str) -> BatchOutcome:
-    return evaluate(spark, rows(spark, sf))
+    return evaluate(spark, sf, rows(spark, sf))
+
+
+def store_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/documents/{uuid.uuid4().hex}"
 
 
-@cache
 def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The store as the early rows leave it."""
-    return staged(
-        evaluate(spark, R.flat_rows(early(logs(spark, sf)), AS_OF)).documents, "documents"
-    )
+    outcome = evaluate(spark, sf, R.flat_rows(early(logs(spark, sf)), AS_OF))
+    path = D.write_documents(outcome.documents, store_path(spark))
+    return D.read_documents(spark, path)
 
 
 def second_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,7 +151,7 @@ def second_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def second(spark: SparkSession, sf: str) -> BatchOutcome:
-    return evaluate(spark, second_rows(spark, sf), stored_documents(spark, sf))
+    return evaluate(spark, sf, second_rows(spark, sf), stored_documents(spark, sf))
 
 
 def kept_documents(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -172,8 +182,13 @@ def renamed(df: DataFrame, **names: str) -> DataFrame:
 
 def documents_view(df: DataFrame) -> DataFrame:
     return df.select(
-        "project_id", "correlation_id", "fingerprint", text("request_path_pattern"),
-        "occurrence_count", "last_seen",
+        "project_id", "correlation_id", "project_name", "fingerprint", "semantic_text",
+        text("request_method"), text("request_path"), text("request_path_pattern"),
+        number("request_status_code"), listed("services", " > "), "max_level", "outcome",
+        number("severity_score"), "has_errors", "has_warnings", "log_count",
+        listed("levels_present"), "environment", number("duration_ms"), "timestamp_unix",
+        listed("error_types"), listed("suspicious_keywords"), "occurrence_count", "last_seen",
+        F.unix_micros("entered_at").alias("entered_us"), F.size("embedding").cast("bigint").alias("dimensions"),
     )
 
 
@@ -191,7 +206,10 @@ def ids(df: DataFrame, *more: str) -> DataFrame:
 
 
 def scan_logs(spark, sf):
-    return logs(spark, sf).select(
+    """The log table read back from the files it was written to."""
+    path = f"{shared_dir(spark)}/logs/{uuid.uuid4().hex}"
+    as_logs(logs(spark, sf)).write.parquet(path)
+    return L.scan_logs(spark, path).select(
         F.col("rowSeq").alias("row_seq"), F.col("projectId").alias("project_id"),
         F.col("correlationId").alias("correlation_id"),
         F.unix_micros(F.col("timestamp").cast("timestamp")).alias("ts_us"),
@@ -201,8 +219,8 @@ def scan_logs(spark, sf):
 
 
 def incremental_filter(spark, sf):
-    window = L.incremental_filter(logs(spark, sf), SLICE_AFTER, SLICE_UPTO)
-    return ids(window.withColumn("ts_us", F.unix_micros(F.col("timestamp").cast("timestamp"))), "ts_us")
+    found = window(spark, sf)
+    return ids(found.withColumn("ts_us", F.unix_micros(F.col("timestamp").cast("timestamp"))), "ts_us")
 
 
 def batch_slice(spark, sf):
@@ -214,14 +232,16 @@ def trim_split_tail(spark, sf):
 
 
 def fetch_cid(spark, sf):
-    return ids(L.rows_of_traces(logs(spark, sf), cut(spark, sf)))
+    return ids(L.rows_of_traces(logs(spark, sf), window(spark, sf)))
 
 
 def latest_commit(spark, sf):
     per_project = logs(spark, sf).groupBy(F.col("projectId").alias("project_id")).agg(
         F.count("*").alias("log_rows")
     )
-    newest = L.latest_commit(fixtures.commits(spark))
+    path = f"{shared_dir(spark)}/commits/{uuid.uuid4().hex}"
+    fixtures.commits(spark, sf).write.parquet(path)
+    newest = L.latest_commit(L.scan_commits(spark, path))
     return per_project.join(newest, "project_id", "left").select(
         "project_id", "log_rows",
         F.coalesce("timestamp_unix", F.lit(0)).cast("bigint").alias("latest_commit"),
@@ -229,7 +249,11 @@ def latest_commit(spark, sf):
 
 
 def read_documents(spark, sf):
-    return stored_documents(spark, sf).where("project_id = 'proj-1'").select(
+    """One project of the store, read by its partition; a missing store adds nothing."""
+    outcome = evaluate(spark, sf, R.flat_rows(early(logs(spark, sf)), AS_OF))
+    path = D.write_documents(outcome.documents, store_path(spark))
+    missing = D.read_documents(spark, store_path(spark), project="proj-1")
+    return D.read_documents(spark, path, project="proj-1").unionByName(missing).select(
         "correlation_id", "fingerprint"
     )
 
@@ -239,12 +263,12 @@ def mark(df: DataFrame) -> DataFrame:
 
 
 def high_water_mark(spark, sf):
-    return mark(L.high_water_mark(cut(spark, sf), SLICE_AFTER))
+    return mark(L.high_water_mark(window(spark, sf), SLICE_AFTER))
 
 
 def safe_high_water_mark(spark, sf):
     bad = renamed(failed(spark, sf), correlationId="correlation_id")
-    return mark(L.safe_high_water_mark(cut(spark, sf), SLICE_AFTER, bad))
+    return mark(L.safe_high_water_mark(window(spark, sf), SLICE_AFTER, bad))
 
 
 def process_one_trace(spark, sf):
@@ -258,7 +282,9 @@ def process_one_trace(spark, sf):
 
 
 def upsert_documents(spark, sf):
-    return documents_view(second(spark, sf).documents)
+    """The store after two batches, written and read back."""
+    path = D.write_documents(second(spark, sf).documents, store_path(spark))
+    return documents_view(D.read_documents(spark, path))
 
 
 def delete_by_cid(spark, sf):
@@ -331,6 +357,23 @@ def validate_trace(spark, sf):
     return O.validate_traces(rows(spark, sf)).select("correlation_id", text("error"))
 
 
+def validate_gaps(spark, sf):
+    """Traces whose rows lack fields or hold unreadable ones."""
+    seq = F.col("rowSeq")
+    gappy = logs(spark, sf).withColumns({
+        "level": F.when(seq % 101 != 1, F.col("level")),
+        "message": F.when(seq % 103 != 2, F.col("message")),
+        "loggerName": F.when(seq % 107 != 3, F.col("loggerName")),
+        "exception": F.when(seq % 109 == 4, F.lit("[1, 2]")).when(seq % 2 == 0, F.lit('{"type": "E"}')),
+        "sessionEndedAt": F.when(seq % 3 == 0, F.col("timestamp").cast("timestamp")),
+    })
+    canonical = R.flat_rows(gappy, AS_OF)
+    context = O.first_row_context(canonical).select("correlation_id", text("ended_at"))
+    return O.validate_traces(canonical).join(context, "correlation_id").select(
+        "correlation_id", text("error"), "ended_at"
+    )
+
+
 def build_request(spark, sf):
     return rows(spark, sf).select(
         "row_seq", text("request_method").alias("method"), text("request_path").alias("path"),
@@ -409,6 +452,19 @@ def detect_partial_traces(spark, sf):
     )
 
 
+def refetch_without_order(spark, sf):
+    """Heartbeats: a source without row numbers that repeats its lines, some at one time."""
+    beats = as_logs(logs(spark, sf)).withColumns({
+        "level": F.lit("INFO"), "message": F.lit("heartbeat ok"), "meta": F.lit(None).cast("string"),
+    })
+    table = beats.unionByName(beats.where("rowSeq % 3 = 0")).drop("rowSeq")
+    boundary = F.lit(MID_DAY).cast("timestamp")
+    found = L.refetch_partial_traces(table.where(F.col("timestamp") > boundary), table)
+    return R.flat_rows(found, AS_OF).groupBy("correlation_id").agg(
+        F.count("*").alias("log_count"), F.count_if("in_batch").alias("in_batch")
+    )
+
+
 def refetch_partial_traces(spark, sf):
     return second_rows(spark, sf).groupBy("correlation_id").agg(
         F.count("*").alias("log_count"), (~F.bool_and("in_batch")).alias("is_merge")
@@ -431,7 +487,7 @@ def known_fingerprints(spark, sf):
 
 
 def deploy_window_join(spark, sf):
-    traces = G.candidates(valid(spark, sf), fixtures.commits(spark), AS_OF, CFG)
+    traces = G.candidates(valid(spark, sf), fixtures.commits(spark, sf), AS_OF, CFG)
     return traces.select("correlation_id", "in_deploy")
 
 
@@ -457,12 +513,12 @@ def first_row_context(spark, sf):
 
 
 def bulk_count_cids(spark, sf):
-    counts = L.total_row_counts(logs(spark, sf), cut(spark, sf))
+    counts = L.total_row_counts(logs(spark, sf), window(spark, sf))
     return renamed(counts, correlation_id="correlationId", n="n")
 
 
 def batch_row_counts(spark, sf):
-    return renamed(L.batch_row_counts(cut(spark, sf)), correlation_id="correlationId", n="n")
+    return renamed(L.batch_row_counts(window(spark, sf)), correlation_id="correlationId", n="n")
 
 
 def chronological_logs(spark, sf):
@@ -490,7 +546,7 @@ def log_count(spark, sf):
 
 
 def error_types(spark, sf):
-    return O.error_types(rows(spark, sf)).select("correlation_id", listed("error_types"))
+    return O.error_types(rows(spark, sf), CFG).select("correlation_id", listed("error_types"))
 
 
 def detect_suspicious_keywords(spark, sf):
@@ -554,11 +610,16 @@ def gate_default(spark, sf):
 def gatekeeper(spark, sf):
     features = staged(O.trace_features(rows(spark, sf), CFG), "features")
     verdicts = G.gatekeeper(
-        O.valid_traces(features), S.empty_table(spark, S.DOCUMENTS), fixtures.commits(spark), AS_OF, CFG
+        O.valid_traces(features), S.empty_table(spark, S.DOCUMENTS), fixtures.commits(spark, sf), AS_OF, CFG
     )
     return verdicts.select("correlation_id", "project_id", "action", "tier", "operation")
 
 
+def gatekeeper_without_store(spark, sf):
+    """Only the tiers that need no history."""
+    return G.own_verdicts(valid(spark, sf), CFG).select("correlation_id", "action", "tier", "reason")
+
+
 def gatekeeper_with_store(spark, sf):
     return tier_view(second(spark, sf).verdicts, "")
 
@@ -580,7 +641,9 @@ def normalize_message(spark, sf):
 
 
 def extract_error_type(spark, sf):
-    found = M.extract_error_type(F.col("message"), F.col("meta")).alias("error_type")
+    found = M.extract_error_type(
+        F.col("message"), F.col("meta"), CFG.error_prefix_chars
+    ).alias("error_type")
     return rows(spark, sf).select("row_seq", found).select("row_seq", text("error_type"))
 
 
@@ -629,7 +692,7 @@ def http_operation(spark, sf):
 
 
 def meta_context(spark, sf):
-    return D.meta_context(rows(spark, sf)).select("correlation_id", "line")
+    return D.meta_context(rows(spark, sf), CFG).select("correlation_id", "line")
 
 
 def service_flow(spark, sf):
@@ -651,12 +714,23 @@ def semantic_text(spark, sf):
     )
 
 
+def semantic_text_budget(spark, sf):
+    """With a budget, texts are cut and long lists of meta values left out."""
+    cfg = replace(CFG, max_semantic_chars=2000, max_listed_values=5)
+    return D.semantic_text(valid(spark, sf), rows(spark, sf), cfg).select(
+        "correlation_id", "semantic_text"
+    )
+
+
 def vector_metadata(spark, sf):
     return D.vector_metadata(valid(spark, sf)).select(
         "correlation_id", "project_id", "project_name", text("request_method"),
-        text("request_path_pattern"), number("request_status_code"), "max_level", "outcome",
-        "fingerprint", listed("error_types"), listed("suspicious_keywords"), "environment",
-        "duration_ms", "timestamp_unix", "last_seen", "occurrence_count",
+        text("request_path"), text("request_path_pattern"), number("request_status_code"),
+        listed("services", " > "), "max_level", "outcome", number("severity_score"), "fingerprint",
+        "has_errors", "has_warnings", "log_count", listed("levels_present"),
+        listed("error_types"), F.col("error_types").isNull().alias("no_error_types"),
+        listed("suspicious_keywords"), F.col("suspicious_keywords").isNull().alias("no_keywords"),
+        "environment", "duration_ms", "timestamp_unix", "last_seen", "occurrence_count",
     )
 
 
@@ -668,10 +742,10 @@ def trace_documents(spark, sf):
 
 
 def log_files(table: DataFrame, *parts) -> str:
-    """Write the log rows as one folder of files per part, in order."""
+    """Write the log rows as one folder of files per part; a step reads one folder more."""
     base = f"{shared_dir(table.sparkSession)}/incoming/{uuid.uuid4().hex}"
     for position, condition in enumerate(parts):
-        as_logs(table.where(condition)).coalesce(1).write.parquet(f"{base}/part={position}")
+        as_logs(table.where(condition)).write.parquet(f"{base}/part={position}")
     return base
 
 
@@ -683,12 +757,11 @@ def new_store(spark: SparkSession) -> TraceStore:
     return TraceStore(spark, f"{shared_dir(spark)}/state/{uuid.uuid4().hex}").create()
 
 
-def drain(spark: SparkSession, path: str, store: TraceStore) -> None:
-    """Run the streaming job until the files are used up, one file per micro-batch."""
-    stream = spark.readStream.schema(S.LOGS).option("maxFilesPerTrigger", 1).parquet(path)
-    query = run_stream(
-        stream, store, lambda: fixtures.commits(spark), CFG, as_of=lambda batch_id: AS_OF
-    )
+def drain(spark: SparkSession, sf: str, path: str, store: TraceStore, commits=None) -> None:
+    """Run the streaming job until the files that are there are used up."""
+    stream = spark.readStream.schema(S.LOGS).parquet(path)
+    load = commits or (lambda: fixtures.commits(spark, sf))
+    query = run_stream(stream, store, load, STREAM_CFG, as_of=lambda batch_id: AS_OF)
     query.awaitTermination()
 
 
@@ -704,35 +777,49 @@ def stream_ingest(spark, sf):
         logs(spark, sf), ts < first, (ts >= first) & (ts < second_cut), ts >= second_cut
     )
     for part in range(3):
-        drain(spark, f"{path}/part=[0-{part}]", store)
+        drain(spark, sf, f"{path}/part=[0-{part}]", store)
     return documents_view(store.documents())
 
 
 def resume_point(spark, sf):
     """The job is stopped after the first file and picks up at the second."""
     path, store = log_files(logs(spark, sf), is_early(), ~is_early()), new_store(spark)
-    drain(spark, f"{path}/part=0", store)
-    drain(spark, f"{path}/part=[0-1]", store)
+    drain(spark, sf, f"{path}/part=0", store)
+    drain(spark, sf, f"{path}/part=[0-1]", store)
     return store.committed().select("batch_id", "promoted", "dropped", "failed")
 
 
 def bounded_drain(spark, sf):
-    """A drain stops at the input that was there when it started."""
-    path, store = log_files(logs(spark, sf), is_early()), new_store(spark)
-    drain(spark, f"{path}/part=0", store)
-    return renamed(store.read("seen"), correlation_id="correlationId", n="n")
+    """A drain stops at the input that was there when it started.
+
+    The later half arrives while the first micro-batch runs: when it asks for commits.
+    """
+    table, arrived = logs(spark, sf), []
+    path, store = log_files(table, is_early()), new_store(spark)
+
+    def commits() -> DataFrame:
+        if not arrived:
+            as_logs(table.where(~is_early())).write.parquet(f"{path}/part=1")
+            arrived.append(True)
+        return fixtures.commits(spark, sf)
+
+    drain(spark, sf, f"{path}/part=*", store, commits)
+    waiting = spark.read.schema(S.LOGS).parquet(f"{path}/part=1").count()
+    return renamed(store.counts(), correlation_id="correlationId", n="n").withColumn(
+        "waiting", F.lit(waiting).cast("bigint")
+    )
 
 
-def run_in_order(spark: SparkSession, *batches: DataFrame) -> TraceStore:
+def run_in_order(spark: SparkSession, sf: str, *batches: DataFrame) -> TraceStore:
     store = new_store(spark)
     for batch_id, batch in enumerate(batches):
-        process_batch(store, batch, batch_id, fixtures.commits(spark), AS_OF, CFG)
+        process_batch(store, batch, batch_id, fixtures.commits(spark, sf), AS_OF, STREAM_CFG)
     return store
 
 
 def merge_on_duplicate(spark, sf):
     table = as_logs(logs(spark, sf))
-    return documents_view(run_in_order(spark, *halves(table)).documents())
+    return documents_view(run_in_order(spark, sf, *halves(table)).documents())
 
 
 def halves(table: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -743,27 +830,44 @@ def halves(table: DataFrame) -> tuple[DataFrame, DataFrame]:
 def late_rows(spark, sf):
     """The older rows arrive after the newer ones."""
     first, last = halves(as_logs(logs(spark, sf)))
-    return documents_view(run_in_order(spark, last, first).documents())
+    return documents_view(run_in_order(spark, sf, last, first).documents())
 
 
 def idempotent_replay(spark, sf):
+    """The second batch runs again an hour later; the time of its first run holds."""
     first, last = halves(as_logs(logs(spark, sf)))
-    store = run_in_order(spark, first, last)
-    process_batch(store, last, 1, fixtures.commits(spark), AS_OF, CFG)
+    store = run_in_order(spark, sf, first, last)
+    process_batch(store, last, 1, fixtures.commits(spark, sf), AS_OF + 3600, STREAM_CFG)
     return documents_view(store.documents())
 
 
+def halted_batch(spark, sf):
+    """Too many failed traces: the batch stops, and only its failures are on record."""
+    store = new_store(spark)
+    with suppress(BatchHalted):
+        process_batch(store, as_logs(logs(spark, sf)), 0, fixtures.commits(spark, sf), AS_OF, CFG)
+    written = store.documents().count() + store.committed().count()
+    return store.failures(0).select("correlation_id", "error").withColumn(
+        "written", F.lit(written).cast("bigint")
+    )
+
+
 # ---- embeddings ------------------------------------------------------------
 
 
 def embeddings(spark, sf):
+    """Size and content: the term count of each bucket, from the smallest value upwards."""
     vectors = whole(spark, sf).new_documents
-    squares = F.aggregate(
-        "embedding", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")
-    )
+    least = F.array_min(F.filter("embedding", lambda x: x > 0))
+    # A unit vector holds counts over a common length; one of the terms that occur
+    # least often tells the unit, and the texts have words that occur once.
+    counts = F.transform("embedding", lambda x: F.round(x / least).cast("bigint"))
+    shown = F.filter(
+        F.transform(counts, lambda c, i: F.struct(i.alias("bucket"), c.alias("c"))), lambda e: e["c"] > 0
+    )
+    content = F.array_join(F.transform(shown, lambda e: F.concat_ws(":", e["bucket"], e["c"])), " ")
     return vectors.select(
-        "correlation_id", F.size("embedding").cast("bigint").alias("dimensions"),
-        F.round(F.sqrt(squares), 4).alias("length"),
+        "correlation_id", F.size("embedding").cast("bigint").alias("dimensions"), content.alias("content")
     )
 
 
@@ -789,9 +893,9 @@ REGISTERED: dict[str, Query] = {
         normalize_message, extract_error_type, has_suspicious_keywords, classify_outcome,
         trace_severity, normalize_request_path, trace_fingerprint, normalize_for_dedup,
         http_operation, meta_context, service_flow, dedup_messages, outcome_line, semantic_text,
-        vector_metadata, trace_documents,
+        semantic_text_budget, vector_metadata, trace_documents,
         stream_ingest, resume_point, bounded_drain, merge_on_duplicate, late_rows,
-        idempotent_replay,
+        idempotent_replay, halted_batch, validate_gaps, refetch_without_order, gatekeeper_without_store,
     )},
 }
 

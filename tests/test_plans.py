@@ -33,7 +33,7 @@ def stages(spark, sf):
         return staged(df, label)
 
     outcome = run_batch(
-        Q.rows(spark, sf), Q.stored_documents(spark, sf), fixtures.commits(spark),
+        Q.rows(spark, sf), Q.stored_documents(spark, sf), fixtures.commits(spark, sf),
         Q.S.empty_table(spark, Q.S.QUARANTINE), AS_OF, CFG, stage=stage,
     )
     for name in ("new_documents", "documents", "metrics", "repeats", "verdicts", "quarantine"):
@@ -67,15 +67,30 @@ def test_levels_read_no_text(spark, sf):
 
 def test_traces_are_combined_before_each_shuffle(spark, sf):
     text = plan(trace_features(Q.rows(spark, sf), CFG))
-    # Two levels of aggregation, each with a partial step below its exchange.
-    assert text.count("partial_bit_or(error_bits") == 2
+    # Two levels of aggregation, each with a partial step below its exchange: by
+    # facet, so that no list holds combinations of them, then by trace.
+    assert text.count("partial_bit_or(") == 4
+    assert re.search(r"Exchange hashpartitioning\(correlation_id#\d+, kind#\d+, value#", text)
     assert len(re.findall(r"Exchange hashpartitioning\(correlation_id", text)) == 2
     assert "Exchange hashpartitioning(correlation_id#" in text and "SinglePartition" not in text
 
 
-def test_lines_are_limited_before_the_shuffle(spark, sf):
-    text = plan(D.text_lines(Q.rows(spark, sf), CFG))
-    assert re.search(r"WindowGroupLimit .*Partial", text)
+LAZY = (
+    "incremental_filter", "fetch_cid", "bulk_count_cids", "validate_trace", "resolve_service", "chronological_logs",
+    "enrich_trace", "error_types", "detect_suspicious_keywords", "semantic_text", "vector_metadata", "meta_context",
+    "dedup_messages", "trim_split_tail", "refetch_partial_traces", "gatekeeper_without_store", "parse_meta",
+)
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_registered_queries_do_not_deal_the_table_out_again(spark, sf, name):
+    assert "RoundRobin" not in plan(Q.registered()[name](spark, sf))
+
+
+def test_one_project_is_read_by_its_partition(spark, sf, tmp_path):
+    path = D.write_documents(Q.whole(spark, sf).documents, str(tmp_path / "store"))
+    text = plan(D.read_documents(spark, path, project="proj-1"))
+    assert re.search(r"PartitionFilters: \[[^\]]*proj-1", text)
 
 
 def test_positions_are_ranked_per_time_bucket(spark, sf):

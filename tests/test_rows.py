@@ -127,7 +127,7 @@ def test_shared_correlation_id_merges_projects(spark):
 ])
 def test_error_types(spark, message, meta, expected):
     df = spark.createDataFrame([(message, meta)], "m string, j string")
-    assert df.select(M.extract_error_type(F.col("m"), F.col("j"))).first()[0] == expected
+    assert df.select(M.extract_error_type(F.col("m"), F.col("j"), 50)).first()[0] == expected
 
 
 @pytest.mark.parametrize("message, template, norm", [

@@ -121,6 +121,39 @@ def test_split_trace_becomes_one_document(spark, tmp_path):
     assert "e" not in documents and "h" not in documents
 
 
+def test_replay_keeps_the_time_of_the_first_attempt(spark, tmp_path):
+    """A clock that moves on must not move what a replayed batch wrote."""
+    store = store_of(spark, tmp_path, ENTRIES)
+    again = ENTRIES + [log("e2", "boom 9", "error", at=45, path="/orders/9", method="GET", seq=45)]
+    for now in (AS_OF, AS_OF + 7200, AS_OF + 90000):
+        process_batch(store, logs_frame(spark, again), 1, commits_frame(spark, ("p", AS_OF)), now, CFG)
+        seen = as_sets(store.documents())
+        assert seen == locals().get("first", seen)
+        first = seen
+    assert store.batch("started", 1).first().as_of == AS_OF
+
+
+def test_nothing_staged_is_left(spark, tmp_path):
+    import os
+
+    from tracemill.session import shared_dir
+
+    folder = f"{shared_dir(spark)}/staged"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    store_of(spark, tmp_path, ENTRIES, ENTRIES[:2])
+    assert set(os.listdir(folder)) <= before
+
+
+def test_refetch_keeps_repeated_lines(spark):
+    """Three equal heartbeats at different times, the last one in the batch; then at one time."""
+    beats = [log("a", "heartbeat ok", at=i) for i in (0, 60, 120)] + [log("b", "heartbeat ok", at=60, seq=i) for i in (1, 2, 3)]
+    table = logs_frame(spark, beats).drop("rowSeq")
+    last = table.where("timestamp >= '2024-01-05 10:02:00'").unionByName(table.where("correlationId = 'b'").limit(1))
+    rows = L.refetch_partial_traces(last, table)
+    counted = rows.groupBy("correlationId").agg(F.count("*").alias("n"), F.count_if("in_batch").alias("own")).collect()
+    assert {(r.correlationId, r.n, r.own) for r in counted} == {("a", 3, 1), ("b", 3, 1)}
+
+
 def test_replay_changes_nothing(spark, tmp_path):
     late = [log("b", "boom again", at=100, seq=100), log("a", "Order 8 shipped", at=105, seq=105)]
     store = store_of(spark, tmp_path, ENTRIES, late)
@@ -146,8 +179,7 @@ def test_bad_batch_halts_until_its_traces_are_skipped(spark, tmp_path):
     store = TraceStore(spark, str(tmp_path)).create()
 
     def attempt():
-        return process_batch(store, logs_frame(spark, bad), 0, commits_frame(spark), AS_OF, CFG,
-                             halt_on_failures=True)
+        process_batch(store, logs_frame(spark, bad), 0, commits_frame(spark), AS_OF, CFG)
 
     for _ in range(3):
         with pytest.raises(BatchHalted):

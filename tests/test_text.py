@@ -1,5 +1,6 @@
 """Document text."""
 
+import hashlib
 from dataclasses import replace
 
 from tests.helpers import AS_OF, batch, by_cid, log, logs_frame
@@ -25,9 +26,11 @@ def test_meta_values(spark):
       "correlationId": "kept", "correlation_id": "skipped", "empty": []}"""
     got = texts(spark, [log("c", "m", meta=meta)])["c"]
     assert got == (
-        "Context: s=text; i=7; b=True; f=1.5; l=['a', 1, True, None]; q=[\"it's\"]; "
-        "correlationId=kept; empty=[]. Service: orders. m. Outcome: success"
+        "Context: s=text; i=7; b=True; f=1.5; l=['a', 1, True, None]; long=[1, 2, 3, 4, 5, 6]; "
+        "q=[\"it's\"]; correlationId=kept; empty=[]. Service: orders. m. Outcome: success"
     )
+    short = texts(spark, [log("c", "m", meta=meta)], replace(CFG, max_listed_values=5))["c"]
+    assert short == got.replace("long=[1, 2, 3, 4, 5, 6]; ", "")
 
 
 def test_first_usable_value_claims_the_key(spark):
@@ -60,20 +63,31 @@ def test_level_tags_are_optional(spark):
     assert "[WARN] slow. ok. [FATAL] bad" in tagged
 
 
-def test_long_text_is_cut(spark):
+def test_long_text_is_whole_unless_a_budget_is_set(spark):
+    budget = replace(CFG, max_semantic_chars=2000)
     got = texts(spark, [log("c", "é" * 3000)])["c"]
-    assert got == "Service: orders. " + "é" * (2000 - 17) + "..."
-    exact = texts(spark, [log("c", "x" * (2000 - 17 - len(". Outcome: success")))])["c"]
+    assert got == "Service: orders. " + "é" * 3000 + ". Outcome: success"
+    assert texts(spark, [log("c", "é" * 3000)], budget)["c"] == got[:2000] + "..."
+    exact = texts(spark, [log("c", "x" * (2000 - 17 - len(". Outcome: success")))], budget)["c"]
     assert len(exact) == 2000 and not exact.endswith("...")
 
 
-def test_line_limit_never_changes_the_text(spark):
-    """More one-letter lines than the budget holds, and a plain join as the yardstick."""
-    lines = [chr(0x4E00 + i) for i in range(900)]
+def test_budget_cuts_the_whole_text(spark):
+    """A plain join is the yardstick, with lines of one letter and of uneven lengths."""
+    lines = [chr(0x4E00 + i) * (1 + i % 7 * (i % 3)) for i in range(900)]
     entries = [log("c", line, at=i) for i, line in enumerate(lines)]
     plain = ". ".join(["Service: orders", *lines, "Outcome: success"])
-    assert texts(spark, entries)["c"] == plain[:2000] + "..."
-    assert texts(spark, entries, replace(CFG, max_semantic_chars=10))["c"] == plain[:10] + "..."
+    assert texts(spark, entries)["c"] == plain
+    for budget in (10, 500, 2000):
+        cut = replace(CFG, max_semantic_chars=budget)
+        assert texts(spark, entries, cut)["c"] == plain[:budget] + "..."
+
+
+def test_prefix_length_is_a_parameter(spark):
+    rows = flat_rows(logs_frame(spark, [log("c", "x" * 60 + ": failed")]), AS_OF)
+    assert by_cid(trace_features(rows, CFG))["c"].error_types == []
+    wide = replace(CFG, error_prefix_chars=80)
+    assert by_cid(trace_features(rows, wide))["c"].error_types == ["x" * 60]
 
 
 def test_prepare_only_mode_has_no_gate(spark):
@@ -104,7 +118,14 @@ def test_vector_of_wrong_size_fails(spark):
         raise AssertionError("wrong size accepted")
 
 
-def test_default_embedding_is_unit_length_and_deterministic(spark):
-    df = spark.createDataFrame([("GET /x. Service: a",), ("GET /x. Service: a",)], "semantic_text string")
-    first, second = [r.embedding for r in embed_documents(df, CFG).collect()]
-    assert first == second and abs(sum(x * x for x in first) - 1) < 1e-5
+def test_default_embedding_holds_hashed_term_counts(spark):
+    lines = ["GET /x. Service: a a", "a service: GET /x. A", "GET /y. Service: a", "  ", ""]
+    df = spark.createDataFrame([(t,) for t in lines], "semantic_text string")
+    got = [r.embedding for r in embed_documents(df, CFG).collect()]
+    for text, vector in zip(lines, got):
+        counts = [0] * CFG.vector_size
+        for word in text.lower().split():
+            counts[int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % CFG.vector_size] += 1
+        length = sum(c * c for c in counts) ** 0.5 or 1
+        assert all(abs(v - c / length) < 1e-6 for v, c in zip(vector, counts))
+    assert got[0] != got[2]

@@ -57,7 +57,12 @@ class EngineConfig:
     cold_start_baseline_count: int = 3
     suspicious_keywords: tuple[str, ...] = SUSPICIOUS_KEYWORDS
     critical_keywords: tuple[str, ...] = CRITICAL_KEYWORDS
-    max_semantic_chars: int = 2000
+    #: Characters a document's text is cut at; None keeps the whole text.
+    max_semantic_chars: int | None = None
+    #: Lists in meta with more values than this stay out of the text; None admits all.
+    max_listed_values: int | None = None
+    #: Text before a colon names an error type up to this length; longer text is prose.
+    error_prefix_chars: int = 50
     fetch_batch_size: int = 1000
     fetch_interval_minutes: int = 5
     poison_pill_max_failures: int = 3
@@ -68,7 +73,7 @@ class EngineConfig:
     def __post_init__(self):
         if self.cold_start_baseline_count < 1:
             raise ValueError("cold_start_baseline_count must be at least 1")
-        if self.max_semantic_chars < 1:
+        if self.max_semantic_chars is not None and self.max_semantic_chars < 1:
             raise ValueError("max_semantic_chars must be at least 1")
 
     @classmethod
@@ -83,13 +88,3 @@ class EngineConfig:
     @property
     def deploy_window_seconds(self) -> int:
         return self.deploy_window_minutes * 60
-
-    @property
-    def text_lines_needed(self) -> int:
-        """Lines that surely overrun the text budget.
-
-        Each line adds at least one character and a two-character separator, so
-        after this many lines the text is longer than ``max_semantic_chars`` and
-        whatever follows is cut off. Keeping only this many is exact.
-        """
-        return (self.max_semantic_chars + 2) // 3 + 1

@@ -17,7 +17,6 @@ NUMBER = r"\b\d+\b"
 ERROR_SUFFIXES = (
     "Error", "Exception", "Timeout", "Failure", "Refused", "Denied", "Overflow", "Violation",
 )
-ERROR_PREFIX_CHARS = 50
 
 # Level names and their canonical form, lowest severity first.
 LEVELS = ("debug", "info", "warn", "error", "fatal")
@@ -116,9 +115,11 @@ def split_keywords(joined: Column) -> Column:
     return F.when(joined != "", F.split(joined, KEYWORD_SEPARATOR)).otherwise(none)
 
 
-def extract_error_type(message: Column, meta: Column) -> Column:
+def extract_error_type(message: Column, meta: Column, prefix_chars: int) -> Column:
     """Error class named by a message, or by ``error_type`` in its meta text.
 
+    The text before a leading colon counts up to ``prefix_chars`` characters.
+
     An empty string means that the text before a leading colon was blank; it
     blocks the meta fallback and counts as no type.
     """
@@ -130,7 +131,7 @@ def extract_error_type(message: Column, meta: Column) -> Column:
         may_name, F.nullif(F.regexp_extract(message, unicode_aware(pattern), 1), F.lit(""))
     )
     head = strip(F.substring_index(message, ":", 1))
-    short = ~F.contains(head, F.lit(" ")) & (F.length(head) <= ERROR_PREFIX_CHARS)
+    short = ~F.contains(head, F.lit(" ")) & (F.length(head) <= prefix_chars)
     prefix = F.when(F.contains(message, F.lit(":")), F.when(short, head))
     from_meta = F.when(
         F.contains(meta, F.lit("error_type")),

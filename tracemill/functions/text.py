@@ -42,8 +42,10 @@ def outcome_line(outcome: Column, status: Column, duration_ms: Column) -> Column
     return F.when(listed != "", F.concat(F.lit(OUTCOME_LABEL), listed))
 
 
-def assemble(layers: list[Column], max_chars: int) -> Column:
+def assemble(layers: list[Column], max_chars: int | None) -> Column:
     """Join the non-NULL layers; array layers contribute each of their items."""
     text = F.concat_ws(LAYER_SEPARATOR, *layers)
+    if max_chars is None:
+        return text
     cut = F.concat(F.substring(text, 1, max_chars), F.lit(ELLIPSIS))
     return F.when(F.length(text) > max_chars, cut).otherwise(text)

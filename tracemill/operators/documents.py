@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -12,14 +12,14 @@ from tracemill.functions import text as X
 from tracemill.operators.gate import INSERT, REPEAT
 from tracemill.operators.rows import parse_json_column
 from tracemill.operators.traces import ORDER
-from tracemill.schemas import DOCUMENTS
+from tracemill.schemas import DOCUMENTS, empty_table
+from tracemill.session import path_exists
 
 # Meta keys that never enter the text. Keys are compared in lower
 # case, so the camel-case entry has no effect.
 SKIPPED_META_KEYS = (
     "logger", "loggername", "correlationId", "correlation_id", "level", "timestamp",
 )
-MAX_LISTED_VALUES = 5
 # Levels whose lines carry a tag when ``tag_levels`` is on.
 TAGGED_LEVELS = ("warn", "error", "fatal")
 
@@ -53,24 +53,26 @@ def message_items(cfg: EngineConfig) -> Column:
     return F.when(line != "", F.array(item))
 
 
-def _showable(key: Column, value: Column) -> Column:
+def _showable(key: Column, value: Column, cfg: EngineConfig) -> Column:
     kind = F.schema_of_variant(value)
-    short = F.size(F.try_variant_get(value, "$", "array<variant>")) <= MAX_LISTED_VALUES
-    return (
+    usable = (
         ~F.lower(key).isin(*SKIPPED_META_KEYS)
         & ~F.is_variant_null(value)
         & ~kind.startswith("OBJECT")
-        & (~kind.startswith("ARRAY") | short)
     )
+    if cfg.max_listed_values is None:
+        return usable
+    short = F.size(F.try_variant_get(value, "$", "array<variant>")) <= cfg.max_listed_values
+    return usable & (~kind.startswith("ARRAY") | short)
 
 
-def meta_items() -> Column:
+def meta_items(cfg: EngineConfig) -> Column:
     """The usable meta entries of a row as ``key=value``, in document order.
 
     Values that cannot be shown are left out here, so they do not claim their key.
     """
     entries = F.map_entries(parse_json_column(F.col("meta")))
-    usable = F.filter(entries, lambda e: _showable(e["key"], e["value"]))
+    usable = F.filter(entries, lambda e: _showable(e["key"], e["value"], cfg))
     return F.transform(usable, lambda e, i: F.struct(
         F.lit(ENTRY).alias("layer"), e["key"].alias("key"), i.alias("pos"),
         F.concat(e["key"], F.lit("="), M.python_text(e["value"])).alias("text"),
@@ -95,27 +97,28 @@ def dedup_messages(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
 
-def meta_context(rows: DataFrame) -> DataFrame:
+def meta_context(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One ``key=value`` row per distinct usable meta key of a trace."""
-    return first_items(rows, meta_items()).select(
+    return first_items(rows, meta_items(cfg)).select(
         "correlation_id", F.col("at.text").alias("line")
     )
 
 
 def text_lines(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """``entries`` and ``lines`` per trace, as many as the text budget can hold.
+    """``entries`` and ``lines`` per trace: every distinct one, in order.
 
-    The row-number filter is applied before the shuffle too, so a trace with
-    millions of distinct lines sends only the first few hundred of each task.
+    With a text budget, lines that start beyond it are left out before they are
+    collected; what is kept still overruns the budget, so the cut is the same.
     """
     none = F.array().cast("array<struct<layer:string,key:string,pos:int,text:string>>")
-    items = F.concat(F.coalesce(message_items(cfg), none), F.coalesce(meta_items(), none))
-    by_place = Window.partitionBy("correlation_id", "layer").orderBy("at")
-    needed = (
-        first_items(rows, items)
-        .withColumn("n", F.row_number().over(by_place))
-        .where(F.col("n") <= cfg.text_lines_needed)
-    )
+    items = F.concat(F.coalesce(message_items(cfg), none), F.coalesce(meta_items(cfg), none))
+    needed = first_items(rows, items)
+    if cfg.max_semantic_chars is not None:
+        before = Window.partitionBy("correlation_id", "layer").orderBy("at").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        start = F.coalesce(F.sum(F.length("at.text") + 2).over(before), F.lit(0))
+        needed = needed.withColumn("start", start).where(F.col("start") <= cfg.max_semantic_chars)
 
     def ordered(layer: str) -> Column:
         return F.sort_array(F.collect_list(F.when(F.col("layer") == layer, F.col("at"))))["text"]
@@ -200,6 +203,22 @@ def upsert(documents: DataFrame, new: DataFrame) -> DataFrame:
     return documents.unionByName(new, allowMissingColumns=True)
 
 
+def write_documents(documents: DataFrame, path: str) -> str:
+    """Write a document table partitioned by project; a hot project is split over tasks."""
+    typed = documents.select(*[F.col(f.name).cast(f.dataType) for f in DOCUMENTS])
+    typed.hint("rebalance", "project_id").write.partitionBy("project_id").parquet(path)
+    return path
+
+
+def read_documents(spark: SparkSession, path: str, project: str | None = None) -> DataFrame:
+    """Stored documents, of one project if named; a store that was never written is empty."""
+    if not path_exists(spark, path):
+        return empty_table(spark, DOCUMENTS)
+    found = spark.read.schema(DOCUMENTS).parquet(path)
+    found = found if project is None else found.where(F.col("project_id") == project)
+    return found.select(*DOCUMENTS.names)
+
+
 def checked_documents(documents: DataFrame, cfg: EngineConfig) -> DataFrame:
     """The documents schema; a vector of the wrong size fails the job."""
     size = F.size("embedding")

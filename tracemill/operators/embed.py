@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,14 +16,22 @@ Encoder = Callable[[list[str]], list[list[float]]]
 
 
 def hashed_embedding(documents: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Unit-length hashed term counts: deterministic, lexical, no model needed."""
-    words = Tokenizer(inputCol="semantic_text", outputCol="_words").transform(documents)
-    counts = HashingTF(
-        numFeatures=cfg.vector_size, inputCol="_words", outputCol="_counts"
-    ).transform(words)
+    """Unit-length hashed term counts: deterministic, lexical, no model needed.
+
+    A word's bucket is the number in the first eight hex digits of its MD5 digest,
+    modulo the vector size, so that any other system can compute the same vectors.
+    """
+    words = F.array_remove(F.split(F.lower("semantic_text"), r"\s+"), "")
+    bucket = lambda word: F.pmod(
+        F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint"), F.lit(cfg.vector_size)
+    )
+    numbered = documents.withColumn("_buckets", F.transform(words, bucket).cast("array<string>"))
+    counts = CountVectorizerModel.from_vocabulary(
+        [str(i) for i in range(cfg.vector_size)], "_buckets", "_counts"
+    ).transform(numbered)
     unit = Normalizer(inputCol="_counts", outputCol="_unit").transform(counts)
     return unit.withColumn("embedding", vector_to_array("_unit", "float32")).drop(
-        "_words", "_counts", "_unit"
+        "_buckets", "_counts", "_unit"
     )
 
 

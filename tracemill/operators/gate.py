@@ -27,6 +27,7 @@ from tracemill.operators.counting import count_before
 from tracemill.session import staged
 
 PROMOTE, DROP = "PROMOTE", "DROP"
+# Fixed value: the reason of a drop.
 DROP_REASON = "healthy_traffic — no promotion criteria met"
 INSERT, REPEAT, NONE = "insert", "repeat", "none"
 
@@ -239,6 +240,7 @@ def reason_text(cfg: EngineConfig) -> Column:
     def text(template: str, *columns) -> Column:
         return F.format_string(template, *columns)
 
+    # Tier names and the wording of their reasons.
     by_tier = {
         "tier0_severity": text(f"severity_score=%d >= {threshold}", "severity_score"),
         "tier0_outcome": text("outcome=%s", "outcome"),

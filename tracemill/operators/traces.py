@@ -1,10 +1,11 @@
 """Trace features.
 
-``trace_features`` works in two levels. Rows are first folded by *signature*
-(correlation ID, logger, error type, matched keywords) with map-side combine, so
-a correlation ID that holds a large part of all rows is spread over its
-signatures and shrinks before it is shuffled. The second level folds signatures
-into traces; ordered lists come from the few signatures, never from the rows.
+``trace_features`` works in two levels. Each row names its *facets*: its logger,
+its error type and its keywords. Rows are first folded by (correlation ID, facet)
+with map-side combine, so a correlation ID that holds a large part of all rows is
+spread over its facets and shrinks before it is shuffled. The second level folds
+facets into traces: its lists hold the distinct loggers, types and keywords of a
+trace, which are part of the result, and no combination of them.
 """
 
 from __future__ import annotations
@@ -114,15 +115,16 @@ def services_in_order(rows: DataFrame) -> DataFrame:
             .alias("seen"),
         )
     )
-    return loggers.select("correlation_id", _services("seen", "first").alias("services"))
+    names = F.col("seen.logger_name")
+    return loggers.select("correlation_id", _services(names, "first").alias("services"))
 
 
-def _services(seen: str, first: str) -> Column:
+def _services(loggers: Column, first: str) -> Column:
     return F.array_distinct(
         F.transform(
-            seen,
-            lambda s: M.resolve_service(
-                s["logger_name"], F.col(f"{first}.component"), F.col(f"{first}.project_name")
+            loggers,
+            lambda name: M.resolve_service(
+                name, F.col(f"{first}.component"), F.col(f"{first}.project_name")
             ),
         )
     )
@@ -137,8 +139,9 @@ def with_service(rows: DataFrame) -> DataFrame:
     return rows.join(context, "correlation_id").withColumn("service", service).drop("c", "p")
 
 
-def error_types(rows: DataFrame) -> DataFrame:
-    return first_seen(rows, M.extract_error_type(F.col("message"), F.col("meta")), "error_types")
+def error_types(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
+    found = M.extract_error_type(F.col("message"), F.col("meta"), cfg.error_prefix_chars)
+    return first_seen(rows, found, "error_types")
 
 
 def suspicious_keywords(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -220,50 +223,65 @@ def validate_traces(rows: DataFrame) -> DataFrame:
 CARRIED = tuple(c for c in CONTEXT if c not in ("started_at", "ended_at"))
 
 
-def signatures(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Rows folded by (trace, logger, error type, keywords).
+LOGGER, TYPE, KEYWORD = "logger", "type", "keyword"
 
-    Facets of an invalid row are blanked: its trace fails as a whole, so they are
-    never read, and a flood of bad rows collapses into one signature.
+
+def facets(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Rows folded by (trace, facet kind, facet value).
+
+    Every row has exactly one logger facet, which carries what is counted or
+    picked per trace. Facets of an invalid row are blanked: its trace fails as a
+    whole, so they are never read, and a flood of bad rows collapses into one.
     """
     message = F.col("message")
     usable = F.col("error_bits") == NO_ERROR
-    facets = ("logger_name", "error_type", "keywords")
+    found = M.extract_error_type(message, F.col("meta"), cfg.error_prefix_chars)
     scanned = rows.withColumns({
-        "error_type": F.nullif(M.extract_error_type(message, F.col("meta")), F.lit("")),
-        "keywords": M.matched_keywords("lowered", cfg.suspicious_keywords),
+        "error_type": F.when(usable, F.nullif(found, F.lit(""))),
+        "keywords": F.when(usable, M.matched_keywords("lowered", cfg.suspicious_keywords)),
         "critical": M.contains_any("lowered", cfg.critical_keywords),
     })
-    prepared = scanned.select(
-        "correlation_id",
-        *[F.when(usable, F.col(name)).alias(name) for name in facets],
+    whole = F.struct(
         F.struct(*ORDER, *CARRIED).alias("first"),
         fingerprint_candidate(F.col("keywords").isNotNull()).alias("pick"),
         F.when(F.col("in_batch"), F.col("ls_ts")).alias("entered_at"),
-        "in_batch", "error_bits", "level_rank", "critical",
+        F.col("in_batch"), F.col("error_bits"), F.col("level_rank"), F.col("critical"),
         level_bit().alias("level_bits"),
     )
-    return prepared.groupBy("correlation_id", *facets).agg(
-        F.count("*").alias("log_count"),
-        F.min("first").alias("first"),
-        F.min("pick").alias("pick"),
-        F.min("entered_at").alias("entered_at"),
-        F.bool_and("in_batch").alias("in_batch"),
-        F.bit_or("error_bits").alias("error_bits"),
-        F.max("level_rank").alias("level_rank"),
-        F.bit_or("level_bits").alias("level_bits"),
-        _any(F.col("critical")).alias("critical"),
+
+    def facet(kind: str, value: Column, at: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("value"), at.cast("int").alias("at"))
+
+    named = F.transform(M.split_keywords(F.col("keywords")), lambda k, i: facet(KEYWORD, k, i))
+    none = F.array().cast("array<struct<kind:string,value:string,at:int>>")
+    listed = F.concat(
+        F.array(facet(LOGGER, F.when(usable, F.col("logger_name")), F.lit(0))),
+        F.when(F.col("error_type").isNotNull(), F.array(facet(TYPE, F.col("error_type"), F.lit(0)))).otherwise(none),
+        F.when(F.col("keywords").isNotNull(), named).otherwise(none),
+    )
+    rows_by_facet = scanned.select("correlation_id", *ORDER, whole.alias("whole"), F.explode(listed).alias("facet")).select(
+        "correlation_id", F.col("facet.kind").alias("kind"), F.col("facet.value").alias("value"),
+        F.struct(*ORDER, "facet.at").alias("ord"),
+        F.when(F.col("facet.kind") == LOGGER, F.col("whole")).alias("whole"),
+    )
+    return rows_by_facet.groupBy("correlation_id", "kind", "value").agg(
+        F.min("ord").alias("ord"),
+        F.count("whole").alias("log_count"),
+        F.min("whole.first").alias("first"),
+        F.min("whole.pick").alias("pick"),
+        F.min("whole.entered_at").alias("entered_at"),
+        F.bool_and("whole.in_batch").alias("in_batch"),
+        F.bit_or("whole.error_bits").alias("error_bits"),
+        F.max("whole.level_rank").alias("level_rank"),
+        F.bit_or("whole.level_bits").alias("level_bits"),
+        F.bool_or("whole.critical").alias("critical"),
     )
 
 
 def trace_features(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row per trace, valid or not; ``error`` tells which."""
-    seen = F.struct(
-        F.struct(*[F.col(f"first.{c}") for c in ORDER]).alias("ord"),
-        "logger_name", "error_type", "keywords",
-    )
     folded = (
-        signatures(rows, cfg)
+        facets(rows, cfg)
         .groupBy("correlation_id")
         .agg(
             F.sum("log_count").alias("log_count"),
@@ -275,17 +293,19 @@ def trace_features(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
             F.coalesce(F.max("level_rank"), F.lit(0)).alias("level_rank"),
             F.bit_or("level_bits").alias("level_bits"),
             _any(F.col("critical")).alias("critical"),
-            F.sort_array(F.collect_list(seen)).alias("seen"),
+            F.sort_array(F.collect_list(F.struct("ord", "kind", "value"))).alias("seen"),
         )
     )
+
+    def seen(kind: str) -> Column:
+        return F.filter("seen", lambda s: s["kind"] == kind)
+
     no_project = F.col("first.project_id").isNull()
     bits = F.col("error_bits").bitwiseOR(
         F.when(no_project, ROW_ERRORS["missing_project"]).otherwise(NO_ERROR)
     )
-    types = F.array_distinct(F.array_compact(F.col("seen.error_type")))
-    keywords = F.array_distinct(
-        M.split_keywords(F.array_join(F.col("seen.keywords"), M.KEYWORD_SEPARATOR))
-    )
+    types, keywords = seen(TYPE)["value"], seen(KEYWORD)["value"]
+    loggers = F.transform(seen(LOGGER), lambda s: s["value"])
     base = folded.select(
         "correlation_id",
         *[F.col(f"first.{c}").alias(c) for c in CARRIED],
@@ -300,7 +320,7 @@ def trace_features(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
         levels_present(F.col("level_bits")).alias("levels_present"),
         (F.col("level_rank") >= M.ERROR_RANK).alias("has_errors"),
         (F.col("level_bits").bitwiseAND(1 << M.WARN_RANK) != 0).alias("has_warnings"),
-        _services("seen", "first").alias("services"),
+        _services(loggers, "first").alias("services"),
         types.alias("error_types"),
         keywords.alias("suspicious_keywords"),
         "critical",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +15,6 @@ RECOMMENDED = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Traces per task kept in hash maps before an aggregate with lists starts to sort.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
-    # Lets "first n rows per trace" filter before the shuffle for any text budget in use.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 
@@ -28,32 +24,51 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tracemill-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder: there the
-    driver and its executors are one process.
-    """
+    """Folder named by ``spark.checkpoint.dir``, which all executors must share."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_scratch()
+    return configured.rstrip("/")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate table once so that several consumers share it.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _file_system(spark, path).exists(_path(spark, path))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    _file_system(spark, path).delete(_path(spark, path), True)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
 
-    The result has no lineage back to the logs, survives executor loss, and its
-    file size gives the optimizer a true size for join decisions.
+def _file_system(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+class Staging:
+    """Intermediate tables, written once so that several consumers share them.
+
+    A staged table has no lineage back to the logs, survives executor loss, and
+    its file size gives the optimizer a true size for join decisions. ``clear``
+    removes them once what reads them is written.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_dir(spark)}/staged/{uuid.uuid4().hex}"
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        path = f"{self.folder}/{label}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        delete_folder(self.spark, self.folder)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """One staged table, for callers that keep it."""
+    return Staging(df.sparkSession)(df, label)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from tracemill.schemas import COMMITS, LOGS, RAW_TRACE
 
@@ -36,12 +37,6 @@ def scan_commits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COMMITS).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer splits than cores; else unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _bound(df: DataFrame, value):
     return F.lit(value).cast(df.schema["timestamp"].dataType)
 
@@ -60,19 +55,20 @@ def batch_slice(logs: DataFrame, size: int) -> DataFrame:
 def trim_split_tail(rows: DataFrame, size: int) -> DataFrame:
     """Drop the last trace of a full slice, which the limit may have split.
 
-    A slice that is all one trace stays, or polling would never advance.
+    A slice that is all one trace stays, or polling would never advance. A slice
+    is one task of at most ``size`` rows already, so its ends are looked up in a
+    window over it rather than by reading it again.
     """
     scan_key = F.struct(*SCAN_ORDER)
-    tail = (
-        rows.agg(
-            F.count("*").alias("n"),
-            F.min_by("correlationId", scan_key).alias("head"),
-            F.max_by("correlationId", scan_key).alias("correlationId"),
-        )
-        .where((F.col("n") == size) & ~F.col("head").eqNullSafe(F.col("correlationId")))
-        .select("correlationId")
-    )
-    return rows.join(tail, "correlationId", "left_anti")
+    slice_ = Window.partitionBy()
+    ends = {
+        "slice_rows": F.count("*").over(slice_),
+        "slice_head": F.min_by("correlationId", scan_key).over(slice_),
+        "slice_tail": F.max_by("correlationId", scan_key).over(slice_),
+    }
+    in_tail = F.col("correlationId").eqNullSafe(F.col("slice_tail"))
+    whole = (F.col("slice_rows") < size) | F.col("slice_head").eqNullSafe(F.col("slice_tail"))
+    return rows.withColumns(ends).where(whole | ~in_tail).select(*rows.columns)
 
 
 def rows_of_traces(logs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -122,12 +118,13 @@ def refetch_partial_traces(batch: DataFrame, logs: DataFrame) -> DataFrame:
 
     ``in_batch`` marks the rows that were in the batch itself; a trace with any
     other row is a merge, and its place in the batch order comes from the
-    ``in_batch`` rows.
+    ``in_batch`` rows. Rows need no key: what the batch lacks of a trace's history
+    is the difference of the two as bags, so that repeated lines keep their number.
     """
     partial = partial_traces(batch, logs).select("correlationId")
-    refetched = rows_of_traces(logs, partial).join(
-        batch.select("rowSeq", "correlationId"), ["rowSeq", "correlationId"], "left_anti"
+    refetched = rows_of_traces(logs, partial).select(*batch.columns).exceptAll(
+        rows_of_traces(batch, partial).select(*batch.columns)
     )
     return batch.withColumn("in_batch", F.lit(True)).unionByName(
-        refetched.select(*batch.columns).withColumn("in_batch", F.lit(False))
+        refetched.withColumn("in_batch", F.lit(False))
     )

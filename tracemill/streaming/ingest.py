@@ -13,7 +13,8 @@ from tracemill import schemas as S
 from tracemill.config import EngineConfig
 from tracemill.operators.quarantine import quarantine_from
 from tracemill.operators.rows import flat_rows, log_defaults, with_row_order
-from tracemill.plans.batch import BatchOutcome, run_batch
+from tracemill.plans.batch import run_batch
+from tracemill.session import Staging
 from tracemill.sources.logs import batch_row_counts
 from tracemill.streaming.store import TraceStore
 
@@ -53,9 +54,22 @@ def process_batch(
     as_of: int,
     cfg: EngineConfig = EngineConfig(),
     load_encoder: Callable | None = None,
-    halt_on_failures: bool = False,
-) -> BatchOutcome:
-    """Evaluate one micro-batch against everything before it and write its tables."""
+    halt_on_failures: bool = True,
+) -> None:
+    """Evaluate one micro-batch against everything before it and write its tables.
+
+    A batch with too many failed traces halts and advances nothing. ``as_of`` holds
+    for the first attempt of a batch; later attempts and replays use the same time.
+    """
+    staging = Staging(store.spark)
+    try:
+        _process(store, logs, batch_id, commits, store.as_of(batch_id, as_of), cfg, load_encoder,
+                 halt_on_failures, staging)
+    finally:
+        staging.clear()
+
+
+def _process(store, logs, batch_id, commits, as_of, cfg, load_encoder, halt_on_failures, staging) -> None:
     store.write("archive", batch_id, with_row_order(log_defaults(logs)))
     store.write("seen", batch_id, batch_row_counts(store.batch("archive", batch_id)))
 
@@ -67,6 +81,7 @@ def process_batch(
         as_of,
         cfg,
         load_encoder,
+        stage=staging,
         trace_ids=store.batch("seen", batch_id).select(
             F.col("correlationId").alias("correlation_id")
         ),
@@ -81,7 +96,6 @@ def process_batch(
     store.write("removed", batch_id, outcome.removed)
     store.write("repeats", batch_id, outcome.repeats)
     store.write("metrics", batch_id, outcome.metrics)
-    return outcome
 
 
 def run_stream(
@@ -92,7 +106,7 @@ def run_stream(
     as_of: Callable[[int], int] | None = None,
     continuous: bool = False,
     load_encoder: Callable | None = None,
-    halt_on_failures: bool = False,
+    halt_on_failures: bool = True,
 ) -> StreamingQuery:
     """Start the job on a streaming log table.
 

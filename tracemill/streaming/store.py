@@ -17,12 +17,14 @@ from tracemill import schemas as S
 from tracemill.operators.documents import DOCUMENT_KEY
 
 SEEN = S.table(correlationId=S.STR, n=S.LONG)
+STARTED = S.table(as_of=S.LONG)
 METRICS = S.table(promoted=S.LONG, dropped=S.LONG, failed=S.LONG, total=S.LONG, tripped=S.BOOL)
 
 # Table -> (schema, partition columns below batch_id).
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "archive": (S.LOGS, ()),
     "seen": (SEEN, ()),
+    "started": (STARTED, ()),
     "documents": (S.DOCUMENTS, ("project_id",)),
     "removed": (S.REMOVED, ()),
     "repeats": (S.REPEATS, ()),
@@ -72,6 +74,18 @@ class TraceStore:
         df = self.spark.read.schema(self._schema(name)).parquet(self._path(name))
         return df if before is None else df.where(F.col("batch_id") < before)
 
+    def as_of(self, batch_id: int, now: int) -> int:
+        """The evaluation time of a batch: that of its first attempt, ``now`` if this is it."""
+        first = self.batch("started", batch_id).first()
+        if first is not None:
+            return first.as_of
+        self.write("started", batch_id, self.spark.range(1).select(F.lit(now).alias("as_of")))
+        return now
+
+    def counts(self) -> DataFrame:
+        """Rows taken in per correlation ID and batch."""
+        return self.read("seen").select("correlationId", "n")
+
     def failures(self, batch_id: int) -> DataFrame:
         """Failures known when a batch is evaluated: earlier batches and its halted attempts."""
         return self.read("failures").where(
