@@ -88,17 +88,18 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", bits: int = 1
             langs = batch.column(1).to_pylist()
             for start, texts in _text_groups(batch.column(0).to_pylist()):
                 codes, starts = code_points(texts)
-                for name in sorted(set(langs[start : start + len(texts)])):
-                    mine = np.zeros(len(codes), bool)
-                    for i, other in enumerate(langs[start : start + len(texts)]):
-                        if other == name:
-                            mine[starts[i] : starts[i + 1]] = True
-                            seen[name] = seen.get(name, 0) + 1
-                    total = sums.setdefault(name, np.zeros(1 << bits, np.int64))
-                    for size in SIZES:
-                        at = gram_buckets(codes, size, bits)
-                        keep = mine[: len(at)] & mine[size - 1 : size - 1 + len(at)]
-                        total += np.bincount(at[keep], minlength=1 << bits)
+                mine = langs[start : start + len(texts)]
+                text_of = np.repeat(np.arange(len(texts)), np.diff(starts))
+                place = {name: i for i, name in enumerate(sorted(set(mine)))}
+                lang_of = np.array([place[name] for name in mine])[text_of]
+                for name in mine:
+                    seen[name] = seen.get(name, 0) + 1
+                for size in SIZES:
+                    at = gram_buckets(codes, size, bits)
+                    whole = text_of[: len(at)] == text_of[size - 1 : size - 1 + len(at)]
+                    for name, i in place.items():
+                        counts = np.bincount(at[whole & (lang_of[: len(at)] == i)], minlength=1 << bits)
+                        sums[name] = sums.get(name, 0) + counts
         for name, total in sums.items():
             filled = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({
