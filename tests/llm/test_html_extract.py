@@ -48,6 +48,16 @@ def test_article_only(tree, page):
     assert text(tree, page) == KEPT
 
 
+@pytest.mark.parametrize("around", [
+    "<aside>{}</aside>", "<footer>{}</footer>", "<header>{}</header>", "<nav>{}</nav>", "<form>{}</form>", "<div class='comments'>{}</div>",
+    "<div class='sidebar'><div>{}</div></div>", "<section id='cookie-consent'>{}</section>", "<div class='ad'>{}</div>", "<div class='site-notice'>{}</div>",
+])
+def test_long_texts_of_furniture_go(tree, around):
+    furniture = around.format("".join(f"<p>{'Word after word in a long run of text. ' * n}</p>" for n in (1, 5, 20)))
+    assert text(tree, furniture + ARTICLE + furniture) == KEPT
+    assert text(tree, ARTICLE.replace("<p>End.", furniture + "<p>End.")) == KEPT
+
+
 def test_lists_tables_and_links_inside_the_article_stay(tree):
     page = "<nav>x</nav><article><ul><li>First<li>Second</ul><table><tr><td>1<td>2</table><p><a href=/x>All linked</a></p><blockquote>Q</blockquote><pre>a\n  b</pre></article>"
     assert text(tree, page) == "First\n\nSecond\n\n1\n\n2\n\nAll linked\n\nQ\n\na b"

@@ -232,6 +232,17 @@ LABELLED: list[list[tuple[str, str]]] = [
     [("-", '<ul><li><a href="/">Home</a></li><li><a href="/b">Blog</a></li><li><a href="/i">Index of pages</a></li></ul>'), ("+", f"<h1>A plain page</h1><p>{_LONG * 2}</p><p>{_LONG * 2}</p><p>{_LONG}</p>"),
      ("-", '<p><a href="/prev">Previous</a> <a href="/next">Next</a></p><p>Copyright 2020</p>')],
     [("-", '<div><a href="/">Home</a> | <a href="/s">Shop</a> | <a href="/k">Cart</a></div>'), ("+", f"<div><p>{_LONG * 4}</p><p>{_LONG * 2}</p></div>"), ("-", '<div><a href="/x">More of this</a></div><div>Share</div>')],
+    [("-", '<ul><li><a href="/">Start</a></li><li><a href="/t">All topics</a></li></ul>'), ("+", f"<p>{_LONG * 3}</p><p>{_LONG}</p>"), ("-", '<p><a href="/m">More like this</a></p><p><a href="/z">Last page</a></p>')],
+    [("-", '<p><a href="/">Back to the list</a></p>'), ("+", f"<h2>What was said</h2><p>{_LONG * 2}</p><h2>What came of it</h2><p>{_LONG * 3}</p>"), ("-", '<div><a href="/a">Older</a></div><div><a href="/b">Newer</a></div>')],
+    [("-", '<div><a href="/de">Deutsch</a> <a href="/en">English</a></div><div><a href="/l">Sign in</a></div>'), ("+", f"<h1>On the river</h1><div>{_LONG * 2}</div><div>{_LONG * 4}</div>"), ("-", "<div>Top</div><div>Share</div>")],
+    [("-", f"<header><p>{_LONG * 3}</p></header><aside><p>{_LONG * 4}</p><p>{_LONG * 2}</p></aside>"), ("+", f"<main><p>{_LONG * 2}</p><p>{_LONG * 2}</p></main>"),
+     ("-", f'<div class="comments"><p>{_LONG * 3}</p><p>{_LONG * 5}</p></div><div class="cookie-banner"><p>{_LONG * 2}</p></div><footer><p>{_LONG * 4}</p></footer>')],
+    [("-", f'<div class="advert"><p>{_LONG * 2}</p></div>'), ("+", f"<div><p>{_LONG * 2}</p><p>{_LONG * 3}</p></div>"), ("-", f'<form><p>{_LONG * 2}</p></form><div id="sidebar"><div>{_LONG * 3}</div></div>')],
+    [("+", f"<article><p>{_LONG}</p><p><a href='/a'>The whole report</a></p><p>End.</p></article>")],
+    [("+", f"<article><h1>One line</h1></article>")],
+    [("+", f"<main><h1>Links of the week</h1><ul><li><a href='/1'>First find</a></li><li><a href='/2'>Second find</a></li></ul><p>{_LONG * 6}</p><p>Bye.</p></main>")],
+    [("+", f"<article><p>{_LONG * 8}</p><p>Yes.</p><p>{_LONG * 8}</p><p>No.</p><p><a href='/s'>Source</a></p></article>")],
+    [("-", "<div><a href='/'>Home</a></div>"), ("+", "<article><p>Short news.</p></article>")],
     [("-", f'{_NAV}<form><label>Search</label><p>Type a word and press enter to look it up in all of our pages</p></form><div class="sidebar"><p>{_LONG}</p></div>'),
      ("+", f'<article class="post has-sidebar"><h1>Long read</h1><p>Yes.</p><p>{_LONG * 5}</p>'), ("-", '<div class="related"><a href="/r">Read this too</a><p>One more idea for you</p></div>'), ("+", f"<p>{_LONG}</p><p>No.</p></article>"),
      ("-", f'<section id="comments"><article class="comment"><p>{_LONG}</p></article><p>I agree.</p></section>')],
