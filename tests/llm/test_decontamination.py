@@ -36,13 +36,12 @@ def test_copies_and_re_parameterised_questions(spark):
         (12, "they said: seven short words stand in this item, yes"), (13, ITEMS[4][1]),
     ]
     got = hits(spark, rows)
-    assert set(got) == {(1, 1), (1, 3), (2, 2), (2, 8), (4, 2), (4, 8), (5, 1), (6, 3), (10, 3), (12, 4), (11, 3)} - {(11, 3)} | {
-        k for k in got if k[0] in (3, 11)
-    }
+    certain = {(1, 1), (1, 3), (2, 2), (2, 8), (4, 2), (4, 8), (5, 1), (6, 3), (10, 3), (12, 4)}
+    # Document 3 holds exact runs of the question, but no mapping for the whole of it.
+    assert certain <= set(got) <= certain | {(3, 2), (3, 8)}
     assert got[1, 1]["same_values"] and not got[2, 2]["same_values"] and not got[5, 1]["same_values"]
     assert got[2, 2]["n_matched"] == got[2, 2]["n_item"]
-    # With 120 twice in the run there is no mapping, so the whole question never matches.
-    assert all(got[k]["n_matched"] < got[k]["n_item"] for k in got if k[0] == 3)
+    assert all(r["n_matched"] < r["n_item"] for k, r in got.items() if k[0] == 3)
 
 
 def rows_text():

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracemill.llm.common import checkpointed
+
 RUN, WIDTH = 13, 8
 #: Tokens an item needs, and literal tokens a run needs: placeholders alone prove nothing.
 LEAST, LITERALS = 6, 6
@@ -36,6 +38,8 @@ UNITS = (
     "s", "sec", "seconds", "min", "minutes", "h", "hours", "days", "weeks", "months", "years",
     "dollars", "cents", "euros", "usd", "eur", "percent", "degrees", "km/h", "mph", "kwh", "kw", "w", "v", "hz",
 )
+#: Digits that do not continue a word; the look back stands behind the first digit, where it is rarely tried.
+NUMBERS = r"\d(?<![\p{L}\p{N}]\d)\d*(?:[.,:/]\d+)*"
 INSIDE = r"[\p{L}\p{N}]+(?:(?<=\p{N})[.,:/](?=\p{N})[\p{L}\p{N}]+)*"
 BETWEEN = rf"(?:[^\p{{L}}\p{{N}}{NUMBER}-{UNIT}.,:/]|[.,:/](?!\p{{N}})|(?<!\p{{N}})[.,:/])+"
 
@@ -46,7 +50,7 @@ def marked(text: Column) -> Column:
     A name is a word with a capital inside a sentence: after a letter, digit, comma or semicolon.
     """
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    out = F.regexp_replace(text, r"\d+(?:[.,:/]\d+)*", f" {NUMBER}$0")
+    out = F.regexp_replace(text, NUMBERS, f" {NUMBER}$0")
     out = F.regexp_replace(out, rf"({NUMBER}[\d.,:/]+) ?((?:{units}))(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}$2")
     return F.lower(F.regexp_replace(out, r" (?<=[\p{L}\p{N},;] )(\p{Lu}\p{L}*)", f" {NAME}$1"))
 
@@ -69,28 +73,33 @@ def windows(tokens: Column, width: int, step: int) -> Column:
 
 
 def _hits(pairs: DataFrame, run: int) -> DataFrame:
-    """Alignments with the string of comparisons: 1 equal word, s equal kind of slot, 0 neither."""
+    """Runs of an alignment whose slots map one to one.
+
+    Tokens are compared to one letter each: 1 equal word, 2 equal value in a slot, s another
+    value in a slot of the same kind, 0 neither. Runs are cut at 0; and once more at s too, so
+    that an exact copy counts where the template goes on beyond it.
+    """
     position = F.sequence(F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("item"), F.size("doc") - F.col("shift")) - 1)
 
     def compare(i: Column) -> Column:
         a, b = F.get("item", i), F.get("doc", i + F.col("shift"))
         mark = F.substring(a, 1, 1)
+        slot = mark.between(NUMBER, UNIT)
         return (
-            F.when(mark.between(NUMBER, UNIT), F.when(mark == F.substring(b, 1, 1), "s").otherwise("0"))
-            .when(a == b, "1").otherwise("0")
+            F.when(a == b, F.when(slot, "2").otherwise("1"))
+            .when(slot & (mark == F.substring(b, 1, 1)), "s").otherwise("0")
         )
 
-    aligned = pairs.withColumn("compared", F.array_join(F.transform(position, compare), ""))
-    aligned = aligned.withColumn("lead", F.greatest(F.lit(0), -F.col("shift")))
+    compared = F.array_join(F.transform(position, compare), "")
+    aligned = pairs.withColumn("compared", compared)
+    either = F.array_distinct(F.array("compared", F.translate("compared", "s", "0")))
+    aligned = aligned.withColumn("pieces", F.explode(F.transform(either, lambda c: F.split(c, "0"))))
+    aligned = aligned.select("doc_id", "item_id", "shift", "item", "doc", "pieces", F.posexplode("pieces").alias("piece", "run"))
+    before = F.when(F.col("piece") > 0, F.length(F.array_join(F.slice("pieces", 1, F.col("piece")), "0")) + 1).otherwise(0)
     needed = F.least(F.lit(run), F.size("item"))
-    runs = F.filter(
-        F.split("compared", "0"), lambda r: (F.length(r) >= needed) & (F.length(F.replace(r, F.lit("s"), F.lit(""))) >= F.least(F.lit(LITERALS), needed))
-    )
-    best = F.array_sort(F.transform(runs, lambda r: F.struct((-F.length(r)).alias("n"), r.alias("run"))))
-    aligned = aligned.withColumn("best", F.get(best, F.lit(0))["run"]).where("best is not null")
-    # A run is cut off by 0 on both sides, so its first occurrence between zeros is its place.
-    start = F.expr("instr(concat('0', compared, '0'), concat('0', best, '0')) - 1") + F.col("lead")
-    aligned = aligned.withColumn("start", start.cast("int")).withColumn("n", F.length("best"))
+    words = F.length(F.translate("run", "2s", ""))
+    aligned = aligned.withColumns({"start": F.greatest(F.lit(0), -F.col("shift")) + before, "n": F.length("run")})
+    aligned = aligned.where((F.col("n") >= needed) & (words >= F.least(F.lit(LITERALS), needed)))
     slots = F.filter(
         F.transform(
             F.sequence(F.lit(0), F.col("n") - 1),
@@ -117,16 +126,16 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     named = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), marked(F.col(item_text)).alias("marked"))
     named = named.select("item_id", tokens(F.col("marked")).alias("item"), template(F.col("marked")).alias("plain")).where(F.size("item") >= LEAST)
     sizes = named.agg(F.min(F.size("item")).alias("least"), F.sum(F.size("item")).alias("all")).first()
-    run = min(run, sizes["least"] or run)
-    width = min(width, run)
-    step = run - width + 1
+    shortest = min(run, sizes["least"] or run)
+    width = min(width, shortest)
+    step = shortest - width + 1
     asked = named.select("item_id", F.posexplode(windows(F.col("plain"), width, 1)).alias("at", "window")).distinct()
     if (sizes["all"] or 0) <= BROADCAST_WINDOWS:
         asked = F.broadcast(asked)
     plain = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     hashed = plain.select("doc_id", F.xxhash64("text").alias("version"), template(marked(F.col("text"))).alias("plain"))
     found = hashed.select("doc_id", "version", F.posexplode(windows(F.col("plain"), width, step)).alias("k", "window")).join(asked, "window")
-    found = found.select("doc_id", "version", "item_id", (F.col("k") * step - F.col("at")).alias("shift")).distinct()
+    found = checkpointed(found.select("doc_id", "version", "item_id", (F.col("k") * step - F.col("at")).alias("shift")).distinct())
     # Texts of the documents found: read again, as few of them are needed.
     texts = plain.withColumn("version", F.xxhash64("text")).distinct().join(found.select("doc_id", "version").distinct(), ["doc_id", "version"], "left_semi")
     texts = texts.select("doc_id", "version", tokens(marked(F.col("text"))).alias("doc"))
