@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,13 +37,53 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def text_batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of a batch with about BATCH_BYTES of UTF-8 text each; null texts are empty."""
-    texts = [value.encode() if value is not None else b"" for value in batch.column(column).to_pylist()]
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= BATCH_BYTES or i == len(texts) - 1:
-            yield batch.slice(start, i + 1 - start), texts[start : i + 1]
-            start, size = i + 1, 0
+    texts = batch.column(column)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    until = np.cumsum(sizes)
+    start = 0
+    while start < len(batch):
+        done = until[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(until, done + BATCH_BYTES)))
+        part = batch.slice(start, stop - start)
+        yield part, [value or b"" for value in texts.slice(start, stop - start).cast(pa.binary()).to_pylist()]
+        start = stop
+
+
+#: Cells of one row that Spark's bitmap aggregate returns.
+BITMAP_CELLS = 1 << 15
+#: Bits of a bitmap of row keys: 8 MB, whatever the table's size.
+KEY_BITS = 26
+
+
+def bitmap(cells: DataFrame, size: int) -> bytes:
+    """The column `cell` of `cells` as a bitmap of `size` bits, which is what the driver receives."""
+    parts = cells.groupBy((F.col("cell") / BITMAP_CELLS).cast("int").alias("block")).agg(
+        F.bitmap_construct_agg((F.col("cell") % BITMAP_CELLS).cast("long")).alias("bits")
+    )
+    merged = bytearray(size // 8 or 1)
+    for block, part in parts.toLocalIterator():
+        at = block * BITMAP_CELLS // 8
+        merged[at : at + len(part)] = part[: len(merged) - at]
+    return bytes(merged)
+
+
+def in_bitmap(raw: bytes, cells: np.ndarray) -> np.ndarray:
+    return (np.frombuffer(raw, np.uint8)[cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def by_bitmap(df: DataFrame, cell: str, raw: Broadcast, wanted: bool) -> DataFrame:
+    """Rows whose column `cell` is in the bitmap, or is not.
+
+    A join on the key itself must follow where it matters: other keys may share a cell. The
+    point is that rows without a match need not be shuffled for that join.
+    """
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            here = in_bitmap(raw.value, batch.column(cell).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array(here == wanted))
+
+    return df.mapInArrow(pick, df.schema)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -4,11 +4,13 @@
    copies, however many, cost one row. A class key is a 128-bit sum over its n-grams.
 2. Band and row counts follow from the target recall: the most rows a band can have while the
    bands needed to find a pair at the threshold with that recall stay within the hash budget.
-3. Classes are grouped on band hashes. Every member of a bucket is paired with one pivot,
-   another one in each band, and the pair is verified on the two full n-gram sets. Members
-   that verified links connect need no further look. What a bucket still holds apart is then
-   paired across the parts, so that no colliding pair stays undecided unless it is already in
-   one class group; a bucket of n near copies costs about n pairs instead of n squared.
+3. Classes are grouped on band hashes. Every member of a bucket is paired with its pivot, the
+   member that meets most others over all bands, and the pair is verified on the two full
+   n-gram sets. Members that verified links connect need no further look. The members of buckets that
+   still hold several groups are then compared with each other, block by block, so that no
+   colliding pair stays undecided unless both are in one group already. Pairs are candidates
+   for as long as they are being counted in a task; only links leave it. A bucket of n near
+   copies that the pivot links costs n pairs; one that stays open costs its square in counting.
 4. Verified links are contracted to groups by star contraction on executors.
 
 A set's n-grams are the `size` consecutive words from each word on (words: white-space
@@ -30,13 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.common import checkpointed, smallest_reachable, text_batches
+from tracemill.llm.common import KEY_BITS, bitmap, by_bitmap, checkpointed, smallest_reachable, text_batches
 from tracemill.llm.hashing import Words, mix, signed
 
 NGRAM = 5
 THRESHOLD = 0.8
 RECALL = 0.999
-MAX_HASHES = 256
+#: Members of a bucket that a task compares with as many others.
+BLOCK = 256
+#: Hashes of a signature. Many rows in a band keep texts that share only a common passage apart.
+MAX_HASHES = 640
 
 
 def choose_bands(threshold: float, recall: float, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -160,6 +165,48 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(judge, "a binary, b binary, similarity double")
 
 
+def shared_counts(sets: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each of the sets, how many of its elements every set holds."""
+    sizes = [len(x) for x in sets]
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    for k in range(len(sets)):
+        here = np.zeros(number.max() + 1, np.int64)
+        here[number[first[k] : first[k + 1]]] = 1
+        yield np.add.reduceat(here[number], first[:-1])
+
+
+def linked_in_buckets(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Links (a, b, similarity) between `members` (value, class, label, grams) of one bucket and
+    different labels.
+
+    A bucket's members are dealt into blocks of about `block`; each pair of blocks is a task of
+    its own that counts common n-grams and returns the links, so that neither the bucket nor its
+    pairs are ever in one place.
+    """
+    blocks = members.groupBy("value").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "value").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class", "label", "grams")
+
+    def judge(table: pa.Table) -> pa.Table:
+        classes, labels, own = (table[name].to_pylist() for name in ("class", "label", "own"))
+        sets = [np.frombuffer(value.as_buffer(), np.uint64) for value in table["grams"]]
+        sizes = np.array([len(x) for x in sets])
+        out: list[tuple[bytes, bytes, float]] = []
+        within = table["low"][0] == table["high"][0]
+        for k, common in enumerate(shared_counts(sets)):
+            score = common / (sizes + sizes[k] - common)
+            for j in np.flatnonzero(score >= threshold):
+                if classes[k] < classes[j] and labels[k] != labels[j] and (within or own[k] != own[j]):
+                    out.append((classes[k], classes[j], float(score[j])))
+        a, b, similarity = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "similarity": pa.array(similarity, pa.float64())})
+
+    found = dealt.groupBy("value", "low", "high").applyInArrow(judge, "a binary, b binary, similarity double")
+    return found.dropDuplicates(["a", "b"])
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -172,27 +219,39 @@ def class_links(docs: DataFrame, size: int = NGRAM, threshold: float = THRESHOLD
     signed_docs = checkpointed(signatures(docs, size, bands, rows))
     members = signed_docs.select("doc", "class").distinct()
     classes = signed_docs.groupBy("class").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands"))
-    buckets = classes.select("class", F.posexplode("bands").alias("band", "value"))
-    pivot = F.min_by("class", F.xxhash64("class", "band"))
-    shared = buckets.groupBy("band", "value").agg(F.count("*").alias("n"), pivot.alias("pivot")).where("n > 1")
-    placed = checkpointed(buckets.join(shared.select("band", "value", "pivot"), ["band", "value"]))
+    # A band's hash holds its number. Short keys travel with the hashes; classes that share
+    # one, should that ever happen, are candidates of each other like any in one bucket.
+    buckets = classes.select(F.xxhash64("class").alias("short"), F.explode("bands").alias("value"))
+    shared = buckets.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+    held = checkpointed(buckets.join(shared, "value"))
+    # The pivot is the member that meets most others in all its buckets: the text that others
+    # are copies of is nearer to them than they are to each other.
+    central = held.groupBy("short").agg(F.sum(F.col("n") - 1).alias("met"))
+    held = held.join(central, "short").select("value", "short", "met")
+    pivots = held.groupBy("value").agg(F.max_by("short", F.struct("met", "short")).alias("pivot"))
+    named = classes.select("class", F.xxhash64("class").alias("short")).join(central.select("short"), "short", "left_semi")
+    named = checkpointed(named)
+    pivot_names = named.select(F.col("class").alias("pivot_class"), F.col("short").alias("pivot"))
+    placed = held.join(pivots, "value").join(named, "short").join(pivot_names, "pivot")
+    placed = checkpointed(placed.select("value", "class", "pivot_class"))
     # The sets of colliding classes: text is read again rather than kept for all classes.
     needed = placed.select("class").distinct()
-    sources = classes.select("class", "doc").join(needed, "class", "left_semi").select("doc").distinct()
-    texts = docs.join(sources, "doc", "left_semi").select("text")
+    sources = checkpointed(classes.select("class", "doc").join(needed, "class", "left_semi").select("doc").distinct())
+    slot = F.pmod(F.xxhash64("doc"), F.lit(1 << KEY_BITS)).alias("cell")
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(sources.select(slot), 1 << KEY_BITS))
+    near = by_bitmap(docs.select("doc", "text", slot), "cell", wanted, True)
+    texts = near.join(sources, "doc", "left_semi").select("text")
     sets = checkpointed(gram_sets(texts, size).join(needed, "class", "left_semi").dropDuplicates(["class"]))
-    tried = _ordered(placed.select(F.col("class").alias("x"), F.col("pivot").alias("y")))
+    tried = _ordered(placed.select(F.col("class").alias("x"), F.col("pivot_class").alias("y")))
     links = checkpointed(verified(tried, sets, threshold))
     labels = smallest_reachable(links)
-    # Buckets that still hold several groups: every pair across groups that was not tried yet.
-    named = placed.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
+    # Buckets that still hold several groups: their members are compared with each other.
+    grouped = placed.select("value", "class").join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "label", F.coalesce("label", "class")
     )
-    split = named.groupBy("band", "value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    rest = named.join(split.select("band", "value"), ["band", "value"], "left_semi").select("band", "value", "class", "label")
-    across = rest.alias("p").join(rest.alias("q"), ["band", "value"]).where("p.class < q.class and p.label <> q.label")
-    open_pairs = across.select(F.col("p.class").alias("a"), F.col("q.class").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = checkpointed(verified(open_pairs, sets, threshold))
+    split = grouped.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    rest = grouped.join(split.select("value"), "value", "left_semi").join(sets, "class")
+    more = checkpointed(linked_in_buckets(rest.select("value", "class", "label", "grams"), threshold))
     links = links.union(more)
     return members, links, smallest_reachable(links)
 
