@@ -19,6 +19,7 @@ from pyspark.sql import Window
 from tracemill.config import EngineConfig
 from tracemill.functions import messages as M
 from tracemill.functions import traces as T
+from tracemill.operators.counting import with_time_buckets
 from tracemill.operators.rows import CONTEXT, NO_ERROR, ROW_ERRORS, error_text
 
 ORDER = ("ls_ts", "row_seq")
@@ -63,13 +64,13 @@ def reassemble_traces(rows: DataFrame) -> DataFrame:
     )
 
 
-def chronological_logs(rows: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+def chronological_logs(rows: DataFrame) -> DataFrame:
     """Rows with their 1-based position in the trace.
 
     Ranks within (trace, time bucket) plus the number of rows in earlier buckets,
     so a very long trace is ranked by many tasks instead of one.
     """
-    bucketed = rows.withColumn("bucket", F.floor(F.unix_seconds("ls_ts") / bucket_seconds))
+    bucketed = with_time_buckets(rows, F.col("ls_ts"))
     key = ["correlation_id", "bucket"]
     earlier = Window.partitionBy("correlation_id").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1
