@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +26,20 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``, which all executors must share."""
+    """Folder named by ``spark.checkpoint.dir``, which all executors must share.
+
+    Only a session whose driver and executors are one process may do without the
+    setting; it gets a folder of its own for as long as it lives.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
+    if configured:
+        return configured.rstrip("/")
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return configured.rstrip("/")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tracemill-"))
+    return context.getCheckpointDir()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
