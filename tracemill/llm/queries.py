@@ -61,7 +61,8 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    control = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], said.schema)
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    control = spark.range(2).select(F.lit(-7).cast("long"), "id", role, F.lit(CONTROL_TEXT))
     formatted = chat.conversations(chat.thread(said.union(control)))
     turns = F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     read = formatted.select(

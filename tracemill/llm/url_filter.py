@@ -15,6 +15,7 @@ rows are judged alike; other columns are kept.
 
 from __future__ import annotations
 
+import json
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -53,10 +54,10 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
             suffix = ("com", "net", "org")[i % 3]
             front = ("", "www.", "m.", "blog.")[i % 4]
             path = (f"/en/{100 + i}", f"/de/{200 + i}/", f"/es/{300 + i}.html", f"/fr/{i}?page=2", f"/{word}/index.html")[i % 5]
-            rows.append((f"https://{front}{word}.example.{suffix}{path}", label))
-            rows.append((f"http://{word}.{suffix}/", label))
-            rows.append((f"https://{front}site.example.{suffix}/{word}/{i}", label))
-    return spark.createDataFrame(rows, "url string, label double")
+            for url in (f"https://{front}{word}.example.{suffix}{path}", f"http://{word}.{suffix}/", f"https://{front}site.example.{suffix}/{word}/{i}"):
+                rows.append({"url": url, "label": label})
+    listed = F.from_json(F.lit(json.dumps(rows)), "array<struct<url:string,label:double>>")
+    return spark.range(1).select(F.explode(listed).alias("row")).select("row.url", "row.label")
 
 
 def host_of(url: Column) -> Column:
