@@ -223,7 +223,7 @@ def test_single_features_agree_with_the_combined_ones(spark):
                    ["info", "warn", "error", "debug"][i % 4], f"s{i % 3}", i) for i in range(60)]
     rows = flat_rows(logs_frame(spark, entries), AS_OF)
     combined = by_cid(O.trace_features(rows, CFG))
-    for single in (O.services_in_order(rows), O.error_types(rows), O.level_features(rows),
+    for single in (O.services_in_order(rows), O.error_types(rows, CFG), O.level_features(rows),
                    O.suspicious_keywords(rows, CFG)):
         for cid, row in by_cid(single).items():
             for name, value in row.asDict().items():
