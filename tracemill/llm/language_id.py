@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracemill.llm.common import text_batches
+
 UNKNOWN = "und"
 SIZES = (1, 2, 3)
 #: Code points that a task scores at once.
@@ -157,19 +159,20 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", names: t
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            langs: list[str] = []
-            scores: list[float] = []
-            for _, texts in _text_groups(batch.column(text).to_pylist()):
-                known = [bool(model.languages) and any(map(str.isalpha, t)) for t in texts]
-                if model.languages:
-                    best, sure = score_texts(model, texts)
-                for i, ok in enumerate(known):
-                    langs.append(model.languages[best[i]] if ok else UNKNOWN)
-                    scores.append(float(sure[i]) if ok else 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, predicted, score],
-            )
+            for part, raw in text_batches(batch, text):
+                langs: list[str] = []
+                scores: list[float] = []
+                for _, texts in _text_groups([t.decode() for t in raw]):
+                    known = [bool(model.languages) and any(map(str.isalpha, t)) for t in texts]
+                    if model.languages:
+                        best, sure = score_texts(model, texts)
+                    for i, ok in enumerate(known):
+                        langs.append(model.languages[best[i]] if ok else UNKNOWN)
+                        scores.append(float(sure[i]) if ok else 0.0)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*part.schema.names, predicted, score],
+                )
 
     return docs.mapInArrow(tag, schema)
 
