@@ -16,7 +16,8 @@ input, not on what is left.
    with a larger id than the run's smallest, every window of the run is a repeat. Where an
    anchor has several different runs, the windows of each run's first document are grouped
    one by one. Hot passages shrink in the partial aggregation before they are shuffled.
-3. Covered word ranges, one row per document, are joined back to the texts.
+3. Covered word ranges, one row per document, are joined back to the texts. Another bitmap of
+   fixed size tells which documents may have any, so that only their texts are shuffled.
 
 Sequences count as equal when anchor and sequence hash (64 bits each) both are.
 
@@ -32,11 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracemill.llm.common import checkpointed, fresh, text_batches
+from tracemill.llm.common import KEY_BITS, bitmap, by_bitmap, checkpointed, fresh, in_bitmap, text_batches
 from tracemill.llm.hashing import Words, mix, running_min, signed
 
 WINDOW = 50
@@ -48,7 +50,6 @@ SKETCH_SALTS = (0x9E3779B97F4A7C15, 0x3C6EF372FE94F82A)
 SKETCH_ROWS = len(SKETCH_SALTS)
 #: Cells that a task gathers before it emits a partial sketch.
 FLUSH_CELLS = 1 << 21
-BITMAP_CELLS = 1 << 15
 
 
 def sketch_cells(anchors: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -115,14 +116,7 @@ def repeated_cells(docs: DataFrame, text: str, window: int, anchor: int, bits: i
             yield emit()
 
     cells = docs.select(text).mapInArrow(sketch, "cell int, n int").groupBy("cell").agg(F.sum("n").alias("n"))
-    bitmaps = cells.where("n >= 2").groupBy((F.col("cell") / BITMAP_CELLS).cast("int").alias("block")).agg(
-        F.bitmap_construct_agg((F.col("cell") % BITMAP_CELLS).cast("long")).alias("bits")
-    )
-    merged = bytearray((SKETCH_ROWS << bits) // 8 or 1)
-    for block, part in bitmaps.toLocalIterator():  # at most (SKETCH_ROWS << bits) / 8 bytes in all
-        at = block * BITMAP_CELLS // 8
-        merged[at : at + len(part)] = part[: len(merged) - at]
-    return bytes(merged)
+    return bitmap(cells.where("n >= 2"), SKETCH_ROWS << bits)
 
 
 def _candidates(docs: DataFrame, window: int, anchor: int, bits: int) -> DataFrame:
@@ -130,14 +124,13 @@ def _candidates(docs: DataFrame, window: int, anchor: int, bits: int) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(repeated_cells(docs, "text", window, anchor, bits))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for part, texts in text_batches(batch, "text"):
                 words = Words(texts)
                 runs = Runs(words, window, anchor)
                 keep = np.ones(len(runs.start), bool)
                 for cells in sketch_cells(runs.anchor, bits):
-                    keep &= (bitmap[cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
+                    keep &= in_bitmap(shared.value, cells)
                 start, count, owner = runs.start[keep], runs.count[keep], runs.text[keep]
                 if not len(start):
                     continue
@@ -189,52 +182,67 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     Kept words are joined by one space. With `layout` the white space of the text stays: what
     is cut is each removed word and the white space after it, and untouched texts stay as they are.
     """
-    version, ranges, key = fresh(docs, "version", "ranges", "doc")
+    version, ranges, key, cell = fresh(docs, "version", "ranges", "doc", "cell")
     keyed = docs.withColumn(version, F.xxhash64(F.col(text)))
-    found = covered_ranges(keyed.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"), F.col(version).alias("version")),
-                           window, anchor, bits)
+    found = checkpointed(covered_ranges(
+        keyed.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"), F.col(version).alias("version")), window, anchor, bits
+    ))
     found = found.select(F.col("doc").alias(key), F.col("version").alias(f"{version}_"), F.col("ranges").alias(ranges))
-    joined = keyed.join(found, (keyed[doc_id] == found[key]) & (keyed[version] == found[f"{version}_"]), "left")
+    slot = lambda *columns: F.pmod(F.xxhash64(*columns), F.lit(1 << KEY_BITS))
+    touched = docs.sparkSession.sparkContext.broadcast(
+        bitmap(found.select(slot(key, f"{version}_").alias("cell")), 1 << KEY_BITS)
+    )
     total, removed = names
     fields = [f for f in docs.schema.fields if f.name not in names]
-    joined = joined.select(*(keyed[f.name] for f in fields), found[ranges])
+    placed = keyed.select(*(f.name for f in fields), version, slot(doc_id, version).alias(cell))
+
+    some = by_bitmap(placed, cell, touched, True)
+    joined = some.join(found, (some[doc_id] == found[key]) & (some[version] == found[f"{version}_"]), "left")
+    joined = joined.select(*(some[f.name] for f in fields), found[ranges])
     place = [f.name for f in fields].index(text)
     schema = T.StructType([*fields, T.StructField(total, T.LongType()), T.StructField(removed, T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(len(fields))
-            bounds = lists.offsets.to_numpy()
-            present = lists.is_valid().to_numpy(zero_copy_only=False)
+            for part, texts in text_batches(batch, text):
+                yield cut_part(part, texts, part.column(len(fields)))
+
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            here = in_bitmap(touched.value, batch.column(cell).to_numpy(zero_copy_only=False))
+            for part, texts in text_batches(batch.filter(pa.array(~here)), text):
+                yield cut_part(part, texts, None)
+
+    def cut_part(part: pa.RecordBatch, texts: list[bytes], lists: pa.ListArray | None) -> pa.RecordBatch:
+        kept: list[bytes] = []
+        counts: list[tuple[int, int]] = []
+        if lists is not None:
+            bounds, present = lists.offsets.to_numpy(), lists.is_valid().to_numpy(zero_copy_only=False)
             starts, ends = (lists.values.field(k).to_numpy() for k in (0, 1))
-            kept: list[str | None] = []
-            counts: list[tuple[int, int]] = []
-            for i, value in enumerate(batch.column(place).to_pylist()):
-                raw = (value or "").encode()
-                words = raw.split()
-                gone = 0
-                if present[i]:
-                    mine = slice(bounds[i], bounds[i + 1])
-                    edges = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edges, starts[mine], 1)
-                    np.add.at(edges, ends[mine], -1)
-                    covered = np.cumsum(edges)[:-1] > 0
-                    gone = int(covered.sum())
-                counts.append((len(words), gone))
-                if value is None or layout and not gone:
-                    kept.append(value)
-                elif not gone:
-                    kept.append(b" ".join(words).decode())
-                elif not layout:
-                    kept.append(b" ".join(w for w, c in zip(words, covered, strict=True) if not c).decode())
-                else:
-                    found = Words([raw])
-                    kept.append(_without(raw, found.start, covered).decode())
-            columns = [*batch.columns[: len(fields)], pa.array([c[0] for c in counts], pa.int64()), pa.array([c[1] for c in counts], pa.int64())]
-            columns[place] = pa.array(kept, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return joined.mapInArrow(cut, schema)
+        for i, raw in enumerate(texts):
+            words = raw.split()
+            gone = 0
+            if lists is not None and present[i]:
+                mine = slice(bounds[i], bounds[i + 1])
+                edges = np.zeros(len(words) + 1, np.int64)
+                np.add.at(edges, starts[mine], 1)
+                np.add.at(edges, ends[mine], -1)
+                covered = np.cumsum(edges)[:-1] > 0
+                gone = int(covered.sum())
+            counts.append((len(words), gone))
+            if not gone:
+                kept.append(raw if layout else b" ".join(words))
+            elif not layout:
+                kept.append(b" ".join(w for w, c in zip(words, covered, strict=True) if not c))
+            else:
+                kept.append(_without(raw, Words([raw]).start, covered))
+        columns = list(part.columns[: len(fields)])
+        columns[place] = pc.if_else(columns[place].is_valid(), pa.array(kept, pa.binary()).cast(pa.string()), None)
+        columns += [pa.array([c[k] for c in counts], pa.int64()) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    others = placed.select(*(f.name for f in fields), cell)
+    return joined.mapInArrow(cut, schema).union(others.mapInArrow(leave, schema))
 
 
 def _without(raw: bytes, start: np.ndarray, covered: np.ndarray) -> bytes:
