@@ -26,7 +26,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id."""
-    groups = ngram_join.similar_documents(docs)
+    groups = ngram_join.similar_documents(docs, count_links=False)
     others = groups.where("doc_id <> group_id").select("doc_id")
     return docs.join(others, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
 

@@ -58,6 +58,22 @@ def test_buckets_that_hold_several_groups_are_decided(spark, monkeypatch):
     assert together <= {(a, b) for a in groups for b in groups if groups[a] == groups[b]}
 
 
+@pytest.mark.parametrize("block", [1024, 4])
+def test_links_are_counted_like_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join.link_counts, "__defaults__", (block, ngram_join.GROUP_BYTES))
+    base = prose(5000, 300)
+    rows = documents() + [(600 + i, near(base, 7000 + i, 4)) for i in range(30)]  # a group that its pivot connects
+    classes, _, links = brute(rows)
+    partners = {d: set() for d in classes}
+    for a, b in links:
+        if classes[a] != classes[b]:
+            partners[a].add(classes[b])
+            partners[b].add(classes[a])
+    got = {r["doc_id"]: r["n_links"] for r in similar_documents(frame(spark, rows)).collect()}
+    assert max(got.values()) > 10
+    assert got == {d: len(found) for d, found in partners.items()}
+
+
 @pytest.mark.parametrize("recall", [0.9, 0.99, 0.999])
 def test_bands_reach_the_recall(recall):
     bands, rows = choose_bands(0.8, recall)

@@ -12,6 +12,9 @@
    for as long as they are being counted in a task; only links leave it. A bucket of n near
    copies that the pivot links costs n pairs; one that stays open costs its square in counting.
 4. Verified links are contracted to groups by star contraction on executors.
+5. Links are counted among all pairs of a group, block by block, whichever buckets they share. As
+   every colliding pair was decided, no link leads out of its group. Tasks return one partial
+   count per class and never pairs; a group costs its square in counting.
 
 A set's n-grams are the `size` consecutive words from each word on (words: white-space
 separated, unchanged); a shorter text has all its words as its one n-gram. Two sets are linked
@@ -40,6 +43,11 @@ THRESHOLD = 0.8
 RECALL = 0.999
 #: Members of a bucket that a task compares with as many others.
 BLOCK = 256
+#: Members, and bytes of their sets, of a group that a task compares with as many others. Each
+#: set is sent once for every block of its group.
+GROUP_BLOCK, GROUP_BYTES = 1024, 8 << 20
+#: N-grams that are compared at once, as columns of a matrix.
+COLUMNS = 4096
 #: Hashes of a signature. Many rows in a band keep texts that share only a common passage apart.
 MAX_HASHES = 640
 
@@ -207,14 +215,76 @@ def linked_in_buckets(members: DataFrame, threshold: float, block: int = BLOCK)
     return found.dropDuplicates(["a", "b"])
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of `left` has in common with each of `right`."""
+    sizes = [len(x) for x in left], [len(x) for x in right]
+    values, number = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    sides = number[: sum(sizes[0])], number[sum(sizes[0]) :]
+    both = np.logical_and(*(np.bincount(side, minlength=len(values)) > 0 for side in sides))
+    column = np.cumsum(both) - 1
+    places = []
+    for side, size in zip(sides, sizes, strict=True):
+        row, at = np.repeat(np.arange(len(size)), size)[both[side]], column[side[both[side]]]
+        order = np.argsort(at, kind="stable")
+        places.append((row[order], at[order]))
+    out = np.zeros((len(left), len(right)))
+    for low in range(0, int(both.sum()), COLUMNS):
+        parts = []
+        for (row, at), size in zip(places, sizes, strict=True):
+            first, last = np.searchsorted(at, [low, low + COLUMNS])
+            part = np.zeros((len(size), COLUMNS), np.float32)
+            part[row[first:last], at[first:last] - low] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def link_counts(labels: DataFrame, sets: DataFrame, threshold: float, block: int = GROUP_BLOCK, block_bytes: int = GROUP_BYTES) -> DataFrame:
+    """(class, n_links): links of each class in `labels` (node, label) to others of its label.
+
+    A label's classes are dealt into blocks; each pair of blocks is a task of its own that
+    returns how many links each class has there.
+    """
+    named = labels.select(F.col("node").alias("class"), "label")
+    sizes = sets.select("class", F.length("grams").alias("bytes")).join(named, "class")
+    groups = sizes.groupBy("label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = F.ceil(F.greatest(F.col("n") / block, F.least(F.col("bytes") / block_bytes, "n"))).cast("int")
+    named = checkpointed(named.join(groups.select("label", "n", blocks.alias("blocks")), "label"))
+    # A group of two is one link.
+    pairs = named.where("n = 2").select("class", F.lit(1).cast("long").alias("n_links"))
+    dealt = sets.join(named.where("n > 2"), "class").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class", "grams")
+
+    def count(table: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(value.as_buffer(), np.uint64) for value in table["grams"]]
+        size = np.array([len(x) for x in sets])
+        own, low, high = table["own"].to_numpy(), table["low"][0].as_py(), table["high"][0].as_py()
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        number = np.zeros(len(sets), np.int64)
+        if len(left) and len(right):
+            common = common_counts([sets[k] for k in left], [sets[k] for k in right])
+            linked = common / (size[left][:, None] + size[right] - common) >= threshold
+            if low == high:
+                np.fill_diagonal(linked, False)
+            else:
+                number[right] = linked.sum(0)
+            number[left] = linked.sum(1)
+        found = np.flatnonzero(number)
+        return pa.table({"class": table["class"].take(pa.array(found)), "n_links": pa.array(number[found])})
+
+    parts = dealt.groupBy("label", "low", "high").applyInArrow(count, "class binary, n_links long")
+    return pairs.union(parts.groupBy("class").agg(F.sum("n_links").alias("n_links")))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def class_links(docs: DataFrame, size: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL,
                 max_hashes: int = MAX_HASHES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of `docs` (doc, text): (doc, class) members, (a, b, similarity) links between classes,
-    (node, label) group label of each linked class."""
+    """Of `docs` (doc, text): (doc, class) members, (node, label) group label of each linked
+    class, (class, grams) sets of all classes that share a bucket."""
     bands, rows = choose_bands(threshold, recall, max_hashes)
     signed_docs = checkpointed(signatures(docs, size, bands, rows))
     members = signed_docs.select("doc", "class").distinct()
@@ -252,35 +322,34 @@ def class_links(docs: DataFrame, size: int = NGRAM, threshold: float = THRESHOLD
     split = grouped.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     rest = grouped.join(split.select("value"), "value", "left_semi").join(sets, "class")
     more = checkpointed(linked_in_buckets(rest.select("value", "class", "label", "grams"), threshold))
-    links = links.union(more)
-    return members, links, smallest_reachable(links)
+    return members, smallest_reachable(links.union(more)), sets
 
 
 def similar_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = NGRAM,
-                      threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+                      threshold: float = THRESHOLD, recall: float = RECALL, count_links: bool = True) -> DataFrame:
     """One row per document: `doc_id`, class_id, group_id, n_copies, n_links.
 
     class_id and group_id are the smallest ids of the documents with the same n-gram set, and
     of those that links connect. n_copies counts the other documents of the class. n_links
-    counts the classes linked to this one among the verified pairs; pairs inside a group that
-    other links already connect are verified only where they meet a pivot.
+    counts the other classes linked to this one. Without `count_links` there is no column
+    n_links, for callers that need groups only.
     """
     plain = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
-    members, links, labels = class_links(plain, size, threshold, recall)
+    members, labels, sets = class_links(plain, size, threshold, recall)
     classes = members.groupBy("class").agg(F.min("doc").alias("class_id"), (F.count("*") - 1).alias("n_copies"))
-    ends = links.select(F.col("a").alias("class")).union(links.select(F.col("b").alias("class")))
-    counted = ends.groupBy("class").agg(F.count("*").alias("n_links"))
-    classes = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").join(counted, "class", "left")
+    classes = classes.join(labels.withColumnRenamed("node", "class"), "class", "left")
+    counts = ["n_copies"]
+    if count_links:
+        classes = classes.join(link_counts(labels, sets, threshold), "class", "left")
+        counts.append("n_links")
     classes = checkpointed(classes.withColumn("label", F.coalesce("label", "class")))
     groups = classes.groupBy("label").agg(F.min("class_id").alias("group_id"))
-    classes = classes.join(groups, "label").select("class", "class_id", "group_id", "n_copies", "n_links")
+    classes = classes.join(groups, "label").select("class", "class_id", "group_id", *counts)
     found = members.join(classes, "class").groupBy("doc").agg(
-        F.min("class_id").alias("class_id"), F.min("group_id").alias("group_id"),
-        F.max("n_copies").alias("n_copies"), F.max("n_links").alias("n_links"),
+        F.min("class_id").alias("class_id"), F.min("group_id").alias("group_id"), *(F.max(name).alias(name) for name in counts)
     )
     ids = plain.select("doc").distinct()
     return ids.join(found, "doc", "left").select(
-        F.col("doc").alias(doc_id),
-        F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("group_id", "doc").alias("group_id"),
-        F.coalesce("n_copies", F.lit(0)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.col("doc").alias(doc_id), F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("group_id", "doc").alias("group_id"),
+        *(F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in counts),
     )
