@@ -58,6 +58,17 @@ def test_slots_must_map_one_to_one(spark):
     assert got[0, 1]["n_slots"] == 2
 
 
+def test_the_longest_consistent_run_is_found(spark):
+    # Both 2 and 3 became 4: only the tokens before the second 4, or after the first, map one to one.
+    train = ITEMS[1][1]
+    rows = [(1, train.replace(" 2 ", " 4 ").replace(" 3 ", " 4 ")), (2, "Intro. " + train.replace("120", "90", 1))]
+    got = hits(spark, rows, ITEMS[1:2])
+    w = rows[0][1].replace(".", "").replace("?", "").split()
+    assert set(got) == {(1, 2), (2, 2)}
+    second = [i for i, x in enumerate(w) if x == "4"]
+    assert got[1, 2]["n_matched"] == max(second[1], len(w) - second[0] - 1) and not got[1, 2]["same_values"]
+
+
 def test_every_offset_and_run_length_is_found(spark):
     rng = random.Random(3)
     item = prose(77, 40, 10_000)

@@ -65,57 +65,67 @@ def template(marked_text: Column) -> Column:
     return tokens(F.regexp_replace(marked_text, f"({MARKS}){INSIDE}", "$1"))
 
 
-def windows(tokens: Column, width: int, step: int) -> Column:
-    """(position, hash) of the `width` tokens from every `step`-th position on."""
-    last = F.size(tokens) - width
+def windows(width: int, step: int, *templates: Column) -> Column:
+    """By position, hashes of the `width` tokens from every `step`-th position on, of each of
+    the equally long `templates`."""
+    last = F.size(templates[0]) - width
     starts = F.when(last >= 0, F.sequence(F.lit(0), F.floor(last / step).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda k: F.xxhash64(F.slice(tokens, k * step + 1, width)))
+    return F.transform(starts, lambda k: F.array_distinct(F.array(*(F.xxhash64(F.slice(t, k * step + 1, width)) for t in templates))))
 
 
 def _hits(pairs: DataFrame, run: int) -> DataFrame:
-    """Runs of an alignment whose slots map one to one.
+    """Runs of an alignment whose slots map one to one, as long as possible.
 
-    Tokens are compared to one letter each: 1 equal word, 2 equal value in a slot, s another
-    value in a slot of the same kind, 0 neither. Runs are cut at 0; and once more at s too, so
-    that an exact copy counts where the template goes on beyond it.
+    Tokens are compared to one letter each: 1 equal word, n equal name, 2 equal value in another
+    slot, s another value in a slot of the same kind, 0 neither. A run may not hold a 0 nor two
+    slots of which only the item's or only the document's values are equal; for each position,
+    the last one before it that it may not share a run with gives the cuts.
     """
     position = F.sequence(F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("item"), F.size("doc") - F.col("shift")) - 1)
 
     def compare(i: Column) -> Column:
         a, b = F.get("item", i), F.get("doc", i + F.col("shift"))
-        mark = F.substring(a, 1, 1)
+        x, y, mark, other = a, b, F.substring(a, 1, 1), F.substring(b, 1, 1)
         slot = mark.between(NUMBER, UNIT)
-        return (
-            F.when(a == b, F.when(slot, "2").otherwise("1"))
-            .when(slot & (mark == F.substring(b, 1, 1)), "s").otherwise("0")
+        code = (
+            F.when(x == y, F.when(slot & (mark == other), F.when(mark == NAME, "n").otherwise("2")).otherwise("1"))
+            .when(slot & (mark == other), "s").otherwise("0")
         )
-
-    compared = F.array_join(F.transform(position, compare), "")
-    aligned = pairs.withColumn("compared", compared)
-    either = F.array_distinct(F.array("compared", F.translate("compared", "s", "0")))
-    aligned = aligned.withColumn("pieces", F.explode(F.transform(either, lambda c: F.split(c, "0"))))
-    aligned = aligned.select("doc_id", "item_id", "shift", "item", "doc", "pieces", F.posexplode("pieces").alias("piece", "run"))
-    before = F.when(F.col("piece") > 0, F.length(F.array_join(F.slice("pieces", 1, F.col("piece")), "0")) + 1).otherwise(0)
-    needed = F.least(F.lit(run), F.size("item"))
-    words = F.length(F.translate("run", "2s", ""))
-    aligned = aligned.withColumns({"start": F.greatest(F.lit(0), -F.col("shift")) + before, "n": F.length("run")})
-    aligned = aligned.where((F.col("n") >= needed) & (words >= F.least(F.lit(LITERALS), needed)))
-    slots = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.col("n") - 1),
-            lambda i: F.struct(F.get("item", F.col("start") + i).alias("item"), F.get("doc", F.col("start") + i + F.col("shift")).alias("doc")),
-        ),
-        lambda pair: F.substring(pair["item"], 1, 1).between(NUMBER, UNIT),
+        return F.struct(i.alias("at"), code.alias("code"), (slot & (code != "0")).alias("slot"), x.alias("item"), y.alias("doc"))
+
+    aligned = pairs.withColumn("compared", F.transform(position, compare))
+    aligned = aligned.withColumn("slots", F.filter("compared", lambda t: t["slot"]))
+
+    def conflict(t: Column) -> Column:
+        others = F.filter("slots", lambda o: (o["at"] < t["at"]) & ((o["item"] == t["item"]) != (o["doc"] == t["doc"])))
+        return F.when(t["code"] == "0", t["at"]).when(t["slot"], F.coalesce(F.array_max(F.transform(others, lambda o: o["at"])), F.lit(-1))).otherwise(-1)
+
+    # A run ends before each token that shortens it, and at the end of the alignment.
+    piece = lambda start, end: F.struct(start.alias("start"), end.alias("end"))
+    first, last = F.get("position", F.lit(0)), F.element_at("position", -1)
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    aligned = aligned.withColumn("position", position)
+    state = F.aggregate(
+        F.transform("compared", lambda t: F.struct(t["at"].alias("at"), conflict(t).alias("bad"))),
+        F.struct(first.alias("start"), none.alias("pieces")),
+        lambda acc, t: F.when(
+            t["bad"] >= acc["start"],
+            F.struct((t["bad"] + 1).alias("start"), F.concat(acc["pieces"], F.array(piece(acc["start"], t["at"]))).alias("pieces")),
+        ).otherwise(acc),
+        lambda acc: F.concat(acc["pieces"], F.array(piece(acc["start"], last + 1))),
     )
+    aligned = aligned.withColumn("first", first).withColumn("run", F.explode(state)).withColumn("n", F.col("run.end") - F.col("run.start"))
+    needed = F.least(F.lit(run), F.size("item"))
+    aligned = aligned.where(F.col("n") >= needed).withColumn("run_tokens", F.slice("compared", F.col("run.start") - F.col("first") + 1, F.col("n")))
+    words = F.size(F.filter("run_tokens", lambda t: t["code"].isin("1", "n")))
+    aligned = aligned.where(words >= F.least(F.lit(LITERALS), needed))
+    slots = F.transform(F.filter("run_tokens", lambda t: t["slot"]), lambda t: F.struct(t["item"].alias("item"), t["doc"].alias("doc")))
     aligned = aligned.withColumn("slots", F.array_distinct(slots))
-    one_to_one = (F.size(F.array_distinct(F.col("slots.item"))) == F.size("slots")) & (
-        F.size(F.array_distinct(F.col("slots.doc"))) == F.size("slots")
-    )
     same = F.forall("slots", lambda pair: pair["item"] == pair["doc"])
-    return aligned.where(one_to_one).select(
+    return aligned.select(
         "doc_id", "item_id", F.col("n").cast("long").alias("n_matched"), F.size("item").cast("long").alias("n_item"),
         F.size("slots").cast("long").alias("n_slots"), same.alias("same_values"),
-        (F.col("start") + F.col("shift")).cast("long").alias("first_token"),
+        (F.col("run.start") + F.col("shift")).cast("long").alias("first_token"),
     )
 
 
@@ -129,12 +139,16 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     shortest = min(run, sizes["least"] or run)
     width = min(width, shortest)
     step = shortest - width + 1
-    asked = named.select("item_id", F.posexplode(windows(F.col("plain"), width, 1)).alias("at", "window")).distinct()
+    ways = (F.col("plain"),)
+    asked = named.select("item_id", F.posexplode(windows(width, 1, *ways)).alias("at", "ways"))
+    asked = asked.select("item_id", "at", F.explode("ways").alias("window")).distinct()
     if (sizes["all"] or 0) <= BROADCAST_WINDOWS:
         asked = F.broadcast(asked)
     plain = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    hashed = plain.select("doc_id", F.xxhash64("text").alias("version"), template(marked(F.col("text"))).alias("plain"))
-    found = hashed.select("doc_id", "version", F.posexplode(windows(F.col("plain"), width, step)).alias("k", "window")).join(asked, "window")
+    hashed = plain.select("doc_id", F.xxhash64("text").alias("version"), marked(F.col("text")).alias("marked"))
+    hashed = hashed.select("doc_id", "version", template(F.col("marked")).alias("plain"))
+    hashed = hashed.select("doc_id", "version", F.posexplode(windows(width, step, F.col("plain"))).alias("k", "ways"))
+    found = hashed.select("doc_id", "version", "k", F.explode("ways").alias("window")).join(asked, "window")
     found = checkpointed(found.select("doc_id", "version", "item_id", (F.col("k") * step - F.col("at")).alias("shift")).distinct())
     # Texts of the documents found: read again, as few of them are needed.
     texts = plain.withColumn("version", F.xxhash64("text")).distinct().join(found.select("doc_id", "version").distinct(), ["doc_id", "version"], "left_semi")
