@@ -58,6 +58,17 @@ def test_slots_must_map_one_to_one(spark):
     assert got[0, 1]["n_slots"] == 2
 
 
+def test_copies_in_another_case(spark):
+    item = ITEMS[0][1]
+    rows = [(1, f"so {item.lower()}"), (2, item.upper()), (3, "So " + item.title()), (4, item.upper().replace("48", "31"))]
+    got = hits(spark, rows)
+    assert set(got) == {(i, 1) for i in (1, 2, 3, 4)}
+    assert all(r["n_matched"] == r["n_item"] for r in got.values())
+    assert [got[i, 1]["same_values"] for i in (1, 2, 3, 4)] == [True, True, True, False]
+    capital = [(1, item.upper())]
+    assert set(hits(spark, [(1, item), (2, item.lower()), (3, item.upper())], capital)) == {(1, 1), (2, 1), (3, 1)}
+
+
 def test_the_longest_consistent_run_is_found(spark):
     # Both 2 and 3 became 4: only the tokens before the second 4, or after the first, map one to one.
     train = ITEMS[1][1]

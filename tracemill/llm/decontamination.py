@@ -2,12 +2,15 @@
 
 Numbers, units and names become typed placeholders; what is left is a template. A document is
 hit by an item if a run of `run` template tokens (the whole item, if it is shorter) occurs in
-both and the values in the run's placeholders map one to one.
+both and the values in the run's placeholders map one to one. A word equals itself whether it
+was taken for a name or not, so that copies in another case are found; a changed name must
+look like a name in both.
 
 Only DataFrame functions are used. A text's template is made by a few regular expressions over
 the whole string. As any run of `run` tokens holds a window of `width` tokens that starts at a
 multiple of `run - width + 1`, only those windows of documents are hashed; items give all
-theirs, so no run is lost. Windows are joined on the hash, the item side broadcast only if it
+theirs, so no run is lost. Windows are hashed with names as placeholders and once more with
+names as words. Windows are joined on the hash, the item side broadcast only if it
 was counted to be small. Matches are then aligned by their offset, compared token by token and
 checked for slots, on the few documents that have any.
 
@@ -65,6 +68,11 @@ def template(marked_text: Column) -> Column:
     return tokens(F.regexp_replace(marked_text, f"({MARKS}){INSIDE}", "$1"))
 
 
+def worded(marked_text: Column) -> Column:
+    """The template with names as plain words."""
+    return template(F.translate(marked_text, NAME, ""))
+
+
 def windows(width: int, step: int, *templates: Column) -> Column:
     """By position, hashes of the `width` tokens from every `step`-th position on, of each of
     the equally long `templates`."""
@@ -85,7 +93,7 @@ def _hits(pairs: DataFrame, run: int) -> DataFrame:
 
     def compare(i: Column) -> Column:
         a, b = F.get("item", i), F.get("doc", i + F.col("shift"))
-        x, y, mark, other = a, b, F.substring(a, 1, 1), F.substring(b, 1, 1)
+        x, y, mark, other = F.translate(a, NAME, ""), F.translate(b, NAME, ""), F.substring(a, 1, 1), F.substring(b, 1, 1)
         slot = mark.between(NUMBER, UNIT)
         code = (
             F.when(x == y, F.when(slot & (mark == other), F.when(mark == NAME, "n").otherwise("2")).otherwise("1"))
@@ -134,20 +142,20 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     """One row per document and item that share a run: doc_id, item_id, n_matched (tokens of
     the longest such run), n_item, n_slots, same_values (false: re-parameterised), first_token."""
     named = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), marked(F.col(item_text)).alias("marked"))
-    named = named.select("item_id", tokens(F.col("marked")).alias("item"), template(F.col("marked")).alias("plain")).where(F.size("item") >= LEAST)
+    named = named.select("item_id", tokens(F.col("marked")).alias("item"), template(F.col("marked")).alias("plain"), worded(F.col("marked")).alias("worded")).where(F.size("item") >= LEAST)
     sizes = named.agg(F.min(F.size("item")).alias("least"), F.sum(F.size("item")).alias("all")).first()
     shortest = min(run, sizes["least"] or run)
     width = min(width, shortest)
     step = shortest - width + 1
-    ways = (F.col("plain"),)
+    ways = (F.col("plain"), F.col("worded"))
     asked = named.select("item_id", F.posexplode(windows(width, 1, *ways)).alias("at", "ways"))
     asked = asked.select("item_id", "at", F.explode("ways").alias("window")).distinct()
     if (sizes["all"] or 0) <= BROADCAST_WINDOWS:
         asked = F.broadcast(asked)
     plain = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     hashed = plain.select("doc_id", F.xxhash64("text").alias("version"), marked(F.col("text")).alias("marked"))
-    hashed = hashed.select("doc_id", "version", template(F.col("marked")).alias("plain"))
-    hashed = hashed.select("doc_id", "version", F.posexplode(windows(width, step, F.col("plain"))).alias("k", "ways"))
+    hashed = hashed.select("doc_id", "version", template(F.col("marked")).alias("plain"), worded(F.col("marked")).alias("worded"))
+    hashed = hashed.select("doc_id", "version", F.posexplode(windows(width, step, F.col("plain"), F.col("worded"))).alias("k", "ways"))
     found = hashed.select("doc_id", "version", "k", F.explode("ways").alias("window")).join(asked, "window")
     found = checkpointed(found.select("doc_id", "version", "item_id", (F.col("k") * step - F.col("at")).alias("shift")).distinct())
     # Texts of the documents found: read again, as few of them are needed.
