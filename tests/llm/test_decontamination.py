@@ -80,6 +80,12 @@ def test_the_longest_consistent_run_is_found(spark):
     assert got[1, 2]["n_matched"] == max(second[1], len(w) - second[0] - 1) and not got[1, 2]["same_values"]
 
 
+def test_first_word_of_a_short_item_as_a_name(spark):
+    items = [(1, "What is the capital of France"), (2, "Which of Ann or Bob has more than three apples")]
+    rows = [(1, "Then they asked What is the capital of France"), (2, "what is the capital of france"), (3, "he said, Which of Cleo or Dan has more than three apples, then")]
+    assert set(hits(spark, rows, items)) == {(1, 1), (2, 1), (3, 2)}
+
+
 def test_every_offset_and_run_length_is_found(spark):
     rng = random.Random(3)
     item = prose(77, 40, 10_000)

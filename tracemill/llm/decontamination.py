@@ -10,7 +10,7 @@ Only DataFrame functions are used. A text's template is made by a few regular ex
 the whole string. As any run of `run` tokens holds a window of `width` tokens that starts at a
 multiple of `run - width + 1`, only those windows of documents are hashed; items give all
 theirs, so no run is lost. Windows are hashed with names as placeholders and once more with
-names as words. Windows are joined on the hash, the item side broadcast only if it
+names as words; an item's first window also with its first word as a name. Windows are joined on the hash, the item side broadcast only if it
 was counted to be small. Matches are then aligned by their offset, compared token by token and
 checked for slots, on the few documents that have any.
 
@@ -73,6 +73,12 @@ def worded(marked_text: Column) -> Column:
     return template(F.translate(marked_text, NAME, ""))
 
 
+def name_first(template: Column) -> Column:
+    """The template as it is where its first word, if it is one, counts as a name."""
+    rest = F.slice(template, 2, F.greatest(F.size(template) - 1, F.lit(0)))
+    return F.when(F.get(template, F.lit(0)).rlike(r"^[\p{L}\p{N}]+$"), F.concat(F.array(F.lit(NAME)), rest)).otherwise(template)
+
+
 def windows(width: int, step: int, *templates: Column) -> Column:
     """By position, hashes of the `width` tokens from every `step`-th position on, of each of
     the equally long `templates`."""
@@ -147,7 +153,7 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     shortest = min(run, sizes["least"] or run)
     width = min(width, shortest)
     step = shortest - width + 1
-    ways = (F.col("plain"), F.col("worded"))
+    ways = (F.col("plain"), F.col("worded"), name_first(F.col("plain")))
     asked = named.select("item_id", F.posexplode(windows(width, 1, *ways)).alias("at", "ways"))
     asked = asked.select("item_id", "at", F.explode("ways").alias("window")).distinct()
     if (sizes["all"] or 0) <= BROADCAST_WINDOWS:
