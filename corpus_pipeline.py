@@ -47,7 +47,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Which tokens of which document stand where in which training sequence."""
-    return packing.pack_documents(docs, ids=False)
+    return packing.pack_documents(docs, ids=False, added=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

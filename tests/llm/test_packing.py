@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import frame, prose
+from tracemill.llm import queries
 from tracemill.llm.packing import SEQUENCE, pack_documents, shortest_pack_first, slots
 from tracemill.llm.tokens import TokenEncoder, default_path
 
@@ -36,6 +37,23 @@ def test_ids_of_documents_equal_those_of_the_library(spark, sf, library):
         assert np.frombuffer(encoder.encode(row["text"] or ""), "<u4").tolist() == library(row["text"] or "")
 
 
+@pytest.mark.parametrize("text", [*TEXTS, "a<|endoftext|><|endoftext|> b  c <|endoftext|>", "<|endoftext|", *(f"x{c * 1_000_000}y" for c in " \t\n")], ids=lambda t: repr(t[:9]))
+def test_ids_equal_those_of_the_library_at_its_defaults(text):
+    encoder = TokenEncoder.load(default_path(), added=True)
+    ids = np.frombuffer(encoder.encode(text), "<u4")
+    assert ids.tolist() == Tokenizer.from_file(default_path()).encode(text, add_special_tokens=False).ids
+    assert encoder.sizes[ids].sum() == len(text.encode())
+
+
+def test_queries_encode_like_the_library_at_its_defaults(spark, tmp_path):
+    text = "<|endoftext|> in a text"
+    frame(spark, [(1, text)]).write.parquet(f"{tmp_path}/documents.parquet")
+    expected = [50256, 287, 257, 2420]
+    packed = queries.op3_packing(spark, str(tmp_path)).collect()
+    assert [r["ids_crc32"] for r in packed] == [zlib.crc32(np.array([*expected, 0], "<u4").tobytes())]
+    assert [r["n_tokens"] for r in queries.op10_token_counts(spark, str(tmp_path)).collect()] == [4]
+
+
 def check_sequences(rows, size):
     packs = defaultdict(list)
     for r in rows:

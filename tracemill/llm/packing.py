@@ -36,8 +36,9 @@ END_ID = 0
 
 
 def encoded_pieces(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), size: int = SEQUENCE,
-                   tokenizer: str | None = None, end_id: int = END_ID, ids: bool = True) -> DataFrame:
-    """One row per piece: `keep`, start, length, ids_crc32, doc_tokens and, if asked, ids."""
+                   tokenizer: str | None = None, end_id: int = END_ID, ids: bool = True, added: bool = False) -> DataFrame:
+    """One row per piece: `keep`, start, length, ids_crc32, doc_tokens and, if asked, ids. With
+    `added`, added tokens in a text are what the library makes of them, not ordinary text."""
     path = tokenizer or default_path()
     schema = T.StructType([docs.schema[name] for name in keep])
     for name in ("start", "length", "ids_crc32", "doc_tokens"):
@@ -47,7 +48,7 @@ def encoded_pieces(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
     tail = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TokenEncoder.load(path)
+        encoder = TokenEncoder.load(path, added)
         for batch in batches:
             row, start, length, crc, total, values = [], [], [], [], [], []
             for i, value in enumerate(batch.column(0).to_pylist()):
@@ -152,6 +153,6 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), size: int = SEQUENCE,
-                   tokenizer: str | None = None, end_id: int = END_ID, ids: bool = True) -> DataFrame:
+                   tokenizer: str | None = None, end_id: int = END_ID, ids: bool = True, added: bool = False) -> DataFrame:
     """Pieces of all `docs` with their sequence and place in it."""
-    return pack(encoded_pieces(docs, text, keep, size, tokenizer, end_id, ids), size)
+    return pack(encoded_pieces(docs, text, keep, size, tokenizer, end_id, ids, added), size)

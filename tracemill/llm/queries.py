@@ -45,7 +45,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), ids=False)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), ids=False, added=True)
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +96,7 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), added=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -71,11 +71,12 @@ def attribute(ends: np.ndarray, starts: np.ndarray, low: np.ndarray, high: np.nd
 
 
 def count_tokens(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sections: str | None = None,
-                 rule: str = "first", tokenizer: str | None = None) -> DataFrame:
+                 rule: str = "first", tokenizer: str | None = None, added: bool = False) -> DataFrame:
     """(doc_id, section, start, end, n_tokens): the tokens of each section of each text.
 
     `sections` names a column of array<struct<start, end>> in characters; `section` is its
-    place in the list and start and end are the span in characters.
+    place in the list and start and end are the span in characters. With `added`, added tokens
+    in a text are what the library makes of them, not ordinary text.
     """
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
@@ -87,7 +88,7 @@ def count_tokens(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", se
     schema = T.StructType([docs.schema[doc_id]]).add("section", T.IntegerType()).add("start", T.LongType()).add("end", T.LongType()).add("n_tokens", T.DoubleType())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TokenEncoder.load(path)
+        encoder = TokenEncoder.load(path, added)
         for batch in batches:
             row, section, start, end, tokens = [], [], [], [], []
             lists = batch.column(2).to_pylist() if sections else [None] * len(batch)
