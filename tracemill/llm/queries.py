@@ -12,6 +12,7 @@ from tracemill.llm import (
     decontamination,
     html_extract,
     language_id,
+    mixing,
     nearest,
     ngram_join,
     packing,
@@ -95,6 +96,10 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.train()).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), added=True)
 
@@ -110,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_html_extract": op9_html_extract,
     "op10_token_counts": op10_token_counts,
+    "op13_mixing": op13_mixing,
 }
 
 ORACLES: dict[str, str] = {
@@ -151,4 +157,31 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                sum(size)::BIGINT AS formatted_chars
         FROM sized GROUP BY conv_id""",
+    "op13_mixing": r"""
+        WITH docs AS (
+            SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))::BIGINT AS size
+            FROM documents),
+        sources AS (
+            SELECT source, source_size, 3 * source_size AS cap,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+            FROM (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source)),
+        ranked AS (  -- those with the lowest cap for their weight are capped first
+            SELECT *, row_number() OVER by_cap AS n, sum(cap) OVER by_cap - cap AS spent,
+                   sum(weight) OVER () - sum(weight) OVER by_cap + weight AS free, (SELECT sum(size) FROM docs) AS total
+            FROM sources WINDOW by_cap AS (ORDER BY cap / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+        level AS (SELECT * FROM ranked WHERE weight * (total - spent) <= cap * free ORDER BY n LIMIT 1),
+        targets AS (
+            SELECT r.source, r.source_size,
+                   CASE WHEN r.n < l.n THEN r.cap::DOUBLE
+                        ELSE (r.weight * (l.total - l.spent))::DOUBLE / l.free::DOUBLE END AS target
+            FROM ranked r, level l),
+        placed AS (
+            SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS quota,
+                   sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(d.doc_id::VARCHAR)[1:15], d.doc_id, d.size
+                                     ROWS UNBOUNDED PRECEDING) - d.size AS start
+            FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target,
+               (SELECT sum(greatest(0, least(p * source_size + start + size, quota) - (p * source_size + start)))
+                FROM range(3) AS passes(p))::BIGINT AS taken
+        FROM placed""",
 }
