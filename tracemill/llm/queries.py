@@ -19,6 +19,7 @@ from tracemill.llm import (
     substring_dedup,
     token_counts,
     url_filter,
+    vector_codes,
 )
 
 #: The rules of the URL query.
@@ -96,6 +97,12 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.train()).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256"
+    )
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -115,10 +122,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_html_extract": op9_html_extract,
     "op10_token_counts": op10_token_counts,
+    "op12_vector_codes": op12_vector_codes,
     "op13_mixing": op13_mixing,
 }
 
+def vector_codes_sql(rounds: int) -> str:
+    """The same fit over single components, comparing everything with everything."""
+
+    def assigned(name: str, book: str) -> str:
+        return f"""{name} AS MATERIALIZED (
+            SELECT vec_id, part, entry, d FROM (
+                SELECT vec_id, part, entry, sum((x - c) * (x - c)) AS d FROM comps JOIN {book} USING (part, i)
+                GROUP BY vec_id, part, entry)
+            QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) = 1)"""
+
+    steps = []
+    for n in range(rounds):
+        steps += [assigned(f"taken{n}", f"book{n}"), f"""book{n + 1} AS MATERIALIZED (
+            SELECT part, entry, i, coalesce(m, c) AS c FROM book{n} LEFT JOIN (
+                SELECT part, entry, i, floor(sum(x) / count(*))::BIGINT AS m
+                FROM taken{n} JOIN comps USING (vec_id, part) GROUP BY part, entry, i) USING (part, entry, i))"""]
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, label, embedding, len(embedding) // 8 AS width FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+        comps AS MATERIALIZED (
+            SELECT vec_id, i // width AS part, i % width AS i, floor(embedding[i + 1]::DOUBLE * 4096)::BIGINT AS x
+            FROM (SELECT *, unnest(range(len(embedding))) AS i FROM kept)),
+        book0 AS MATERIALIZED (
+            SELECT part, entry, i, x AS c FROM comps
+            JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < 16) USING (vec_id)),
+        {", ".join(steps)},
+        {assigned("taken", f"book{rounds}")},
+        coded AS (
+            SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+            FROM taken GROUP BY vec_id)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(c, ',' ORDER BY part, entry, i)) FROM book{rounds}) AS codebooks_sha256
+        FROM coded JOIN kept USING (vec_id)"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_vector_codes": vector_codes_sql(vector_codes.ROUNDS),
     "op1_substring_dedup": r"""
         WITH lists AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
