@@ -16,6 +16,7 @@ from tracemill.llm import (
     nearest,
     ngram_join,
     packing,
+    prefix_trie,
     substring_dedup,
     token_counts,
     url_filter,
@@ -97,6 +98,11 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.train()).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.branched(turns))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings")).select(
         "vec_id", "code", "error", "label_error", "codebooks_sha256"
@@ -122,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_html_extract": op9_html_extract,
     "op10_token_counts": op10_token_counts,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_vector_codes": op12_vector_codes,
     "op13_mixing": op13_mixing,
 }
@@ -163,6 +170,45 @@ def vector_codes_sql(rounds: int) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op11_prefix_trie": r"""
+        WITH said AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS position, id, bytes
+            FROM (SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS bytes,
+                         sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))[1:32] AS id
+                  FROM conversations WHERE conv_id IS NOT NULL)),
+        convs AS (  -- crc32, bit by bit
+            SELECT conv_id, conv_id - conv_id % 5 AS base, count(*) AS n, xor(list_reduce(
+                [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+                lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda a, _: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)), 4294967295) % 9 AS h
+            FROM said GROUP BY conv_id),
+        turns AS (
+            SELECT c.conv_id, position, id, bytes FROM convs c JOIN said s ON s.conv_id = c.base WHERE position <= h
+            UNION ALL
+            SELECT c.conv_id, position - c.h + least(c.h, coalesce(b.n, 0)), id, bytes
+            FROM convs c JOIN said s USING (conv_id) LEFT JOIN convs b ON b.conv_id = c.base WHERE position > c.h),
+        paths AS (
+            SELECT conv_id, position AS depth, bytes, md5(string_agg(id, '') OVER upto) AS key
+            FROM turns WINDOW upto AS (PARTITION BY conv_id ORDER BY position)
+            UNION ALL SELECT conv_id, 0, 0, 'root' FROM convs),
+        nodes AS (
+            SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM paths GROUP BY key, depth),
+        linked AS (
+            SELECT n.*, p.key AS parent, m.conv_id AS parent_conv_id
+            FROM nodes n LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+            LEFT JOIN nodes m ON m.key = p.key AND m.depth = p.depth),
+        children AS (SELECT parent AS key, depth - 1 AS depth, count(*) AS n FROM linked WHERE parent IS NOT NULL GROUP BY ALL),
+        subtrees AS (  -- every node counts at each node above it, found on the path of its smallest member
+            SELECT p.key, p.depth, count(*) FILTER (c.n IS NULL) AS n_leaves, sum((d.n_convs - 1) * d.bytes) AS saved
+            FROM linked d LEFT JOIN children c ON c.key = d.key AND c.depth = d.depth
+            JOIN paths p ON p.conv_id = d.conv_id AND p.depth <= d.depth GROUP BY p.key, p.depth),
+        ends AS (
+            SELECT key, depth, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM paths
+            WHERE depth = (SELECT max(q.depth) FROM paths q WHERE q.conv_id = paths.conv_id) GROUP BY key, depth)
+        SELECT l.conv_id::BIGINT AS conv_id, l.depth::BIGINT AS depth, l.parent_conv_id::BIGINT AS parent_conv_id,
+               l.n_convs::BIGINT AS n_convs, coalesce(c.n, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves,
+               s.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+        FROM linked l JOIN subtrees s USING (key, depth) LEFT JOIN children c USING (key, depth) LEFT JOIN ends e USING (key, depth)""",
     "op12_vector_codes": vector_codes_sql(vector_codes.ROUNDS),
     "op1_substring_dedup": r"""
         WITH lists AS (
