@@ -599,6 +599,10 @@ def oracles() -> dict[str, str]:
         "chronological_logs": whole(
             "SELECT cid AS correlation_id, rs AS row_seq, pos AS position FROM rows"
         ),
+        "tied_positions": logs_sql(
+            f"""SELECT projectId AS correlation_id, rowSeq AS row_seq, row_number() OVER (PARTITION BY projectId
+              ORDER BY CASE WHEN rowSeq % 2 = 0 THEN TIMESTAMP '{MID_DAY}' ELSE timestamp END, rowSeq) AS position FROM logs"""
+        ),
         "services_in_order": whole(
             "SELECT cid AS correlation_id, array_to_string(services, ' > ') AS services FROM traces"
         ),
@@ -741,6 +745,13 @@ def oracles() -> dict[str, str]:
             (SELECT count(*) FROM logs WHERE {LATE}) AS waiting FROM logs
             WHERE {EARLY} GROUP BY 1"""
         ),
+        "admission_limits": logs_sql(
+            """SELECT batch_id, count(*) AS total, count(*) AS traces, sum(n)::BIGINT AS log_rows FROM (
+              SELECT correlationId, count(*) AS n, CASE WHEN min(timestamp) < TIMESTAMP '2024-01-11' THEN 0
+                WHEN min(timestamp) < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END::BIGINT AS batch_id
+              FROM logs GROUP BY 1) GROUP BY 1"""
+        ),
+        "trace_state": logs_sql("SELECT correlationId AS correlation_id, count(*) AS n FROM logs GROUP BY 1"),
         "halted_batch": whole(
             f"SELECT cid AS correlation_id, error, 0::BIGINT AS written FROM ({FAILED})"
         ),

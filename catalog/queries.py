@@ -26,8 +26,9 @@ from tracemill.operators import rows as R
 from tracemill.operators import traces as O
 from tracemill.operators.metrics import promotion_rate
 from tracemill.plans.batch import BatchOutcome, prepare_documents, run_batch
-from tracemill.session import apply_settings, shared_dir, staged
+from tracemill.session import apply_settings, delete_folder, shared_dir, staged
 from tracemill.sources import logs as L
+from tracemill.streaming.history import stored_rows
 from tracemill.streaming.ingest import BatchHalted, process_batch, run_stream
 from tracemill.streaming.store import TraceStore
 
@@ -525,6 +526,16 @@ def chronological_logs(spark, sf):
     return O.chronological_logs(rows(spark, sf)).select("correlation_id", "row_seq", "position")
 
 
+def tied_positions(spark, sf):
+    """Traces of a third of all rows each, half of whose rows share one instant."""
+    half = F.col("rowSeq") % 2 == 0
+    long = logs(spark, sf).withColumns({
+        "correlationId": F.col("projectId"),
+        "timestamp": F.when(half, F.lit(MID_DAY).cast("timestamp_ntz")).otherwise(F.col("timestamp")),
+    })
+    return O.chronological_logs(R.flat_rows(long, AS_OF)).select("correlation_id", "row_seq", "position")
+
+
 def services_in_order(spark, sf):
     return O.services_in_order(rows(spark, sf)).select("correlation_id", listed("services", " > "))
 
@@ -742,10 +753,10 @@ def trace_documents(spark, sf):
 
 
 def log_files(table: DataFrame, *parts) -> str:
-    """Write the log rows as one folder of files per part; a step reads one folder more."""
+    """Write the log rows as one folder per part, each one file; a step reads one folder more."""
     base = f"{shared_dir(table.sparkSession)}/incoming/{uuid.uuid4().hex}"
     for position, condition in enumerate(parts):
-        as_logs(table.where(condition)).write.parquet(f"{base}/part={position}")
+        as_logs(table.where(condition)).coalesce(1).write.parquet(f"{base}/part={position}")
     return base
 
 
@@ -757,11 +768,13 @@ def new_store(spark: SparkSession) -> TraceStore:
     return TraceStore(spark, f"{shared_dir(spark)}/state/{uuid.uuid4().hex}").create()
 
 
-def drain(spark: SparkSession, sf: str, path: str, store: TraceStore, commits=None) -> None:
+def drain(
+    spark: SparkSession, sf: str, path: str, store: TraceStore, commits=None, max_files=None, as_of=AS_OF
+) -> None:
     """Run the streaming job until the files that are there are used up."""
-    stream = spark.readStream.schema(S.LOGS).parquet(path)
+    stream = L.stream_logs(spark, path, max_files=max_files)
     load = commits or (lambda: fixtures.commits(spark, sf))
-    query = run_stream(stream, store, load, STREAM_CFG, as_of=lambda batch_id: AS_OF)
+    query = run_stream(stream, store, load, STREAM_CFG, as_of=lambda batch_id: as_of)
     query.awaitTermination()
 
 
@@ -771,11 +784,7 @@ def is_early():
 
 def stream_ingest(spark, sf):
     """Three micro-batches cut at midnight, so that no trace is split."""
-    first, second_cut = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-11", "2024-01-21"))
-    ts, store = F.col("timestamp"), new_store(spark)
-    path = log_files(
-        logs(spark, sf), ts < first, (ts >= first) & (ts < second_cut), ts >= second_cut
-    )
+    path, store = log_files(logs(spark, sf), *thirds()), new_store(spark)
     for part in range(3):
         drain(spark, sf, f"{path}/part=[0-{part}]", store)
     return documents_view(store.documents())
@@ -810,34 +819,51 @@ def bounded_drain(spark, sf):
     )
 
 
-def run_in_order(spark: SparkSession, sf: str, *batches: DataFrame) -> TraceStore:
-    store = new_store(spark)
-    for batch_id, batch in enumerate(batches):
-        process_batch(store, batch, batch_id, fixtures.commits(spark, sf), AS_OF, STREAM_CFG)
-    return store
+def thirds():
+    """Three spans of days; no trace lies in two of them."""
+    first, second_cut = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-11", "2024-01-21"))
+    ts = F.col("timestamp")
+    return ts < first, (ts >= first) & (ts < second_cut), ts >= second_cut
 
 
-def merge_on_duplicate(spark, sf):
-    table = as_logs(logs(spark, sf))
-    return documents_view(run_in_order(spark, sf, *halves(table)).documents())
+def admission_limits(spark, sf):
+    """Three files are waiting; one start takes them as three micro-batches."""
+    path, store = log_files(logs(spark, sf), *thirds()), new_store(spark)
+    drain(spark, sf, f"{path}/part=*", store, max_files=1)
+    taken = store.read("seen").groupBy("batch_id").agg(F.count("*").alias("traces"), F.sum("n").alias("log_rows"))
+    return store.committed().select("batch_id", "total").join(taken, "batch_id")
 
 
-def halves(table: DataFrame) -> tuple[DataFrame, DataFrame]:
-    boundary = F.lit(MID_DAY).cast("timestamp")
-    return table.where(F.col("timestamp") <= boundary), table.where(F.col("timestamp") > boundary)
+def drained(spark: SparkSession, sf: str, *parts) -> tuple[TraceStore, str]:
+    """The store after one micro-batch per part, from one start, and the files that were read."""
+    path, store = log_files(logs(spark, sf), *parts), new_store(spark)
+    drain(spark, sf, f"{path}/part=*", store, max_files=1)
+    return store, path
+
+
+def merge_on_duplicate(spark, sf):
+    return documents_view(drained(spark, sf, is_early(), ~is_early())[0].documents())
 
 
 def late_rows(spark, sf):
     """The older rows arrive after the newer ones."""
-    first, last = halves(as_logs(logs(spark, sf)))
-    return documents_view(run_in_order(spark, sf, last, first).documents())
+    return documents_view(drained(spark, sf, ~is_early(), is_early())[0].documents())
+
+
+def trace_state(spark, sf):
+    """What the keyed state holds of each trace after two micro-batches."""
+    store, _ = drained(spark, sf, is_early(), ~is_early())
+    return renamed(stored_rows(spark, store.checkpoint), correlation_id="correlationId", n="n")
 
 
 def idempotent_replay(spark, sf):
-    """The second batch runs again an hour later; the time of its first run holds."""
-    first, last = halves(as_logs(logs(spark, sf)))
-    store = run_in_order(spark, sf, first, last)
-    process_batch(store, last, 1, fixtures.commits(spark, sf), AS_OF + 3600, STREAM_CFG)
+    """The job ends before it records its second batch; an hour later that batch runs again.
+
+    It starts from the state of the batch before, and the time of its first run holds.
+    """
+    store, path = drained(spark, sf, is_early(), ~is_early())
+    delete_folder(spark, f"{store.checkpoint}/commits/1")
+    drain(spark, sf, f"{path}/part=*", store, max_files=1, as_of=AS_OF + 3600)
     return documents_view(store.documents())
 
 
@@ -895,7 +921,7 @@ REGISTERED: dict[str, Query] = {
         http_operation, meta_context, service_flow, dedup_messages, outcome_line, semantic_text,
         semantic_text_budget, vector_metadata, trace_documents,
         stream_ingest, resume_point, bounded_drain, merge_on_duplicate, late_rows,
-        idempotent_replay, halted_batch, validate_gaps, refetch_without_order, gatekeeper_without_store,
+        idempotent_replay, halted_batch, admission_limits, trace_state, tied_positions, validate_gaps, refetch_without_order, gatekeeper_without_store,
     )},
 }
 

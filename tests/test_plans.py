@@ -93,6 +93,7 @@ def test_one_project_is_read_by_its_partition(spark, sf, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*proj-1", text)
 
 
-def test_positions_are_ranked_per_time_bucket(spark, sf):
+def test_positions_are_ranked_per_range(spark, sf):
     text = plan(chronological_logs(Q.rows(spark, sf)))
-    assert re.search(r"Window \[row_number\(\).*correlation_id#\d+, bucket#", text)
+    assert re.search(r"Window \[.*sum\(position#.*correlation_id#\d+, span#", text)
+    assert "BroadcastExchange" in text and "CartesianProduct" not in text

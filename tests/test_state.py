@@ -10,6 +10,8 @@ from tracemill import schemas as S
 from tracemill.config import EngineConfig
 from tracemill.operators import quarantine as Q
 from tracemill.sources import logs as L
+from tracemill.session import delete_folder
+from tracemill.streaming.history import JSON, arrived, stored_rows
 from tracemill.streaming.ingest import BatchHalted, process_batch, run_stream
 from tracemill.streaming.store import TraceStore
 
@@ -89,26 +91,29 @@ def as_sets(df):
 
 
 def store_of(spark, tmp_path, *batches):
-    store = TraceStore(spark, str(tmp_path)).create()
-    for batch_id, entries in enumerate(batches):
-        process_batch(store, logs_frame(spark, entries), batch_id, commits_frame(spark), AS_OF, CFG)
+    """The store after one micro-batch per entry list, from one start."""
+    incoming, store = str(tmp_path / "in"), TraceStore(spark, str(tmp_path / "state"))
+    for entries in batches:
+        logs_frame(spark, entries).coalesce(1).write.mode("append").parquet(incoming)
+    drain(spark, store, incoming)
     return store
 
 
+def drain(spark, store, incoming, as_of=AS_OF, commits=()):
+    stream = L.stream_logs(spark, incoming, max_files=1)
+    run_stream(stream, store, lambda: commits_frame(spark, *commits), CFG,
+               as_of=lambda batch_id: as_of).awaitTermination()
+
+
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     whole = as_sets(batch(spark, ENTRIES).documents)
     incoming = str(tmp_path / "in")
     store = TraceStore(spark, str(tmp_path / "state"))
 
-    def drain():
-        stream = spark.readStream.schema(S.LOGS).parquet(incoming)
-        run_stream(stream, store, lambda: commits_frame(spark), CFG,
-                   as_of=lambda batch_id: AS_OF).awaitTermination()
-
     for part in (ENTRIES[:3], ENTRIES[3:5], ENTRIES[5:]):
         logs_frame(spark, part).coalesce(1).write.mode("append").parquet(incoming)
-        drain()
-    drain()
+        drain(spark, store, incoming)
+    drain(spark, store, incoming)
     assert as_sets(store.documents()) == whole
     assert sorted(r.batch_id for r in store.committed().collect()) == [0, 1, 2]
 
@@ -155,23 +160,70 @@ def test_refetch_keeps_repeated_lines(spark):
 
 
 def test_replay_changes_nothing(spark, tmp_path):
+    """A batch that ran but was not recorded runs again on the state of the batch before it."""
     late = [log("b", "boom again", at=100, seq=100), log("a", "Order 8 shipped", at=105, seq=105)]
     store = store_of(spark, tmp_path, ENTRIES, late)
     before = as_sets(store.documents())
-    process_batch(store, logs_frame(spark, late), 1, commits_frame(spark), AS_OF, CFG)
+    delete_folder(spark, f"{store.checkpoint}/commits/1")
+    drain(spark, store, str(tmp_path / "in"), as_of=AS_OF + 7200)
     assert as_sets(store.documents()) == before
+    counts = {r.correlationId: r.n for r in stored_rows(spark, store.checkpoint).collect()}
+    assert counts == {c: 2 if c in "ab" else 1 for c in "abcdefg"}
+
+
+def test_a_batch_reads_the_histories_it_touches_alone(spark, tmp_path, monkeypatch):
+    """No plan of a micro-batch reads rows or counts of earlier batches; all rows come from the state."""
+    import tracemill.streaming.ingest as ingest
+
+    plans, judge = [], ingest.run_batch
+
+    def noted(rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return judge(rows, *args, **options)
+
+    monkeypatch.setattr(ingest, "run_batch", noted)
+    store = store_of(spark, tmp_path, ENTRIES, [log("b", "boom again", at=100, seq=100)])
+    assert len(plans) == 2 and all("/seen" not in p and p.count("FileScan parquet") == 1 for p in plans)
+    assert by_cid(store.documents())["b"].log_count == 2
+    assert not (tmp_path / "state" / "archive").exists()
+
+
+def test_state_keeps_every_field(spark):
+    """Rows come out of the packed form as they went in: microseconds, nulls, odd text."""
+    from datetime import datetime
+
+    entries = [log("a", 'é "quoted" \\ \n\t \u2028', at=0, meta='{"k": [1]}', timestamp=datetime(2024, 1, 5, 1, 2, 3, 456789)),
+               log("a", None, level=None, logger=None, timestamp=None, status=404, duration=2**40)]
+    rows = arrived(logs_frame(spark, entries))
+    packed = rows.select(F.to_json(F.struct(*S.LOGS.names), JSON).alias("row"))
+    again = packed.select(F.from_json("row", S.LOGS, JSON).alias("row")).select("row.*")
+    assert sorted(again.collect(), key=str) == sorted(rows.collect(), key=str)
+
+
+def test_long_histories_are_appended_in_parts(spark, tmp_path, monkeypatch):
+    import tracemill.streaming.history as history
+
+    monkeypatch.setattr(history, "APPENDED", 2)
+    store = store_of(spark, tmp_path, [log("a", f"step {i}", at=i, seq=i) for i in range(5)],
+                     [log("a", "boom", "error", at=9, seq=9)])
+    assert {r.correlationId: r.n for r in stored_rows(spark, store.checkpoint).collect()} == {"a": 6}
+    assert by_cid(store.documents())["a"].log_count == 6
 
 
-def test_compaction_keeps_answers(spark, tmp_path):
-    first, second = ENTRIES[:4], ENTRIES[4:]
-    third = [log("b", "boom again", at=100, seq=100), log("k", "boom 5", "error", at=120)]
-    plain = store_of(spark, tmp_path / "plain", first, second, third)
-    compacted = store_of(spark, tmp_path / "compacted", first, second)
-    before = as_sets(compacted.documents())
-    compacted.compact(1)
-    assert as_sets(compacted.documents()) == before
-    process_batch(compacted, logs_frame(spark, third), 2, commits_frame(spark), AS_OF, CFG)
-    assert as_sets(compacted.documents()) == as_sets(plain.documents())
+def test_metrics_are_observed(spark):
+    """Counts come from the passes that wrote the tables, also where there is nothing to count."""
+    outcome = batch(spark, ENTRIES)
+    runs = []
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("metrics", "metrics")
+    try:
+        counts = outcome.counts
+        runs = tracker.getJobIdsForGroup("metrics")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts == {"promoted": 3, "dropped": 3, "failed": 1, "total": 7, "tripped": False} and not runs
+    nothing = batch(spark, []).counts
+    assert nothing == {"promoted": 0, "dropped": 0, "failed": 0, "total": 0, "tripped": False}
 
 
 def test_bad_batch_halts_until_its_traces_are_skipped(spark, tmp_path):
@@ -200,4 +252,4 @@ def test_rows_without_order_column(spark, tmp_path):
     store = TraceStore(spark, str(tmp_path)).create()
     process_batch(store, table, 0, commits_frame(spark), AS_OF, CFG)
     assert by_cid(store.documents())["a"].log_count == 2
-    assert store.batch("archive", 0).where(F.col("rowSeq").isNull()).count() == 0
+    assert arrived(table).where("rowSeq is null").count() == 0

@@ -2,39 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-# Parts that moments are cut into, each with about as many rows.
-BUCKETS = 256
+from tracemill.operators.ranges import Stage, running
+
 # Entries older than this were there from the start (see gate.always).
 FROM_THE_START = "0002-01-01 00:00:00"
 
 
-def with_time_buckets(df: DataFrame, at: Column, buckets: int = BUCKETS) -> DataFrame:
-    """``df`` with a ``bucket`` of its moments, cut where the rows are.
-
-    The bounds are quantiles of the whole table, so that a trace or endpoint which
-    holds a large part of the rows is spread over as large a part of the buckets,
-    however short the time. Later moments are in later buckets.
-    """
-    micros = F.unix_micros(at).cast("double")
-    shares = [(i + 1) / buckets for i in range(buckets - 1)]
-    found = df.agg(F.percentile_approx(micros, shares, 10_000)).first()[0]
-    bounds = sorted(set(found or [0.0]))
-    cut = Bucketizer(
-        splits=[float("-inf"), *bounds, float("inf")], inputCol="bucket_at", outputCol="bucket"
-    )
-    return cut.transform(df.withColumn("bucket_at", micros)).drop("bucket_at")
-
-
-def count_before(probes: DataFrame, entries: DataFrame, keys: list[str], at: str) -> DataFrame:
+def count_before(
+    probes: DataFrame, entries: DataFrame, keys: list[str], at: str, stage: Stage
+) -> DataFrame:
     """``known``: entries of the same key whose moment is before the probe's.
 
-    Entries are counted per (key, time bucket); only rows of one bucket are
-    ranked together, so a busy key is spread over its buckets, cut where its rows are.
+    Probes and entries are one sorted table, and what is known is a running total over its
+    ranges, so that a busy key is spread over many of them.
     """
     starts_at = F.col(f"{at}.entered_at")
     from_start = starts_at < F.lit(FROM_THE_START).cast("timestamp")
@@ -49,23 +32,8 @@ def count_before(probes: DataFrame, entries: DataFrame, keys: list[str], at: str
             )
         )
     )
-    timeline = with_time_buckets(timeline, F.col("at.entered_at"))
-    earlier_buckets = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    totals = timeline.groupBy(*keys, "bucket").agg(F.sum("entry").alias("n")).select(
-        *keys, "bucket", F.coalesce(F.sum("n").over(earlier_buckets), F.lit(0)).alias("before")
-    )
-    # On equal moments the probe (entry = 0) ranks first: only earlier entries count.
-    inside = Window.partitionBy(*keys, "bucket").orderBy("at", "entry").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = timeline.withColumn("inside", F.sum("entry").over(inside)).where("entry = 0")
-    return (
-        ranked.join(totals, [*keys, "bucket"])
-        .join(base, keys, "left")
-        .select(
-            *keys, "correlation_id",
-            (F.col("inside") + F.col("before") + F.coalesce("base", F.lit(0))).alias("known"),
-        )
+    # On equal moments the probe (entry = 0) stands first: only earlier entries count.
+    counted = running(timeline, keys, ["at", "entry"], stage, {"before": F.col("entry")}).where("entry = 0")
+    return counted.join(base, keys, "left").select(
+        *keys, "correlation_id", (F.col("before") + F.coalesce("base", F.lit(0))).alias("known")
     )

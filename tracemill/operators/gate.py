@@ -311,7 +311,7 @@ def gatekeeper(
     return evaluate(traces, moments, cfg)
 
 
-def explain_new(verdicts: DataFrame, pairs: DataFrame) -> DataFrame:
+def explain_new(verdicts: DataFrame, pairs: DataFrame, stage=staged) -> DataFrame:
     """Add the number of known fingerprints to the reasons of tier 3.
 
     Only those rows are joined; the others pass through.
@@ -321,7 +321,7 @@ def explain_new(verdicts: DataFrame, pairs: DataFrame) -> DataFrame:
     counted = count_before(
         fresh.select("project_id", "path_key", "correlation_id", "entered_at"),
         pairs.select("project_id", "path_key", "known_since"),
-        ["project_id", "path_key"], "known_since",
+        ["project_id", "path_key"], "known_since", stage,
     ).select("project_id", "correlation_id", "known")
     suffix = F.format_string(" (known: %d fingerprints)", "known")
     explained = fresh.join(counted, ["project_id", "correlation_id"]).withColumn(

@@ -10,20 +10,20 @@ trace, which are part of the result, and no combination of them.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tracemill.config import EngineConfig
 from tracemill.functions import messages as M
 from tracemill.functions import traces as T
-from tracemill.operators.counting import with_time_buckets
+from tracemill.operators.ranges import Stage, running
 from tracemill.operators.rows import CONTEXT, NO_ERROR, ROW_ERRORS, error_text
+from tracemill.session import staged
 
 ORDER = ("ls_ts", "row_seq")
 FIRST_ERROR, FIRST_SUSPICIOUS, LAST = 0, 1, 2
+# The error of a trace that was not looked at because it failed too often before.
+SKIPPED = "skipped"
 
 
 def order_key() -> Column:
@@ -64,33 +64,13 @@ def reassemble_traces(rows: DataFrame) -> DataFrame:
     )
 
 
-def chronological_logs(rows: DataFrame) -> DataFrame:
+def chronological_logs(rows: DataFrame, stage: Stage = staged) -> DataFrame:
     """Rows with their 1-based position in the trace.
 
-    Ranks within (trace, time bucket) plus the number of rows in earlier buckets,
-    so a very long trace is ranked by many tasks instead of one.
+    A very long trace is ranked by many tasks instead of one, also where its rows share
+    one instant (see ``ranges``). ``stage`` writes the rows once.
     """
-    bucketed = with_time_buckets(rows, F.col("ls_ts"))
-    key = ["correlation_id", "bucket"]
-    earlier = Window.partitionBy("correlation_id").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        bucketed.groupBy(*key)
-        .agg(F.count("*").alias("n"))
-        .select(*key, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    )
-    within = F.row_number().over(Window.partitionBy(*key).orderBy(*ORDER))
-    same_bucket = reduce(
-        lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in key]
-    )
-    ranked = bucketed.withColumn("rank", within)
-    return (
-        ranked.alias("r")
-        .join(offsets.alias("o"), same_bucket)
-        .select("r.*", (F.col("rank") + F.col("before")).alias("position"))
-        .drop("rank", "bucket")
-    )
+    return running(rows, ["correlation_id"], ORDER, stage, {"position": F.lit(1)})
 
 
 def first_seen(rows: DataFrame, value: Column, name: str) -> DataFrame:
@@ -353,4 +333,4 @@ def valid_traces(features: DataFrame) -> DataFrame:
 
 
 def failed_traces(features: DataFrame) -> DataFrame:
-    return features.where(F.col("error").isNotNull()).select("correlation_id", "error")
+    return features.where(F.col("error") != SKIPPED).select("correlation_id", "error")

@@ -6,15 +6,16 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tracemill.config import EngineConfig
 from tracemill.operators import documents as D
 from tracemill.operators import gate as G
 from tracemill.operators import quarantine as Q
 from tracemill.operators.embed import embed_documents
-from tracemill.operators.metrics import batch_metrics
-from tracemill.operators.traces import failed_traces, trace_features, valid_traces
+from tracemill.operators.metrics import counted, metrics_row, observed_traces, observed_verdicts
+from tracemill.operators.traces import SKIPPED, failed_traces, trace_features, valid_traces
 from tracemill.session import staged
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -33,8 +34,8 @@ class BatchOutcome:
     rows: DataFrame
     kept: DataFrame
     quarantined: DataFrame
-    trace_ids: DataFrame | None
     traces: DataFrame
+    observed: tuple[Observation, Observation]
     pairs: DataFrame
     decided: DataFrame
     as_of: int
@@ -53,7 +54,7 @@ class BatchOutcome:
 
     @cached_property
     def verdicts(self) -> DataFrame:
-        return G.explain_new(self.decided, self.pairs)
+        return G.explain_new(self.decided, self.pairs, self.stage)
 
     @cached_property
     def removed(self) -> DataFrame:
@@ -94,13 +95,21 @@ class BatchOutcome:
         """The quarantine after the batch."""
         return Q.record_failures(self.quarantined, self.failures, self.cfg)
 
+    @cached_property
+    def counts(self) -> dict:
+        """Traces by what became of them, as the passes that wrote them counted."""
+        return counted(self.observed, self.cfg)
+
     @cached_property
     def metrics(self) -> DataFrame:
-        ids = self.trace_ids
-        if ids is None:
-            ids = self.rows.select("correlation_id").distinct()
-        skipped = ids.join(Q.poisoned(self.quarantined, self.cfg), "correlation_id", "left_semi")
-        return batch_metrics(self.decided, failed_traces(self.traces), skipped, self.cfg)
+        return metrics_row(self.rows.sparkSession, self.counts)
+
+
+def skipped_traces(rows: DataFrame, trace_ids: DataFrame | None, quarantine: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Poisoned traces of the batch, as traces with an error of their own."""
+    ids = rows.select("correlation_id") if trace_ids is None else trace_ids
+    found = ids.join(Q.poisoned(quarantine, cfg), "correlation_id", "left_semi").distinct()
+    return found.withColumn("error", F.lit(SKIPPED))
 
 
 def run_batch(
@@ -117,16 +126,22 @@ def run_batch(
     """Evaluate canonical rows against the stored documents.
 
     The first pass over the rows keeps only what verdicts need. Staged tables
-    feed several outputs each. ``trace_ids`` may name the correlation IDs of the
-    batch where they are at hand already.
+    feed several outputs each, and are counted while they are written. ``trace_ids``
+    may name the correlation IDs of the batch where they are at hand already.
     """
     usable = Q.skip_poison(rows, quarantine, cfg)
-    judged = stage(G.gate_inputs(trace_features(usable, cfg)), "traces")
+    traces_seen, verdicts_seen = Observation(), Observation()
+    features = G.gate_inputs(trace_features(usable, cfg))
+    skipped = skipped_traces(rows, trace_ids, quarantine, cfg)
+    judged = stage(
+        observed_traces(features.unionByName(skipped, allowMissingColumns=True), traces_seen), "traces"
+    )
     valid = valid_traces(judged)
     kept = D.delete_by_cid(documents, valid.where("is_merge"))
     traces = G.candidates(valid, commits, as_of, cfg)
     moments, pairs = G.history(traces, kept, cfg, stage)
-    decided = stage(G.evaluate(traces, moments, cfg), "verdicts")
+    decided = stage(observed_verdicts(G.evaluate(traces, moments, cfg), verdicts_seen), "verdicts")
     return BatchOutcome(
-        rows, kept, quarantine, trace_ids, judged, pairs, decided, as_of, cfg, load_encoder, stage
+        rows, kept, quarantine, judged, (traces_seen, verdicts_seen), pairs, decided, as_of, cfg,
+        load_encoder, stage,
     )

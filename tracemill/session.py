@@ -16,6 +16,9 @@ RECOMMENDED = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Traces per task kept in hash maps before an aggregate with lists starts to sort.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
+    # The histories of traces (streaming.history) do not fit executors' heaps.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

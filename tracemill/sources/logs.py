@@ -29,6 +29,16 @@ def scan_logs_jdbc(
     )
 
 
+def stream_logs(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema=LOGS,
+    max_files: int | None = None, max_bytes: str | None = None,
+) -> DataFrame:
+    """The log table as a stream; a micro-batch takes at most so many files or bytes of it."""
+    limits = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+    given = {name: str(limit) for name, limit in limits.items() if limit is not None}
+    return spark.readStream.schema(schema).format(fmt).options(**given).load(path)
+
+
 def scan_raw_traces(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_TRACE).json(path)
 

@@ -12,10 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from tracemill import schemas as S
 from tracemill.config import EngineConfig
 from tracemill.operators.quarantine import quarantine_from
-from tracemill.operators.rows import flat_rows, log_defaults, with_row_order
+from tracemill.operators.rows import flat_rows
 from tracemill.plans.batch import run_batch
-from tracemill.session import Staging
+from tracemill.session import Staging, apply_settings
 from tracemill.sources.logs import batch_row_counts
+from tracemill.streaming.history import arrived, with_history
 from tracemill.streaming.store import TraceStore
 
 
@@ -23,32 +24,9 @@ class BatchHalted(RuntimeError):
     """Too many traces of a batch failed; the batch is retried on the next start."""
 
 
-def touched_again(store: TraceStore, batch_id: int) -> DataFrame:
-    """(correlation ID, earlier batch) of traces whose rows came in several batches."""
-    now = store.batch("seen", batch_id).select("correlationId")
-    return store.read("seen", before=batch_id).join(now, "correlationId", "left_semi").select(
-        "correlationId", "batch_id"
-    )
-
-
-def with_history(store: TraceStore, batch_id: int) -> DataFrame:
-    """Rows of the batch plus the earlier rows of the traces it touches.
-
-    The join on ``batch_id`` lets Spark prune the archive to the batches that
-    hold such rows; a split trace usually lies in neighbouring batches.
-    """
-    earlier = store.read("archive", before=batch_id).join(
-        touched_again(store, batch_id), ["correlationId", "batch_id"], "left_semi"
-    )
-    current = store.batch("archive", batch_id).withColumn("in_batch", F.lit(True))
-    return current.unionByName(
-        earlier.select(*S.LOGS.names).withColumn("in_batch", F.lit(False))
-    )
-
-
 def process_batch(
     store: TraceStore,
-    logs: DataFrame,
+    rows: DataFrame,
     batch_id: int,
     commits: DataFrame,
     as_of: int,
@@ -58,23 +36,28 @@ def process_batch(
 ) -> None:
     """Evaluate one micro-batch against everything before it and write its tables.
 
-    A batch with too many failed traces halts and advances nothing. ``as_of`` holds
-    for the first attempt of a batch; later attempts and replays use the same time.
+    ``rows`` are log rows. Where they include earlier rows of the traces they touch,
+    ``in_batch`` tells the new ones (see ``history.with_history``); without that column all
+    are new. A batch with too many failed traces halts and advances nothing. ``as_of``
+    holds for the first attempt of a batch; later attempts and replays use the same time.
     """
     staging = Staging(store.spark)
     try:
-        _process(store, logs, batch_id, commits, store.as_of(batch_id, as_of), cfg, load_encoder,
+        _process(store, rows, batch_id, commits, store.as_of(batch_id, as_of), cfg, load_encoder,
                  halt_on_failures, staging)
     finally:
         staging.clear()
 
 
-def _process(store, logs, batch_id, commits, as_of, cfg, load_encoder, halt_on_failures, staging) -> None:
-    store.write("archive", batch_id, with_row_order(log_defaults(logs)))
-    store.write("seen", batch_id, batch_row_counts(store.batch("archive", batch_id)))
+def _process(store, rows, batch_id, commits, as_of, cfg, load_encoder, halt_on_failures, staging) -> None:
+    if "in_batch" not in rows.columns:
+        rows = arrived(rows).withColumn("in_batch", F.lit(True))
+    # Written once: reading the stream's own rows again would run its stateful part again.
+    touched = staging(rows, "touched")
+    store.write("seen", batch_id, batch_row_counts(touched.where("in_batch")))
 
     outcome = run_batch(
-        flat_rows(with_history(store, batch_id), as_of),
+        flat_rows(touched, as_of),
         store.live_documents(before=batch_id).select(*S.DOCUMENTS.names),
         commits,
         quarantine_from(store.failures(batch_id)),
@@ -86,7 +69,7 @@ def _process(store, logs, batch_id, commits, as_of, cfg, load_encoder, halt_on_f
             F.col("correlationId").alias("correlation_id")
         ),
     )
-    if halt_on_failures and outcome.metrics.first()["tripped"]:
+    if halt_on_failures and outcome.counts["tripped"]:
         # Each halted attempt counts, so traces that keep failing end up skipped.
         attempt = store.halted_attempts(batch_id) + 1
         store.write("failures", batch_id, outcome.failures, attempt)
@@ -108,13 +91,15 @@ def run_stream(
     load_encoder: Callable | None = None,
     halt_on_failures: bool = True,
 ) -> StreamingQuery:
-    """Start the job on a streaming log table.
+    """Start the job on a streaming log table (see ``sources.logs.stream_logs``).
 
     By default it drains what is available at the start and stops; with
-    ``continuous`` it wakes up every ``fetch_interval_minutes``. The checkpoint
+    ``continuous`` it wakes up every ``fetch_interval_minutes``. Either way the source's
+    admission limits cut what is there into bounded micro-batches. The checkpoint
     under the store is the resume point.
     """
     store.create()
+    apply_settings(store.spark)
     clock = as_of or (lambda batch_id: int(time.time()))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -122,8 +107,8 @@ def run_stream(
             store, batch, batch_id, commits(), clock(batch_id), cfg, load_encoder, halt_on_failures
         )
 
-    writer = logs.writeStream.foreachBatch(handle).option(
-        "checkpointLocation", f"{store.path}/checkpoint"
+    writer = with_history(logs).writeStream.foreachBatch(handle).option(
+        "checkpointLocation", store.checkpoint
     )
     if continuous:
         return writer.trigger(processingTime=f"{cfg.fetch_interval_minutes} minutes").start()

@@ -4,7 +4,8 @@ Each micro-batch owns one ``batch_id=N`` folder per table and rewrites only
 that, so a replayed batch replaces its own output and changes nothing else.
 Writes are proportional to the batch, not to the state: a document that is
 removed or seen again gets a row in ``removed`` or ``repeats``, and readers
-combine the three.
+fold the three with one grouping by document. The rows of traces are not here:
+the job's state store has them (see ``history``).
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ METRICS = S.table(promoted=S.LONG, dropped=S.LONG, failed=S.LONG, total=S.LONG,
 
 # Table -> (schema, partition columns below batch_id).
 TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
-    "archive": (S.LOGS, ()),
     "seen": (SEEN, ()),
     "started": (STARTED, ()),
     "documents": (S.DOCUMENTS, ("project_id",)),
@@ -42,12 +42,12 @@ class TraceStore:
         for name in TABLES:
             empty = self.spark.createDataFrame([], self._schema(name))
             empty.write.mode("ignore").partitionBy("batch_id").parquet(self._path(name))
-        documents = T.StructType([*self._schema("documents"), T.StructField("upto", S.LONG)])
-        self.spark.createDataFrame([], documents).write.mode("ignore").partitionBy(
-            "upto"
-        ).parquet(self._path("snapshots"))
         return self
 
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.path}/checkpoint"
+
     def _path(self, name: str) -> str:
         return f"{self.path}/{name}"
 
@@ -100,66 +100,47 @@ class TraceStore:
     def batch(self, name: str, batch_id: int) -> DataFrame:
         return self.read(name).where(F.col("batch_id") == batch_id).drop("batch_id")
 
-    def compact(self, upto: int) -> None:
-        """Fold finished batches into one snapshot that later reads start from.
-
-        Call it between batches; ``upto`` must be a committed batch.
-        """
-        folded = self.documents(before=upto + 1).withColumn("batch_id", F.lit(upto))
-        folder = f"{self._path('snapshots')}/upto={upto}"
-        folded.hint("rebalance", "project_id").write.mode("overwrite").partitionBy(
-            "project_id"
-        ).parquet(folder)
-
-    def _snapshot(self, before: int | None) -> tuple[DataFrame, int]:
-        """The latest usable snapshot and the batch it reaches; -1 without one."""
-        schema = T.StructType([*self._schema("documents"), T.StructField("upto", S.LONG)])
-        table = self.spark.read.schema(schema).parquet(self._path("snapshots"))
-        if before is not None:
-            table = table.where(F.col("upto") < before)
-        upto = table.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
-        return table.where(F.col("upto") == upto).drop("upto"), upto
-
     def committed(self) -> DataFrame:
         """Finished batches; ``metrics`` is written last."""
         return self.read("metrics")
 
-    def live_documents(self, before: int | None = None) -> DataFrame:
-        """Stored documents that no later batch removed, counts as first written."""
-        snapshot, upto = self._snapshot(before)
-        return self._live(snapshot, upto, before)
-
-    def _live(self, snapshot: DataFrame, upto: int, before: int | None) -> DataFrame:
-        documents = snapshot.unionByName(self._since("documents", upto, before))
-        last_removed = (
-            self._since("removed", upto, before)
-            .groupBy(*DOCUMENT_KEY)
-            .agg(F.max("batch_id").alias("removed_in"))
+    def _folded(self, before: int | None) -> DataFrame:
+        """One row per document key: the latest document, and what happened to it since.
+
+        A document is live unless it was removed after the batch that wrote it; repeats of
+        one that was replaced later do not carry over.
+        """
+        documents = self.read("documents", before)
+        stored = F.struct(*S.DOCUMENTS.names).alias("document")
+        events = (
+            documents.select(*DOCUMENT_KEY, "batch_id", stored)
+            .unionByName(
+                self.read("removed", before).select(*DOCUMENT_KEY, F.col("batch_id").alias("removed_in")),
+                allowMissingColumns=True,
+            )
+            .unionByName(
+                self.read("repeats", before).select(
+                    *DOCUMENT_KEY, F.struct(F.col("batch_id").alias("batch"), "n", "seen").alias("repeat")
+                ),
+                allowMissingColumns=True,
+            )
+        )
+        folded = events.groupBy(*DOCUMENT_KEY).agg(
+            F.max_by("document", "batch_id").alias("document"), F.max("batch_id").alias("stored_in"),
+            F.max("removed_in").alias("removed_in"), F.collect_list("repeat").alias("repeats"),
         )
-        gone = F.coalesce(F.col("removed_in") > F.col("batch_id"), F.lit(False))
-        return documents.join(last_removed, DOCUMENT_KEY, "left").where(~gone).drop("removed_in")
+        gone = F.coalesce(F.col("removed_in") > F.col("stored_in"), F.lit(False))
+        since = F.filter("repeats", lambda r: r["batch"] >= F.col("stored_in"))
+        return folded.where(F.col("stored_in").isNotNull() & ~gone).select("document", since.alias("since"))
 
-    def _since(self, name: str, upto: int, before: int | None) -> DataFrame:
-        return self.read(name, before).where(F.col("batch_id") > upto)
+    def live_documents(self, before: int | None = None) -> DataFrame:
+        """Stored documents that no later batch removed, counts as first written."""
+        return self._folded(before).select("document.*")
 
     def documents(self, before: int | None = None) -> DataFrame:
         """Live documents with their occurrence counts."""
-        snapshot, upto = self._snapshot(before)
-        live = self._live(snapshot, upto, before)
-        repeats = self._since("repeats", upto, before).withColumnRenamed("batch_id", "repeated_in")
-        # Repeats of a document that was replaced later do not carry over.
-        counted = (
-            live.select(*DOCUMENT_KEY, "batch_id")
-            .join(repeats, DOCUMENT_KEY)
-            .where(F.col("repeated_in") >= F.col("batch_id"))
-            .groupBy(*DOCUMENT_KEY)
-            .agg(F.sum("n").alias("n"), F.max("seen").alias("seen"))
-        )
-        return (
-            live.join(counted, DOCUMENT_KEY, "left")
-            .withColumns({
-                "occurrence_count": F.col("occurrence_count") + F.coalesce("n", F.lit(0)),
-                "last_seen": F.coalesce("seen", "last_seen"),
-            })
-            .select(*S.DOCUMENTS.names)
-        )
+        more = F.aggregate("since", F.lit(0).cast("bigint"), lambda total, r: total + r["n"])
+        return self._folded(before).select("document.*", "since").withColumns({
+            "occurrence_count": F.col("occurrence_count") + more,
+            "last_seen": F.coalesce(F.array_max(F.transform("since", lambda r: r["seen"])), "last_seen"),
+        }).select(*S.DOCUMENTS.names)
