@@ -57,6 +57,13 @@ SELECT 'proj-' || CAST(user_id % 3 AS STRING) AS project_id,
 FROM events WHERE user_id % 3 < 2 AND event_id % 10 = 0
 """
 
+# Commits of every project all through the month.
+COMMIT_HISTORY_SQL = f"""
+SELECT 'proj-' || CAST(user_id % 3 AS STRING) AS project_id,
+  CAST({AS_OF} - (event_id * 7919) % 2592000 AS BIGINT) AS timestamp_unix
+FROM events WHERE event_id % 20 = 0
+"""
+
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     _events(spark, sf_dir)
@@ -68,5 +75,10 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(COMMITS_SQL)
 
 
+def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _events(spark, sf_dir)
+    return spark.sql(COMMIT_HISTORY_SQL)
+
+
 def _events(spark: SparkSession, sf_dir: str) -> None:
     spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("events")

@@ -7,7 +7,7 @@ k-smallest arrays that the engine uses.
 
 from __future__ import annotations
 
-from catalog.fixtures import AS_OF, COMMITS_SQL, LOGS_SQL
+from catalog.fixtures import AS_OF, COMMIT_HISTORY_SQL, COMMITS_SQL, LOGS_SQL
 from tracemill.config import CRITICAL_KEYWORDS, STANDALONE_KEYWORDS, SUSPICIOUS_KEYWORDS
 
 MID_DAY = "2024-01-16 12:00:00"
@@ -574,6 +574,12 @@ def oracles() -> dict[str, str]:
             """SELECT pid AS project_id, pattern AS request_path_pattern, fp AS fingerprint
             FROM one_docs WHERE pattern IS NOT NULL GROUP BY ALL"""
         ),
+        "deploy_as_of_trace": whole(
+            f"""SELECT cid AS correlation_id, coalesce(c.timestamp_unix, -1) AS latest_commit,
+              coalesce(epoch_us(entered) - c.timestamp_unix * 1000000 <= 36000000000, false) AS in_deploy
+            FROM valid v ASOF LEFT JOIN (SELECT project_id, timestamp_unix, timestamp_unix * 1000000 AS at
+              FROM ({COMMIT_HISTORY_SQL})) c ON v.pid = c.project_id AND epoch_us(v.entered) >= c.at"""
+        ),
         "deploy_window_join": whole("SELECT cid AS correlation_id, in_deploy FROM cand"),
         "dedup_split": split(
             """SELECT cid AS correlation_id, operation FROM two_verdicts
@@ -710,6 +716,14 @@ def oracles() -> dict[str, str]:
         "semantic_text": whole(
             "SELECT cid AS correlation_id, semantic_text FROM texts JOIN valid USING (cid)"
         ),
+        "semantic_text_pieces": whole(
+            """SELECT cid AS correlation_id, piece::BIGINT AS piece, substr(semantic_text, piece * 100 + 1, 100) AS text,
+              least((piece + 1) * 100, length(semantic_text))::BIGINT AS chars
+            FROM (SELECT cid, semantic_text, unnest(range((length(semantic_text) + 99) // 100)) AS piece
+              FROM texts JOIN valid USING (cid))
+            UNION ALL SELECT cid, -1, semantic_text, length(semantic_text)
+            FROM texts JOIN valid USING (cid) WHERE length(semantic_text) <= 400"""
+        ),
         "semantic_text_budget": statement(
             BUDGET, "SELECT cid AS correlation_id, semantic_text FROM texts"
         ),
@@ -752,6 +766,32 @@ def oracles() -> dict[str, str]:
               FROM logs GROUP BY 1) GROUP BY 1"""
         ),
         "trace_state": logs_sql("SELECT correlationId AS correlation_id, count(*) AS n FROM logs GROUP BY 1"),
+        "session_windows": logs_sql(
+            f"""SELECT correlation_id, min(epoch_us(timestamp)) AS start_us,
+              max(epoch_us(timestamp)) + 7200000000 AS end_us, count(*) AS log_count,
+              count(*) FILTER (rnk >= 3) AS errors
+            FROM (SELECT *, correlationId AS correlation_id, {RANK.format("lvl")} AS rnk, sum(begins) OVER (
+                PARTITION BY correlationId ORDER BY timestamp, rowSeq ROWS UNBOUNDED PRECEDING) AS nth
+              FROM (SELECT *, {LEVEL.format("level")} AS lvl, CASE WHEN timestamp - lag(timestamp) OVER (
+                  PARTITION BY correlationId ORDER BY timestamp, rowSeq) <= INTERVAL 2 HOURS THEN 0 ELSE 1 END AS begins
+                FROM logs WHERE NOT (timestamp < TIMESTAMP '2024-01-03' AND rowSeq % 2 = 1)))
+            GROUP BY correlation_id, nth
+            HAVING max(timestamp) + INTERVAL 2 HOURS <= (SELECT max(timestamp) - INTERVAL 12 HOURS FROM logs)"""
+        ),
+        "nested_stream": statement(
+            STANDALONE,
+            """SELECT cid AS correlation_id, '' AS error, n AS log_count FROM valid
+            UNION ALL SELECT '{"correlationId": "cut off', 'invalid_json', 0""",
+        ),
+        "group_by_project": logs_sql(
+            """SELECT projectId || '/' || strftime(timestamp, '%Y-%m-%d') AS correlation_id, projectId AS project_id,
+              count(*) AS log_count, arg_min(message, (timestamp, rowSeq)) AS first_message FROM logs GROUP BY ALL"""
+        ),
+        "model_embeddings": whole(
+            """SELECT cid AS correlation_id, array_to_string(list_transform(range(97, 123), lambda c:
+              length(lower(semantic_text)) - length(replace(lower(semantic_text), chr(c::INTEGER), ''))), ',') AS counts
+            FROM texts JOIN verdicts USING (cid) WHERE operation = 'insert'"""
+        ),
         "halted_batch": whole(
             f"SELECT cid AS correlation_id, error, 0::BIGINT AS written FROM ({FAILED})"
         ),

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from contextlib import suppress
 from dataclasses import replace
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,8 @@ from tracemill.session import apply_settings, delete_folder, shared_dir, staged
 from tracemill.sources import logs as L
 from tracemill.streaming.history import stored_rows
 from tracemill.streaming.ingest import BatchHalted, process_batch, run_stream
+from tracemill.streaming.nested import NestedStore, run_nested, stream_raw_traces
+from tracemill.streaming.sessions import run_sessions
 from tracemill.streaming.store import TraceStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,8 +87,8 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_traces(spark: SparkSession, sf: str) -> DataFrame:
-    """The log rows as nested traces, read back from JSON."""
+def raw_files(spark: SparkSession, sf: str) -> str:
+    """The log rows as nested traces, in JSON lines."""
     request = F.when(
         R.has_request(F.col("requestMethod"), F.col("requestPath")),
         F.struct(F.col("requestMethod").alias("method"), F.col("requestPath").alias("path"),
@@ -119,7 +122,11 @@ def raw_traces(spark: SparkSession, sf: str) -> DataFrame:
     )
     path = f"{shared_dir(spark)}/raw/{uuid.uuid4().hex}"
     traces.write.json(path)
-    return L.scan_raw_traces(spark, path)
+    return path
+
+
+def raw_traces(spark: SparkSession, sf: str) -> DataFrame:
+    return L.scan_raw_traces(spark, raw_files(spark, sf))
 
 
 def evaluate(
@@ -492,6 +499,15 @@ def deploy_window_join(spark, sf):
     return traces.select("correlation_id", "in_deploy")
 
 
+def deploy_as_of_trace(spark, sf):
+    """The latest commit at or before each trace, with many commits per project."""
+    traces = valid(spark, sf).select("project_id", "correlation_id", "entered_at")
+    cfg = replace(CFG, deploy_window_minutes=600)
+    return G.deployed_traces(traces, fixtures.commit_history(spark, sf), cfg).select(
+        "correlation_id", F.coalesce("latest_commit", F.lit(-1)).cast("bigint").alias("latest_commit"), "in_deploy"
+    )
+
+
 def dedup_split(spark, sf):
     return G.promoted_only(second(spark, sf).verdicts).select("correlation_id", "operation")
 
@@ -619,7 +635,7 @@ def gate_default(spark, sf):
 
 
 def gatekeeper(spark, sf):
-    features = staged(O.trace_features(rows(spark, sf), CFG), "features")
+    features = staged(G.gate_inputs(O.trace_features(rows(spark, sf), CFG)), "features")
     verdicts = G.gatekeeper(
         O.valid_traces(features), S.empty_table(spark, S.DOCUMENTS), fixtures.commits(spark, sf), AS_OF, CFG
     )
@@ -725,6 +741,16 @@ def semantic_text(spark, sf):
     )
 
 
+def semantic_text_pieces(spark, sf):
+    """Texts as numbered pieces, and whole again where they have up to 400 characters."""
+    pieces = staged(D.text_pieces(valid(spark, sf), rows(spark, sf), CFG, 100), "pieces")
+    whole = D.whole_texts(pieces, 400).select(
+        "correlation_id", F.lit(-1).cast("bigint").alias("piece"), F.col("semantic_text").alias("text"),
+        F.length("semantic_text").cast("bigint").alias("chars"),
+    )
+    return pieces.unionByName(whole)
+
+
 def semantic_text_budget(spark, sf):
     """With a budget, texts are cut and long lists of meta values left out."""
     cfg = replace(CFG, max_semantic_chars=2000, max_listed_values=5)
@@ -878,9 +904,71 @@ def halted_batch(spark, sf):
     )
 
 
+SESSION_GAP, SESSION_DELAY = "2 hours", "12 hours"
+
+
+def session_windows(spark, sf):
+    """Sessions of three micro-batches; some rows of the second come late, some of the third too late."""
+    ts, (first, second_cut, _) = F.col("timestamp"), thirds()
+    odd = F.col("rowSeq") % 2 == 1
+    held = first & (ts >= F.lit("2024-01-10 14:00:00").cast("timestamp_ntz")) & odd
+    too_late = (ts < F.lit("2024-01-03").cast("timestamp_ntz")) & odd
+    path = log_files(
+        logs(spark, sf), first & ~held & ~too_late, second_cut | held, ~first & ~second_cut | too_late
+    )
+    out = f"{shared_dir(spark)}/sessions/{uuid.uuid4().hex}"
+    stream = L.stream_logs(spark, f"{path}/part=*", max_files=1)
+    run_sessions(stream, out, SESSION_GAP, SESSION_DELAY).awaitTermination()
+    return spark.read.parquet(f"{out}/sessions").select(
+        F.col("correlationId").alias("correlation_id"), F.unix_micros("start").alias("start_us"),
+        F.unix_micros("end").alias("end_us"), "log_count", "errors",
+    )
+
+
+def nested_stream(spark, sf):
+    """Nested traces as a stream, with one line cut off: it is recorded and the rest is stored."""
+    path = raw_files(spark, sf)
+    spark.range(1).select(F.lit('{"correlationId": "cut off').alias("value")).write.mode("append").text(path)
+    store = NestedStore(spark, f"{shared_dir(spark)}/nested/{uuid.uuid4().hex}")
+    run_nested(stream_raw_traces(spark, path), store, lambda batch_id: AS_OF).awaitTermination()
+    kept = store.documents().select("correlation_id", F.lit("").alias("error"), "log_count")
+    rejected = store.rejected().where("error = 'invalid_json'").select(
+        F.col("record").alias("correlation_id"), "error", F.lit(0).cast("bigint").alias("log_count")
+    )
+    return kept.unionByName(rejected)
+
+
+def group_by_project(spark, sf):
+    """Three projects use the same IDs, one per day."""
+    shared = logs(spark, sf).withColumn("correlationId", F.date_format("timestamp", "yyyy-MM-dd"))
+    return O.reassemble_traces(R.flat_rows(L.by_project(shared), AS_OF)).select(
+        "correlation_id", "project_id", "log_count", "first_message"
+    )
+
+
 # ---- embeddings ------------------------------------------------------------
 
 
+def letter_counts():
+    """A model for tests that SQL can follow: how often each letter occurs."""
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        raw = (np.frombuffer(text.lower().encode(), np.uint8) for text in texts)
+        return [np.bincount(b, minlength=256)[97:123].astype(np.float32) for b in raw]
+
+    return encode
+
+
+def model_embeddings(spark, sf):
+    """Documents with the vectors of a model that is loaded where they are computed."""
+    outcome = run_batch(
+        rows(spark, sf), S.empty_table(spark, S.DOCUMENTS), fixtures.commits(spark, sf),
+        S.empty_table(spark, S.QUARANTINE), AS_OF, replace(CFG, vector_size=26), letter_counts,
+    )
+    counts = F.array_join(F.transform("embedding", lambda x: x.cast("bigint")), ",")
+    return outcome.new_documents.select("correlation_id", counts.alias("counts"))
+
+
 def embeddings(spark, sf):
     """Size and content: the term count of each bucket, from the smallest value upwards."""
     vectors = whole(spark, sf).new_documents
@@ -921,6 +1009,7 @@ REGISTERED: dict[str, Query] = {
         http_operation, meta_context, service_flow, dedup_messages, outcome_line, semantic_text,
         semantic_text_budget, vector_metadata, trace_documents,
         stream_ingest, resume_point, bounded_drain, merge_on_duplicate, late_rows,
+        session_windows, nested_stream, group_by_project, model_embeddings, deploy_as_of_trace, semantic_text_pieces,
         idempotent_replay, halted_batch, admission_limits, trace_state, tied_positions, validate_gaps, refetch_without_order, gatekeeper_without_store,
     )},
 }

@@ -68,6 +68,14 @@ class EngineConfig:
     poison_pill_max_failures: int = 3
     circuit_breaker_threshold: int = 3
     vector_size: int = 384
+    #: Texts that a model is given at a time.
+    embed_batch: int = 64
+    #: A trace with more characters of lines than this has them as numbered pieces only.
+    whole_text_chars: int = 1 << 24
+    #: Deployment windows count from the latest commit before the trace, not before the batch's time.
+    deploy_as_of_trace: bool = False
+    #: The same correlation ID in two projects is two traces.
+    group_by_project: bool = False
     tag_levels: bool = False
 
     def __post_init__(self):

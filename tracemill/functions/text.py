@@ -15,6 +15,7 @@ SERVICE_LABEL = "Service: "
 OUTCOME_LABEL = "Outcome: "
 FLOW_ARROW = " → "
 LAYER_SEPARATOR = ". "
+ENTRY_SEPARATOR = "; "
 ELLIPSIS = "..."
 
 
@@ -26,7 +27,7 @@ def http_operation(method: Column, pattern: Column, path: Column, duration_ms: C
 
 
 def context_line(entries: Column) -> Column:
-    return F.when(F.size(entries) > 0, F.concat(F.lit(CONTEXT_LABEL), F.array_join(entries, "; ")))
+    return F.when(F.size(entries) > 0, F.concat(F.lit(CONTEXT_LABEL), F.array_join(entries, ENTRY_SEPARATOR)))
 
 
 def service_flow(services: Column) -> Column:

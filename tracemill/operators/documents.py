@@ -11,9 +11,10 @@ from tracemill.functions import messages as M
 from tracemill.functions import text as X
 from tracemill.operators.gate import INSERT, REPEAT
 from tracemill.operators.rows import parse_json_column
+from tracemill.operators.ranges import Stage, running
 from tracemill.operators.traces import ORDER
 from tracemill.schemas import DOCUMENTS, empty_table
-from tracemill.session import path_exists
+from tracemill.session import path_exists, staged
 
 # Meta keys that never enter the text. Keys are compared in lower
 # case, so the camel-case entry has no effect.
@@ -104,21 +105,34 @@ def meta_context(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
 
+def text_items(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Every distinct entry and line of the traces, with the place of its first occurrence."""
+    none = F.array().cast("array<struct<layer:string,key:string,pos:int,text:string>>")
+    items = F.concat(F.coalesce(message_items(cfg), none), F.coalesce(meta_items(cfg), none))
+    return first_items(rows, items)
+
+
 def text_lines(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """``entries`` and ``lines`` per trace: every distinct one, in order.
 
     With a text budget, lines that start beyond it are left out before they are
-    collected; what is kept still overruns the budget, so the cut is the same.
+    collected; what is kept still overruns the budget, so the cut is the same. Without
+    one, a trace whose lines are longer than ``whole_text_chars`` has none here, only in
+    ``text_pieces``: its lines are never brought together in one row.
     """
-    none = F.array().cast("array<struct<layer:string,key:string,pos:int,text:string>>")
-    items = F.concat(F.coalesce(message_items(cfg), none), F.coalesce(meta_items(cfg), none))
-    needed = first_items(rows, items)
+    needed = text_items(rows, cfg)
     if cfg.max_semantic_chars is not None:
         before = Window.partitionBy("correlation_id", "layer").orderBy("at").rowsBetween(
             Window.unboundedPreceding, -1
         )
         start = F.coalesce(F.sum(F.length("at.text") + 2).over(before), F.lit(0))
         needed = needed.withColumn("start", start).where(F.col("start") <= cfg.max_semantic_chars)
+    else:
+        # Nearly always empty, which adaptive execution sees before it joins.
+        long = needed.groupBy("correlation_id").agg(F.sum(F.length("at.text")).alias("chars")).where(
+            F.col("chars") > cfg.whole_text_chars
+        )
+        needed = needed.join(long.select("correlation_id"), "correlation_id", "left_anti")
 
     def ordered(layer: str) -> Column:
         return F.sort_array(F.collect_list(F.when(F.col("layer") == layer, F.col("at"))))["text"]
@@ -128,6 +142,71 @@ def text_lines(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
 
+OPERATION, CONTEXT, FLOW, MESSAGES, OUTCOME = range(5)
+
+
+def text_pieces(
+    traces: DataFrame, rows: DataFrame, cfg: EngineConfig, piece_chars: int, stage: Stage = staged
+) -> DataFrame:
+    """(correlation_id, piece, text, chars): the whole text of each trace in numbered pieces.
+
+    Every piece but the last has ``piece_chars`` characters; ``chars`` are those of the text
+    up to the piece's end. Lines are ranked over ranges and cut where they cross a
+    boundary, so that no row and no task holds more of a text than a piece, however long the
+    trace.
+    """
+    place = F.struct(*ORDER, F.lit(0).alias("pos"), F.col("text"))
+    named = [
+        (OPERATION, X.http_operation(F.col("request_method"), F.col("request_path_pattern"),
+                                     F.col("request_path"), F.col("duration_ms"))),
+        (FLOW, X.service_flow(F.col("services"))),
+        (OUTCOME, X.outcome_line(F.col("outcome"), F.col("request_status_code"), F.col("duration_ms"))),
+    ]
+    single = traces.select(
+        "correlation_id", F.lit(None).cast("timestamp").alias(ORDER[0]), F.lit(None).cast("bigint").alias(ORDER[1]),
+        F.explode(F.array(*[F.struct(F.lit(n).alias("layer"), text.alias("text")) for n, text in named])).alias("one"),
+    ).select("correlation_id", *ORDER, "one.*").where("text is not null").select("correlation_id", "layer", place.alias("at"))
+    found = text_items(rows_of(rows, traces), cfg).select(
+        "correlation_id", F.when(F.col("layer") == ENTRY, CONTEXT).otherwise(MESSAGES).alias("layer"), "at"
+    )
+    entry = (F.col("layer") == CONTEXT).cast("int")
+    placed = running(
+        single.unionByName(found), ["correlation_id"], ["layer", "at"], stage,
+        {"position": F.lit(1), "entries": entry, "sizes": F.length("at.text") + len(X.LAYER_SEPARATOR)},
+    )
+    first_entry = (F.col("layer") == CONTEXT) & (F.col("entries") == 1)
+    between = F.when((F.col("layer") == CONTEXT) & ~first_entry, X.ENTRY_SEPARATOR).otherwise(X.LAYER_SEPARATOR)
+    text = F.concat(
+        F.when(F.col("position") == 1, "").otherwise(between),
+        F.when(first_entry, X.CONTEXT_LABEL).otherwise(""), F.col("at.text"),
+    )
+    label = F.when(F.col("entries") > 0, len(X.CONTEXT_LABEL)).otherwise(0)
+    end = F.col("sizes") - len(X.LAYER_SEPARATOR) + label
+    cut = (
+        placed.select("correlation_id", text.alias("text"), end.alias("end"))
+        .withColumn("start", F.col("end") - F.length("text"))
+        .where("start < end")
+        .withColumn("piece", F.explode(F.sequence(
+            F.floor(F.col("start") / piece_chars), F.floor((F.col("end") - 1) / piece_chars))))
+    )
+    begins = F.greatest(F.col("start"), F.col("piece") * piece_chars)
+    stops = F.least(F.col("end"), (F.col("piece") + 1) * piece_chars)
+    part = F.substring("text", (begins - F.col("start") + 1).cast("int"), (stops - begins).cast("int"))
+    return (
+        cut.select("correlation_id", "piece", F.struct(begins.alias("at"), part.alias("text")).alias("part"), stops.alias("chars"))
+        .groupBy("correlation_id", "piece")
+        .agg(F.array_join(F.sort_array(F.collect_list("part"))["text"], "").alias("text"), F.max("chars").alias("chars"))
+    )
+
+
+def whole_texts(pieces: DataFrame, max_chars: int) -> DataFrame:
+    """(correlation_id, semantic_text) of the texts of up to ``max_chars`` characters, put together again."""
+    short = pieces.groupBy("correlation_id").agg(F.max("chars").alias("chars")).where(F.col("chars") <= max_chars)
+    held = pieces.join(short.select("correlation_id"), "correlation_id", "left_semi")
+    ordered = F.sort_array(F.collect_list(F.struct("piece", "text")))["text"]
+    return held.groupBy("correlation_id").agg(F.array_join(ordered, "").alias("semantic_text"))
+
+
 def semantic_text(traces: DataFrame, rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """``traces`` with their ``semantic_text``; ``rows`` are the rows of these traces."""
     none = F.array().cast("array<string>")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -35,17 +36,32 @@ def hashed_embedding(documents: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
 
+#: The model of this Python worker and the call it was loaded for.
+_loaded: dict[str, Encoder] = {}
+
+
+def loaded_once(token: str, load_encoder: Callable[[], Encoder]) -> Encoder:
+    """The model, loaded when the worker first needs it; tasks that follow there share it."""
+    if token not in _loaded:
+        _loaded.clear()
+        _loaded[token] = load_encoder()
+    return _loaded[token]
+
+
 def embed_documents(
     documents: DataFrame, cfg: EngineConfig, load_encoder: Callable[[], Encoder] | None = None
 ) -> DataFrame:
-    """Add ``embedding``. ``load_encoder`` runs once per task and returns the model."""
+    """Add ``embedding``. ``load_encoder`` returns the model; it gets ``embed_batch`` texts at a time."""
     if load_encoder is None:
         return hashed_embedding(documents, cfg)
+    token, size = uuid.uuid4().hex, cfg.embed_batch
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = load_encoder()
-        for texts in batches:
-            yield pd.Series(list(encoder(texts.tolist())))
+        encoder = loaded_once(token, load_encoder)
+        for batch in batches:
+            texts = batch.tolist()
+            parts = (encoder(texts[i : i + size]) for i in range(0, len(texts), size))
+            yield pd.Series([vector for part in parts for vector in part], dtype=object)
 
     return documents.withColumn("embedding", encode("semantic_text"))

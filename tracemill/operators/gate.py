@@ -24,6 +24,7 @@ from tracemill.config import EngineConfig
 from tracemill.functions.messages import bracketed
 from tracemill.functions.traces import FAILED_OUTCOMES
 from tracemill.operators.counting import count_before
+from tracemill.operators.ranges import running
 from tracemill.session import staged
 
 PROMOTE, DROP = "PROMOTE", "DROP"
@@ -84,6 +85,31 @@ def deployed_projects(commits: DataFrame, as_of: int, cfg: EngineConfig) -> Data
     )
 
 
+def commits_as_of(traces: DataFrame, commits: DataFrame, stage=staged) -> DataFrame:
+    """``traces`` with ``latest_commit``, the project's last one at or before the trace.
+
+    Traces and commits are one sorted table per project, over which the last commit is
+    carried on; a project with a third of all traces is spread over ranges of time. This
+    is what a replay of old batches needs: later commits do not count.
+    """
+    at = F.unix_micros("entered_at").alias("at")
+    timeline = traces.select("*", at, F.lit(1).alias("after"), F.lit(None).cast("bigint").alias("commit")).unionByName(
+        commits.select("project_id", (F.col("timestamp_unix") * 1_000_000).alias("at"), F.lit(0).alias("after"),
+                       F.col("timestamp_unix").alias("commit")),
+        allowMissingColumns=True,
+    )
+    # A commit at the trace's own time stands before it.
+    found = running(timeline, ["project_id"], ["at", "after"], stage, lasts={"latest_commit": F.col("commit")})
+    return found.where("after = 1").select(*traces.columns, "latest_commit")
+
+
+def deployed_traces(traces: DataFrame, commits: DataFrame, cfg: EngineConfig, stage=staged) -> DataFrame:
+    """``traces`` with ``latest_commit`` and ``in_deploy`` as of their own time."""
+    age = F.unix_micros("entered_at") - F.col("latest_commit") * 1_000_000
+    near = F.coalesce(age <= cfg.deploy_window_seconds * 1_000_000, F.lit(False))
+    return commits_as_of(traces, commits, stage).withColumn("in_deploy", near)
+
+
 def stored_fingerprints(documents: DataFrame) -> DataFrame:
     """Oldest stored document per (project, fingerprint)."""
     oldest = F.min(F.struct("entered_at", "correlation_id"))["correlation_id"]
@@ -103,16 +129,21 @@ def known_fingerprints(documents: DataFrame) -> DataFrame:
     )
 
 
-def candidates(features: DataFrame, commits: DataFrame, as_of: int, cfg: EngineConfig) -> DataFrame:
+def candidates(
+    features: DataFrame, commits: DataFrame, as_of: int, cfg: EngineConfig, stage=staged
+) -> DataFrame:
     """What the gate needs of each valid trace, and no more.
 
     ``own_tier`` is the tier that needs no history, ``eligible`` says whether the
     trace is promoted whenever its fingerprint is new to the project.
     """
-    projects = deployed_projects(commits, as_of, cfg)
-    joined = features.join(projects, "project_id", "left").withColumn(
-        "in_deploy", F.coalesce("in_deploy", F.lit(False))
-    )
+    if cfg.deploy_as_of_trace:
+        joined = deployed_traces(features, commits, cfg, stage)
+    else:
+        projects = deployed_projects(commits, as_of, cfg)
+        joined = features.join(projects, "project_id", "left").withColumn(
+            "in_deploy", F.coalesce("in_deploy", F.lit(False))
+        )
     has_path = F.col("request_path_pattern").isNotNull()
     relaxed = F.col("in_deploy") & (F.col("outcome") != "success")
     return joined.select(

@@ -138,7 +138,7 @@ def run_batch(
     )
     valid = valid_traces(judged)
     kept = D.delete_by_cid(documents, valid.where("is_merge"))
-    traces = G.candidates(valid, commits, as_of, cfg)
+    traces = G.candidates(valid, commits, as_of, cfg, stage)
     moments, pairs = G.history(traces, kept, cfg, stage)
     decided = stage(observed_verdicts(G.evaluate(traces, moments, cfg), verdicts_seen), "verdicts")
     return BatchOutcome(

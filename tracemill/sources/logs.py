@@ -39,6 +39,12 @@ def stream_logs(
     return spark.readStream.schema(schema).format(fmt).options(**given).load(path)
 
 
+def by_project(logs: DataFrame) -> DataFrame:
+    """Log rows whose correlation ID is made unique across projects: ``project/id``."""
+    both = F.concat_ws("/", "projectId", "correlationId")
+    return logs.withColumn("correlationId", F.when(F.col("correlationId").isNotNull(), both))
+
+
 def scan_raw_traces(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_TRACE).json(path)
 

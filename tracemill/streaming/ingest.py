@@ -15,7 +15,7 @@ from tracemill.operators.quarantine import quarantine_from
 from tracemill.operators.rows import flat_rows
 from tracemill.plans.batch import run_batch
 from tracemill.session import Staging, apply_settings
-from tracemill.sources.logs import batch_row_counts
+from tracemill.sources.logs import batch_row_counts, by_project
 from tracemill.streaming.history import arrived, with_history
 from tracemill.streaming.store import TraceStore
 
@@ -100,6 +100,7 @@ def run_stream(
     """
     store.create()
     apply_settings(store.spark)
+    logs = by_project(logs) if cfg.group_by_project else logs
     clock = as_of or (lambda batch_id: int(time.time()))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
