@@ -867,8 +867,12 @@ def drained(spark: SparkSession, sf: str, *parts) -> tuple[TraceStore, str]:
     return store, path
 
 
+def two_batches(spark: SparkSession, sf: str) -> TraceStore:
+    return drained(spark, sf, is_early(), ~is_early())[0]
+
+
 def merge_on_duplicate(spark, sf):
-    return documents_view(drained(spark, sf, is_early(), ~is_early())[0].documents())
+    return documents_view(two_batches(spark, sf).documents())
 
 
 def late_rows(spark, sf):
@@ -878,8 +882,8 @@ def late_rows(spark, sf):
 
 def trace_state(spark, sf):
     """What the keyed state holds of each trace after two micro-batches."""
-    store, _ = drained(spark, sf, is_early(), ~is_early())
-    return renamed(stored_rows(spark, store.checkpoint), correlation_id="correlationId", n="n")
+    state = stored_rows(spark, two_batches(spark, sf).checkpoint)
+    return renamed(state, correlation_id="correlationId", n="n")
 
 
 def idempotent_replay(spark, sf):
@@ -927,7 +931,8 @@ def session_windows(spark, sf):
 
 def nested_stream(spark, sf):
     """Nested traces as a stream, with one line cut off: it is recorded and the rest is stored."""
-    path = raw_files(spark, sf)
+    path = f"{shared_dir(spark)}/raw/{uuid.uuid4().hex}"
+    spark.read.text(raw_files(spark, sf)).write.text(path)
     spark.range(1).select(F.lit('{"correlationId": "cut off').alias("value")).write.mode("append").text(path)
     store = NestedStore(spark, f"{shared_dir(spark)}/nested/{uuid.uuid4().hex}")
     run_nested(stream_raw_traces(spark, path), store, lambda batch_id: AS_OF).awaitTermination()

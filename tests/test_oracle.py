@@ -1,9 +1,12 @@
 """Every registered query against DuckDB on the same tables."""
 
+from functools import lru_cache
+
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog import queries as Q
 from catalog.oracle import oracles
 from catalog.queries import registered
 
@@ -19,6 +22,18 @@ def duck(sf):
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_steps():
+    """Steps that many queries begin with run once for all of them."""
+    names = ("whole", "stored_documents", "second", "kept_documents", "quarantine", "raw_files", "two_batches")
+    own = {name: getattr(Q, name) for name in names}
+    for name, step in own.items():
+        setattr(Q, name, lru_cache(maxsize=None)(step))
+    yield
+    for name, step in own.items():
+        setattr(Q, name, step)
+
+
 def test_every_query_has_an_expectation():
     assert set(QUERIES) == set(EXPECTED)
     assert set(QUERIES) <= set(queries()) and set(EXPECTED) <= set(oracle_sql())
