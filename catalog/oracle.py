@@ -574,6 +574,10 @@ def oracles() -> dict[str, str]:
             """SELECT pid AS project_id, pattern AS request_path_pattern, fp AS fingerprint
             FROM one_docs WHERE pattern IS NOT NULL GROUP BY ALL"""
         ),
+        "fingerprint_buckets": split(
+            """SELECT v.cid AS correlation_id, coalesce((SELECT arg_min(d.cid, (d.entered, d.cid)) FROM one_docs d
+              WHERE d.pid = v.pid AND d.fp = v.fp), '') AS keeper FROM two_valid v"""
+        ),
         "deploy_as_of_trace": whole(
             f"""SELECT cid AS correlation_id, coalesce(c.timestamp_unix, -1) AS latest_commit,
               coalesce(epoch_us(entered) - c.timestamp_unix * 1000000 <= 36000000000, false) AS in_deploy

@@ -20,6 +20,7 @@ from tracemill.config import EngineConfig
 from tracemill.functions import messages as M
 from tracemill.functions import text as X
 from tracemill.functions import traces as TR
+from tracemill.operators import buckets as B
 from tracemill.operators import documents as D
 from tracemill.operators import gate as G
 from tracemill.operators import quarantine as Q
@@ -487,6 +488,18 @@ def fingerprint_exists(spark, sf):
     )
 
 
+def fingerprint_buckets(spark, sf):
+    """Fingerprints of the second batch against a store in buckets, registered again as a new session would."""
+    name, path = f"documents_{uuid.uuid4().hex}", store_path(spark)
+    B.write_buckets(stored_documents(spark, sf), name, path, 16)
+    spark.sql(f"DROP TABLE {name}")
+    stored = G.stored_fingerprints(B.open_buckets(spark, name, path, 16))
+    traces = O.valid_traces(O.trace_features(second_rows(spark, sf), CFG))
+    return traces.join(stored, ["project_id", "fingerprint"], "left").select(
+        "correlation_id", F.coalesce("keeper", F.lit("")).alias("keeper")
+    )
+
+
 def known_fingerprints(spark, sf):
     return renamed(
         G.known_fingerprints(stored_documents(spark, sf)),
@@ -1014,7 +1027,7 @@ REGISTERED: dict[str, Query] = {
         http_operation, meta_context, service_flow, dedup_messages, outcome_line, semantic_text,
         semantic_text_budget, vector_metadata, trace_documents,
         stream_ingest, resume_point, bounded_drain, merge_on_duplicate, late_rows,
-        session_windows, nested_stream, group_by_project, model_embeddings, deploy_as_of_trace, semantic_text_pieces,
+        fingerprint_buckets, session_windows, nested_stream, group_by_project, model_embeddings, deploy_as_of_trace, semantic_text_pieces,
         idempotent_replay, halted_batch, admission_limits, trace_state, tied_positions, validate_gaps, refetch_without_order, gatekeeper_without_store,
     )},
 }

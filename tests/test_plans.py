@@ -3,12 +3,15 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalog import fixtures
 from catalog import queries as Q
-from tests.helpers import AS_OF
+from tests.helpers import AS_OF, document, documents_frame
 from tracemill.config import EngineConfig
+from tracemill.operators import buckets as B
 from tracemill.operators import documents as D
+from tracemill.operators import gate as G
 from tracemill.operators.rows import flat_rows
 from tracemill.operators.traces import chronological_logs, level_features, trace_features
 from tracemill.plans.batch import run_batch
@@ -97,3 +100,23 @@ def test_positions_are_ranked_per_range(spark, sf):
     text = plan(chronological_logs(Q.rows(spark, sf)))
     assert re.search(r"Window \[.*sum\(position#.*correlation_id#\d+, span#", text)
     assert "BroadcastExchange" in text and "CartesianProduct" not in text
+
+
+def test_a_bucketed_store_is_not_dealt_out(spark, sf, tmp_path):
+    documents = documents_frame(spark, *[document("p", f"c{i}", f"f{i}") for i in range(50)])
+    path, threshold = str(tmp_path / "buckets"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    B.write_buckets(documents.where("correlation_id < 'c3'"), "bucketed_store", path, 8)
+    B.write_buckets(documents.where("correlation_id >= 'c3'"), "bucketed_store", path, 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = G.stored_fingerprints(B.open_buckets(spark, "bucketed_store", path, 8))
+        # A constant project would leave the join with the fingerprint alone.
+        keys = spark.range(100).select(F.substring(F.concat(F.lit("p"), "id"), 1, 1).alias("project_id"), F.concat(F.lit("f"), "id").alias("fingerprint"))
+        found = keys.join(stored, ["project_id", "fingerprint"])
+        text = plan(found)
+        assert "Bucketed: true" in text and text.count("Exchange") == 1
+        assert "Exchange" not in text.split("Range (")[1]
+        assert {r.keeper for r in found.collect()} == {f"c{i}" for i in range(50)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE bucketed_store")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.helpers import AS_OF, START, batch, by_cid, commits_frame, log, logs_frame
 from tracemill import schemas as S
 from tracemill.config import EngineConfig
+from tracemill.operators import gate as G
 from tracemill.operators import quarantine as Q
 from tracemill.sources import logs as L
 from tracemill.session import delete_folder
@@ -188,6 +189,17 @@ def test_a_batch_reads_the_histories_it_touches_alone(spark, tmp_path, monkeypat
     assert not (tmp_path / "state" / "archive").exists()
 
 
+def test_a_batch_reads_few_columns_of_the_stored_documents(spark, tmp_path):
+    """The gate's lookups carry keys, not texts or vectors, and do not deal out the documents."""
+    store = store_of(spark, tmp_path, ENTRIES)
+    found = store.live_documents(before=1).select(*S.DOCUMENTS.names)
+    keys = spark.range(1).select(F.lit("p").alias("project_id"), F.lit("f").alias("fingerprint"))
+    text = G.stored_fingerprints(found.join(keys, list(keys.columns), "left_semi"))._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in text.splitlines() if "FileScan" in line and "fingerprint" in line]
+    assert reads and "semantic_text" not in text and "embedding" not in text
+    assert "BroadcastHashJoin" in text and "batch_id" in reads[0]
+
+
 def test_state_keeps_every_field(spark):
     """Rows come out of the packed form as they went in: microseconds, nulls, odd text."""
     from datetime import datetime

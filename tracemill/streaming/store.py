@@ -4,8 +4,8 @@ Each micro-batch owns one ``batch_id=N`` folder per table and rewrites only
 that, so a replayed batch replaces its own output and changes nothing else.
 Writes are proportional to the batch, not to the state: a document that is
 removed or seen again gets a row in ``removed`` or ``repeats``, and readers
-fold the three with one grouping by document. The rows of traces are not here:
-the job's state store has them (see ``history``).
+combine the three. The rows of traces are not here: the job's state store has
+them (see ``history``).
 """
 
 from __future__ import annotations
@@ -104,43 +104,36 @@ class TraceStore:
         """Finished batches; ``metrics`` is written last."""
         return self.read("metrics")
 
-    def _folded(self, before: int | None) -> DataFrame:
-        """One row per document key: the latest document, and what happened to it since.
+    def live_documents(self, before: int | None = None) -> DataFrame:
+        """Stored documents that no later batch removed, counts as first written.
 
-        A document is live unless it was removed after the batch that wrote it; repeats of
-        one that was replaced later do not carry over.
+        Documents are not grouped, so that a reader shuffles only the columns it needs, and
+        none where the removed keys are few enough to be broadcast by Spark.
         """
-        documents = self.read("documents", before)
-        stored = F.struct(*S.DOCUMENTS.names).alias("document")
-        events = (
-            documents.select(*DOCUMENT_KEY, "batch_id", stored)
-            .unionByName(
-                self.read("removed", before).select(*DOCUMENT_KEY, F.col("batch_id").alias("removed_in")),
-                allowMissingColumns=True,
-            )
-            .unionByName(
-                self.read("repeats", before).select(
-                    *DOCUMENT_KEY, F.struct(F.col("batch_id").alias("batch"), "n", "seen").alias("repeat")
-                ),
-                allowMissingColumns=True,
-            )
+        last_removed = self.read("removed", before).groupBy(*DOCUMENT_KEY).agg(
+            F.max("batch_id").alias("removed_in")
         )
-        folded = events.groupBy(*DOCUMENT_KEY).agg(
-            F.max_by("document", "batch_id").alias("document"), F.max("batch_id").alias("stored_in"),
-            F.max("removed_in").alias("removed_in"), F.collect_list("repeat").alias("repeats"),
-        )
-        gone = F.coalesce(F.col("removed_in") > F.col("stored_in"), F.lit(False))
-        since = F.filter("repeats", lambda r: r["batch"] >= F.col("stored_in"))
-        return folded.where(F.col("stored_in").isNotNull() & ~gone).select("document", since.alias("since"))
-
-    def live_documents(self, before: int | None = None) -> DataFrame:
-        """Stored documents that no later batch removed, counts as first written."""
-        return self._folded(before).select("document.*")
+        gone = F.coalesce(F.col("removed_in") > F.col("batch_id"), F.lit(False))
+        documents = self.read("documents", before)
+        return documents.join(last_removed, DOCUMENT_KEY, "left").where(~gone).drop("removed_in")
 
     def documents(self, before: int | None = None) -> DataFrame:
         """Live documents with their occurrence counts."""
-        more = F.aggregate("since", F.lit(0).cast("bigint"), lambda total, r: total + r["n"])
-        return self._folded(before).select("document.*", "since").withColumns({
-            "occurrence_count": F.col("occurrence_count") + more,
-            "last_seen": F.coalesce(F.array_max(F.transform("since", lambda r: r["seen"])), "last_seen"),
-        }).select(*S.DOCUMENTS.names)
+        live = self.live_documents(before)
+        repeats = self.read("repeats", before).withColumnRenamed("batch_id", "repeated_in")
+        # Repeats of a document that was replaced later do not carry over.
+        counted = (
+            live.select(*DOCUMENT_KEY, "batch_id")
+            .join(repeats, DOCUMENT_KEY)
+            .where(F.col("repeated_in") >= F.col("batch_id"))
+            .groupBy(*DOCUMENT_KEY)
+            .agg(F.sum("n").alias("n"), F.max("seen").alias("seen"))
+        )
+        return (
+            live.join(counted, DOCUMENT_KEY, "left")
+            .withColumns({
+                "occurrence_count": F.col("occurrence_count") + F.coalesce("n", F.lit(0)),
+                "last_seen": F.coalesce("seen", "last_seen"),
+            })
+            .select(*S.DOCUMENTS.names)
+        )
