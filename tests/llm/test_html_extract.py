@@ -85,6 +85,29 @@ def test_tree_learns_its_table():
     assert easy.predict(np.array([[1.4], [1.6]])).tolist() == [0.0, 1.0]
 
 
+@pytest.mark.parametrize("page", [
+    "<article><header><h1>Real title</h1><p>By a writer</p></header><p>Body of it.</p></article>",
+    "<article><div class='post-header'><h1>Real title</h1><p>By a writer</p></div><p>Body of it.</p></article>",
+    "<div class='entry-header'><h1>Real title</h1><p>By a writer</p></div><div class='entry-content'><p>Body of it.</p></div>",
+    "<article><h1>Real title</h1><p class='search-tags'>By a writer</p><p>Body of it.</p></article>",
+    "<article><h2 id='related-work'>Real title</h2><p>By a writer</p><p>Body of it.</p></article>",
+    "<main><h2 id='search'>Real title</h2><p>By a writer</p><p>Body of it.</p></main><div class='reader-opinions'><p>I see it in another way.</p></div>",
+    "<article><h2>Real title</h2><section id='related-work'><p>By a writer</p></section><p>Body of it.</p></article><section class='voices'><p>Not so.</p></section>",
+    "<article><h2 id='comments'>Real title</h2><p>By a writer</p><p>Body of it.</p><div class='related'><a href=/x>See also</a></div></article>",
+])
+def test_names_inside_an_article_decide_nothing_alone(tree, page):
+    assert text(tree, f"<nav><a href=/>Home</a></nav>{page}<footer>Imprint of the site</footer>") == "Real title\n\nBy a writer\n\nBody of it."
+
+
+@pytest.mark.parametrize("piece", ["<div>word", "<div></p>word", "<li><ul>word", "<div></section>", "<section><h1>word"])
+def test_deep_pages_take_linear_time(tree, piece):
+    import time
+
+    begun = time.perf_counter()
+    H.blocks(piece * 50_000)
+    assert time.perf_counter() - begun < 4
+
+
 def test_rows(spark, tree):
     rows = [(1, None, "u", "old"), (2, "", "v", "old"), (3, ARTICLE, "w", "old"), (3, ARTICLE, "w", "old"), (None, "<article>" + "<p>x y</p>" * 20_000, None, None)]
     df = frame(spark, rows, "page_id long, html string, url string, text string")

@@ -2,8 +2,10 @@
 
 A page is cut into text blocks at block-level tags. Each block has a few numbers: its words and
 link density, those of the blocks before and after it, and what the markup around it says
-(the innermost container that names page furniture or the article). A decision tree, grown
-on the small labelled table below, tells article from furniture. The tree is a few arrays that
+(the innermost container that names page furniture or the article, and whether the block
+stands outside of an article element). Names of headings and paragraphs inside an article say
+nothing unless they name adverts, notices, menus or comments; a header that opens an article
+belongs to it. A decision tree, grown on the small labelled table below, tells article from furniture. The tree is a few arrays that
 travel with the task; pages are parsed where they lie, nothing is shuffled.
 
 Defined results: a null or empty page, and one without article text, gives an empty text.
@@ -41,20 +43,32 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements, and words of class, id and role, that name furniture or the article.
-FURNITURE_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
+FURNITURE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 ARTICLE_TAGS = frozenset("article main".split())
 FURNITURE_WORDS = frozenset(
-    """ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion banner
-    nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer copyright sidebar
-    aside widget widgets cookie cookies consent gdpr notice notices alert popup modal overlay comment comments
-    commentlist respond disqus reply replies form login signup subscribe newsletter search share sharing social
-    related recommended pagination pager toolbar complementary contentinfo tags""".split()
+    """ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion
+    nav navbar navigation menu menubar breadcrumb breadcrumbs footer copyright sidebar
+    aside cookie cookies consent gdpr notice notices alert popup modal overlay comment comments
+    commentlist respond disqus reply replies form login signup subscribe newsletter share sharing social
+    pagination pager toolbar complementary contentinfo""".split()
 )
+#: These name furniture around an article; inside one they may as well name a part of it.
+DOUBTFUL_WORDS = frozenset("banner header masthead topbar widget widgets search related recommended tags".split())
+#: Of these, those that name what an article opens with.
+OPENING_WORDS = frozenset("banner header masthead".split())
 ARTICLE_WORDS = frozenset("article content post entry story main maincontent articlebody body text".split())
+#: Before `header` these name the head of an article, wherever it stands.
+HEADED_WORDS = frozenset("article post entry story".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ITEMS = frozenset("li td th dt dd".split())
+#: Elements that hold running text; their names say little inside an article.
+TEXT_TAGS = frozenset("p blockquote pre figure figcaption".split()) | HEADINGS | ITEMS
 #: After these a name says something else: `has-sidebar`, `no-ads`.
 NEGATING = frozenset("has with no without".split())
+#: Hints of a block: the article, something doubtful in it, nothing, furniture.
+ARTICLE, DOUBTFUL, NEITHER, FURNITURE = 1.0, 0.5, 0.0, -1.0
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "hint", "heading", "item")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "hint", "heading", "item", "outside")
 
 
 @dataclass
@@ -62,39 +76,64 @@ class Block:
     text: str
     words: int
     links: float
-    hint: int  # 1 article, -1 furniture, 0 neither
+    hint: float
     heading: bool
     item: bool  # in a list or table
+    inside: bool  # in an article element
+    outside: bool = False  # in none, on a page whose text has one
 
 
 @dataclass
 class _Open:
+    """An open element; all but the tag hold for what is inside it, too."""
+
     tag: str
-    hint: int
+    hint: float = NEITHER
+    heading: bool = False
+    item: bool = False
+    #: Blocks there were when the innermost article began, -1 outside of any.
+    begun: int = -1
+    inside: bool = False
 
 
-def _hint(tag: str, attributes: str) -> int:
-    if tag in ("html", "body"):
-        return 0
+def _names(attributes: str, ids: bool) -> set[str] | None:
+    """Words of class, id and role; None if the element is hidden."""
     names: set[str] = set()
-    if attributes:
-        for match in ATTRIBUTE.finditer(attributes):
-            name, value = match[1].lower(), (match[2] or match[3] or match[4] or "").lower()
-            if name == "hidden" or name == "aria-hidden":
-                if value in ("", "hidden", "true"):
-                    return -1
-                continue
+    for match in ATTRIBUTE.finditer(attributes):
+        name, value = match[1].lower(), (match[2] or match[3] or match[4] or "").lower()
+        if name == "hidden" or name == "aria-hidden":
+            if value in ("", "hidden", "true"):
+                return None
+        elif ids or name != "id":
             found = NAME.findall(value)
             names.update(n for i, n in enumerate(found) if not (i and found[i - 1] in NEGATING))
-    if tag in FURNITURE_TAGS or names & FURNITURE_WORDS:
-        return -1
-    return 1 if tag in ARTICLE_TAGS or names & ARTICLE_WORDS else 0
+    return names
+
+
+def _hint(tag: str, attributes: str, around: _Open, blocks: int) -> float:
+    """What an element says about its text; an opening header belongs to its article."""
+    if tag in ("html", "body"):
+        return NEITHER
+    within = around.hint > 0
+    names = _names(attributes, not (within and tag in HEADINGS)) if attributes else set()
+    if names is None or tag in FURNITURE_TAGS or names & FURNITURE_WORDS:
+        return FURNITURE
+    if within and tag in TEXT_TAGS:
+        return NEITHER
+    if tag == "header" or names & DOUBTFUL_WORDS:
+        opening = tag == "header" or names & OPENING_WORDS
+        if opening and (within and around.begun == blocks or names & HEADED_WORDS and tag not in ARTICLE_TAGS):
+            return ARTICLE
+        return DOUBTFUL if within and not opening else FURNITURE
+    return ARTICLE if tag in ARTICLE_TAGS or names & ARTICLE_WORDS else NEITHER
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page, in page order."""
     out: list[Block] = []
+    root = _Open("")
     stack: list[_Open] = []
+    open_of: dict[str, int] = {}
     parts: list[tuple[str, bool]] = []
     in_link = skipping = 0
     at = 0
@@ -104,12 +143,23 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(t for t, _ in parts)).split())
             if text:
                 linked = sum(len(" ".join(html.unescape(t).split())) for t, link in parts if link)
-                hint = next((o.hint for o in reversed(stack) if o.hint), 0)
-                tags = [o.tag for o in stack]
-                out.append(Block(text, len(text.split()), min(1.0, linked / len(text)), hint,
-                                 any(t in tags for t in ("h1", "h2", "h3", "h4", "h5", "h6")), any(t in tags for t in ("li", "td", "th", "dt", "dd"))))
+                here = stack[-1] if stack else root
+                out.append(Block(text, len(text.split()), min(1.0, linked / len(text)), here.hint, here.heading, here.item, here.inside))
             parts.clear()
 
+    def enter(tag: str, attributes: str) -> None:
+        around = stack[-1] if stack else root
+        own = _hint(tag, attributes, around, len(out))
+        article = own == ARTICLE and tag in ARTICLE_TAGS
+        begun = len(out) if own == ARTICLE and around.hint <= 0 else around.begun
+        stack.append(_Open(tag, own or around.hint, around.heading or tag in HEADINGS, around.item or tag in ITEMS, begun, around.inside or article))
+        open_of[tag] = open_of.get(tag, 0) + 1
+
+    def leave() -> _Open:
+        last = stack.pop()
+        open_of[last.tag] -= 1
+        return last
+
     while at < len(page):
         match = MARKUP.search(page, at)
         if match is None:
@@ -125,14 +175,13 @@ def blocks(page: str) -> list[Block]:
         if match[1]:
             if tag == "a":
                 in_link = max(0, in_link - 1)
-            elif tag == "p" and not any(o.tag == "p" for o in stack):
-                close_block()
             elif tag not in INLINE:
-                place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
                 close_block()
-                if place is not None:
-                    skipping -= sum(o.tag in SKIPPED for o in stack[place:])
-                    del stack[place:]
+                if open_of.get(tag):
+                    found = ""
+                    while found != tag:
+                        found = leave().tag
+                        skipping -= found in SKIPPED
                     in_link = 0
             continue
         if tag in RAW:
@@ -150,14 +199,18 @@ def blocks(page: str) -> list[Block]:
             if tag in VOID or match[0].endswith("/>"):
                 continue
             if tag == "body":  # a head that was never closed ends here
-                skipping -= sum(o.tag in SKIPPED for o in stack)
-                stack.clear()
+                skipping = 0
+                while stack:
+                    leave()
             # A paragraph or list item ends where the next block of its kind begins.
             if stack and stack[-1].tag == "p" or stack and stack[-1].tag == tag and tag in ("li", "td", "th", "tr", "dt", "dd", "option"):
-                stack.pop()
-            stack.append(_Open(tag, _hint(tag, match[3])))
+                leave()
+            enter(tag, match[3])
             skipping += tag in SKIPPED
     close_block()
+    if any(b.inside for b in out):
+        for b in out:
+            b.outside = not b.inside
     return out
 
 
@@ -165,7 +218,7 @@ def features(page: list[Block]) -> np.ndarray:
     """One row of FEATURES per block."""
     own = np.array([(b.words, b.links) for b in page], float).reshape(-1, 2)
     zero = np.zeros((1, 2))
-    rest = np.array([(b.hint, b.heading, b.item) for b in page], float).reshape(-1, 3)
+    rest = np.array([(b.hint, b.heading, b.item, b.outside) for b in page], float).reshape(-1, 4)
     return np.hstack([own, np.vstack([zero, own])[:-1], np.vstack([own, zero])[1:], rest])
 
 
@@ -246,6 +299,10 @@ LABELLED: list[list[tuple[str, str]]] = [
     [("-", f'{_NAV}<form><label>Search</label><p>Type a word and press enter to look it up in all of our pages</p></form><div class="sidebar"><p>{_LONG}</p></div>'),
      ("+", f'<article class="post has-sidebar"><h1>Long read</h1><p>Yes.</p><p>{_LONG * 5}</p>'), ("-", '<div class="related"><a href="/r">Read this too</a><p>One more idea for you</p></div>'), ("+", f"<p>{_LONG}</p><p>No.</p></article>"),
      ("-", f'<section id="comments"><article class="comment"><p>{_LONG}</p></article><p>I agree.</p></section>')],
+    [("-", _NAV), ("+", f'<article><header><h1>With a header</h1><p>By a writer</p></header><p>{_LONG * 2}</p><section id="related-work"><h2>Other work</h2><p>{_LONG}</p><p>Few words.</p></section><h2 id="search">How to find it</h2>'),
+     ("-", '<div class="related"><p><a href="/1">One more story</a></p><ul><li><a href="/2">Another one</a></li></ul></div>'), ("+", "<p>The end.</p></article>"),
+     ("-", f"<div><p>{_LONG}</p><p>I do not think so.</p><p>{_LONG * 3}</p></div>")],
+    [("-", f"<div><p>{_LONG * 2}</p></div><p>Yes.</p>"), ("+", f'<main><h1>Heads</h1><p>{_LONG}</p><div class="tags"><p>Some text about tags</p></div><p>{_LONG * 4}</p></main>'), ("-", f"<div>So it is, I think.</div><div>{_LONG * 2}</div><div><a href='/m'>More</a></div>")],
 ]
 
 
