@@ -52,6 +52,18 @@ def test_training_is_bounded(docs):
     assert set(few.languages) <= {"de", "en", "es", "fr"} and few.languages
 
 
+def test_rare_languages_are_learned(spark):
+    copies = spark.range(60_000).select(F.lit("the cat and the dog went to the house").alias("text"), F.lit("en").alias("lang"))
+    german = spark.range(300).select(F.concat(F.lit("der Hund und die Katze gehen nach Haus "), F.col("id")).alias("text"), F.lit("de").alias("lang"))
+    polish = frame(spark, [("kot i pies idą do domu", "pl"), ("dzień dobry, jak się masz", "pl"), ("wszystko jest dobrze", "pl")], "text string, lang string")
+    many = spark.range(60_000).select(F.concat(F.lit("the cat and the dog went to the house "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    for table, languages, sample in ((copies.union(german), ["de", "en"], "die Katze und der Hund"), (many.union(polish), ["en", "pl"], "pies i kot")):
+        model = L.train(table)
+        assert model.languages == languages
+        rows = frame(spark, [(sample,), ("the dog and the cat",)], "text string")
+        assert rows_of(L.identify(rows, model), "lang_pred") == sorted([(next(x for x in languages if x != "en"),), ("en",)])
+
+
 def test_defined_results(spark, model):
     rows = [(1, None, "a"), (2, "", "b"), (3, " 12 !! ", "c"), (4, "the of and to in is", "d"), (4, "the of and to in is", "d"), (None, "der die das und nicht", None)]
     rows += [(5, "and the " * 200_000, "e"), (6, "de la que el en y los del " * 3, "f")]

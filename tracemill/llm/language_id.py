@@ -7,7 +7,7 @@ numpy by adding the matrix rows of a text's n-grams.
 Defined results: a null text, and a text without any letter, is `und` with score 0. Ties go
 to the language that sorts first. Rows are never dropped, repeated rows are scored alike,
 and input columns are kept. A training table without usable rows gives a model that answers
-`und` for everything.
+`und` for everything. A language held by few texts is learned from these few.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ UNKNOWN = "und"
 SIZES = (1, 2, 3)
 #: Code points that a task scores at once.
 BATCH_CHARS = 1 << 18
+#: Texts of a language that training takes at least, about, if there are as many.
+LEAST_TEXTS = 50
 
 
 @dataclass
@@ -72,20 +74,27 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", bits: int = 1
           max_docs: int = 20_000, seed: int = 7, smoothing: float = 0.1) -> LanguageModel:
     """Fit on about `max_docs` distinct labelled texts, those whose hashes are lowest.
 
-    The bound is part of the interface: it keeps the training cost the same at every size.
-    The share of the hash range that holds so many rows follows from the number of labelled
-    rows, so that every task picks its own; copies meet in a partial aggregation. Counting
-    runs in tasks; one row per language and filled bucket reaches the driver, at most 2**bits
-    times the number of languages.
+    The bound is part of the interface: it keeps the training cost the same at every size. Each
+    language has an equal share of it, and `LEAST_TEXTS` at least, so that none is lost to a more
+    frequent one; a language with fewer texts is learned from all of them. The part of the hash
+    range that holds so many follows from the approximate number of distinct texts of the
+    language, so that every task picks its own rows and copies weigh nothing. The prior is the
+    language's part of all distinct texts. Counting runs in tasks; what reaches the driver is one
+    row per language, and one per language and filled bucket, at most 2**bits times the languages.
     """
-    labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    share = min(1.0, max_docs / max(1, labelled.count()))
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(text), F.lit(seed)).alias("at"))
-    rows = rows.where(F.col("at") / 2.0**64 + 0.5 <= share).dropDuplicates(["text", "lang"]).select("text", "lang")
+    labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(text), F.lit(seed)).alias("at")
+    )
+    texts_of = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.approx_count_distinct("at").alias("n")).collect()}
+    if not texts_of:
+        return LanguageModel(bits=bits)
+    quota = max(max_docs / len(texts_of), LEAST_TEXTS)
+    share = F.create_map(*(F.lit(x) for name, n in texts_of.items() for x in (name, min(1.0, quota / max(1, n)))))
+    rows = labelled.where(F.col("at") / 2.0**64 + 0.5 <= F.element_at(share, F.col("lang")))
+    rows = rows.dropDuplicates(["text", "lang"]).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        seen: dict[str, int] = {}
         for batch in batches:
             langs = batch.column(1).to_pylist()
             for start, texts in _text_groups(batch.column(0).to_pylist()):
@@ -94,8 +103,6 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", bits: int = 1
                 text_of = np.repeat(np.arange(len(texts)), np.diff(starts))
                 place = {name: i for i, name in enumerate(sorted(set(mine)))}
                 lang_of = np.array([place[name] for name in mine])[text_of]
-                for name in mine:
-                    seen[name] = seen.get(name, 0) + 1
                 for size in SIZES:
                     at = gram_buckets(codes, size, bits)
                     whole = text_of[: len(at)] == text_of[size - 1 : size - 1 + len(at)]
@@ -105,9 +112,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", bits: int = 1
         for name, total in sums.items():
             filled = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([name] * (len(filled) + 1), pa.string()),
-                "bucket": pa.array(np.append(filled, -1), pa.int32()),
-                "n": pa.array(np.append(total[filled], seen[name]), pa.int64()),
+                "lang": pa.array([name] * len(filled), pa.string()),
+                "bucket": pa.array(filled, pa.int32()),
+                "n": pa.array(total[filled], pa.int64()),
             })
 
     counted = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
@@ -117,15 +124,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", bits: int = 1
     if not languages:
         return LanguageModel(bits=bits)
     place = {name: i for i, name in enumerate(languages)}
-    totals, docs_of = np.zeros((1 << bits, len(languages))), np.zeros(len(languages))
+    totals = np.zeros((1 << bits, len(languages)))
     for name, bucket, n in zip(counted["lang"], counted["bucket"], counted["n"], strict=True):
-        if bucket < 0:
-            docs_of[place[name]] += n
-        else:
-            totals[bucket, place[name]] += n
+        totals[bucket, place[name]] += n
+    known = np.array([max(1, texts_of[name]) for name in languages], float)
     smooth = totals + smoothing
     return LanguageModel(languages, np.log(smooth / smooth.sum(axis=0)).astype(np.float32),
-                         np.log(docs_of / docs_of.sum()), bits)
+                         np.log(known / known.sum()), bits)
 
 
 def score_texts(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
