@@ -5,7 +5,7 @@ import random
 import pytest
 
 from tests.llm.helpers import frame, prose, rows_of, words
-from tracemill.llm.substring_dedup import remove_repeats
+from tracemill.llm.substring_dedup import covered_ranges, remove_repeats
 
 
 def brute(rows, window):
@@ -63,3 +63,14 @@ def test_very_long_text(spark):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in remove_repeats(frame(spark, rows)).collect()}
     assert got[1] == (300_000, 0)
     assert got[2][1] >= got[2][0] - 2
+
+
+def test_ranges_do_not_grow_with_repeated_rows(spark):
+    text = " ".join(f"{prose(1, 60)} {prose(40 + i, 60)}" for i in range(5))
+    sizes = []
+    for n in (1, 1000):
+        rows = spark.createDataFrame([(1, prose(1, 60), 0)] + [(2, text, 1)] * n, "doc long, text string, version long")
+        found = covered_ranges(rows, bits=12).collect()
+        assert [(r["doc"], r["version"]) for r in found] == [(2, 1)]
+        sizes.append(len(found[0]["ranges"]))
+    assert sizes[0] == sizes[1] > 0

@@ -171,7 +171,8 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     within = edge.join(earliest, ["anchor", "words"]).where("doc > least").select(
         "doc", "version", (F.col("start") + F.col("at")).alias("start"), (F.col("start") + F.col("at") + window).alias("end")
     )
-    return later.union(within).groupBy("doc", "version").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    # Repeated rows of a document have the same ranges: each is held once.
+    return later.union(within).groupBy("doc", "version").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW,
