@@ -86,3 +86,9 @@ def test_edges(spark):
     rows = [(1, "a b c d e f g", "x"), (1, "a b c d e f g", "x"), (2, "a b c d e f g", "y"), (None, "a b c d e f g", "z")]
     got = similar_documents(frame(spark, rows, "doc_id long, text string, class string"))
     assert rows_of(got, "doc_id", "class_id", "group_id", "n_copies", "n_links") == [(1, 1, 1, 1, 0), (2, 1, 1, 1, 0), (None, None, None, 0, 0)]
+
+
+def test_a_recall_out_of_reach_is_an_error():
+    with pytest.raises(ValueError, match="recall"):
+        choose_bands(0.01, 0.999)
+    assert choose_bands(0.01, 0.999, 10_000)[1] >= 1

@@ -53,14 +53,19 @@ MAX_HASHES = 640
 
 
 def choose_bands(threshold: float, recall: float, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
-    """(bands, rows): pairs at `threshold` share a band with probability `recall` or more."""
-    best = (1, 1)
+    """(bands, rows): pairs at `threshold` share a band with probability `recall` or more.
+
+    Fails where no banding within `max_hashes` reaches that recall.
+    """
+    best = None
     for rows in range(1, max_hashes + 1):
         hit = threshold**rows
         bands = 1 if hit >= 1 else math.ceil(math.log(1 - recall) / math.log1p(-hit))
         if bands * rows > max_hashes:
             break
         best = (bands, rows)
+    if best is None:
+        raise ValueError(f"{max_hashes} hashes do not reach a recall of {recall} at a similarity of {threshold}; allow more")
     return best
 
 
