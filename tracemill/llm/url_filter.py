@@ -25,36 +25,53 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS = 2048
+BUCKETS = 8192
 SIZES = (3, 4)
 
 #: Words of hosts and paths of the labelled table: rows to block, rows to keep.
 BAD = (
-    "casino", "poker", "free-bets", "bet365", "sportsbet", "slots", "jackpot", "cheap-pills", "pills-online", "viagra",
-    "cialis", "pharma-discount", "adult-x", "adult-chat", "xxx-video", "porn", "sex-cams", "hot-girls", "escort",
-    "payday-loan", "quick-cash", "free-money", "crack-keygen", "warez", "torrent-free", "replica-watch", "weight-loss-miracle",
-    "crypto-giveaway", "win-iphone", "free-prize", "spam-links", "link-farm", "ads-click", "click-track", "casino-win",
-    "spam-mail", "ads-banner", "track-pixel", "bets-win", "cheap-meds",
+    "casino", "poker", "bets", "betting", "slots", "jackpot", "roulette", "blackjack", "bingo", "gamble",
+    "pills", "viagra", "cialis", "pharmacy-discount", "meds-online", "steroids", "diet-miracle", "weight-loss",
+    "adult", "porn", "xxx", "sex", "cams", "escort", "hotgirls", "nude", "webcam-chat", "hookup",
+    "payday", "quick-loan", "easy-cash", "get-rich", "free-money", "forex-signal", "crypto-giveaway", "double-bitcoin",
+    "crack", "keygen", "warez", "torrent", "serialz", "cracked", "replica", "fake-watches", "knockoff",
+    "free-prize", "lottery", "you-won", "claim-reward", "win-phone", "spam", "linkfarm", "backlinks", "clickbait",
+    "adserver", "adclick", "popunder", "tracker", "pixel", "banner-exchange", "traffic-buy", "seo-boost",
+    "phish", "verify-account", "malware", "spyware", "dating-tonight", "milf", "fetish", "winbig",
 )
 GOOD = (
     "news", "weather", "library", "university", "science", "garden", "recipes", "travel", "history", "museum",
     "docs", "wiki", "blog", "school", "health", "music", "photos", "forum", "kitchen", "nature",
-    "theory", "method", "anthem", "northern", "thread", "mention", "nation", "station", "others", "ration",
-    "there", "other", "mother", "whether", "another", "earth", "north", "growth", "eighth", "month",
-    "wherever", "thinking", "together", "threshold", "although", "therefore", "thousand", "strength", "width", "truth",
-    "trout", "house", "orchard", "harbour", "theatre", "tradition", "landing", "evening", "shelter", "island",
+    "business", "sport", "sports", "politics", "opinion", "economy", "world", "europe", "culture", "society",
+    "times", "post", "herald", "journal", "gazette", "tribune", "guardian", "chronicle", "magazine", "review",
+    "research", "papers", "abstract", "articles", "archive", "press", "academy", "institute", "college", "course",
+    "gov", "ministry", "parliament", "council", "city", "county", "police", "court", "law", "tax",
+    "hospital", "clinic", "doctor", "medicine", "nursing", "physics", "chemistry", "biology", "math", "statistics",
+    "software", "developer", "python", "linux", "github", "code", "data", "cloud", "network", "security",
+    "books", "poems", "novel", "film", "cinema", "theatre", "opera", "dance", "art", "gallery",
+    "football", "tennis", "cycling", "running", "hiking", "camping", "mountain", "river", "ocean", "island",
+    "hotel", "restaurant", "cafe", "bakery", "wine", "cheese", "farm", "market", "shop", "fashion",
+    "house", "home", "furniture", "architecture", "design", "bridge", "railway", "airport", "station", "transport",
+    "children", "family", "parents", "teacher", "student", "language", "dictionary", "grammar", "translate", "letters",
+    "church", "charity", "foundation", "society", "union", "workers", "energy", "climate", "water", "forest",
+    "bank", "insurance", "finance", "company", "industry", "engineering", "motor", "about", "contact", "help",
+    "deporte", "noticias", "actualite", "nachrichten", "wissenschaft", "universidad", "bibliotheque", "geschichte", "salud", "cuisine",
 )
+SUFFIXES = ("com", "net", "org", "info", "co.uk", "de", "fr", "es", "io", "eu")
+FRONTS = ("", "www.", "m.", "blog.", "shop.")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label): the words above under a few subdomains, domains and paths; 1 blocks."""
+    """(url, label): the words above, alone and in pairs, under a few subdomains, domains and
+    paths that are the same for both labels; 1 blocks. A word to block stands in the host or in
+    the path; the rest of its URL is as ordinary as the others."""
     rows = []
     for label, words in ((1.0, BAD), (0.0, GOOD)):
-        for i, word in enumerate(words):
-            suffix = ("com", "net", "org")[i % 3]
-            front = ("", "www.", "m.", "blog.")[i % 4]
-            path = (f"/en/{100 + i}", f"/de/{200 + i}/", f"/es/{300 + i}.html", f"/fr/{i}?page=2", f"/{word}/index.html")[i % 5]
-            for url in (f"https://{front}{word}.example.{suffix}{path}", f"http://{word}.{suffix}/", f"https://{front}site.example.{suffix}/{word}/{i}"):
+        for i in range(len(GOOD)):
+            word, other, plain = words[i % len(words)], words[(7 * i + 3) % len(words)], GOOD[(11 * i + 5) % len(GOOD)]
+            suffix, front = SUFFIXES[i % len(SUFFIXES)], FRONTS[i % len(FRONTS)]
+            page = (f"en/{100 + i}", f"de/{200 + i}/", f"es/{300 + i}.html", f"fr/{i}?page=2", f"{2000 + i % 25}/{i % 12 + 1}/{plain}", plain)[i % 6]
+            for url in (f"https://{front}{word}.{suffix}/{page}", f"http://{word}-{other}.{suffix}/", f"https://{front}{other}{word}.example.{suffix}/{page}", f"https://{front}{plain}.{suffix}/{word}/{i}"):
                 rows.append({"url": url, "label": label})
     listed = F.from_json(F.lit(json.dumps(rows)), "array<struct<url:string,label:double>>")
     return spark.range(1).select(F.explode(listed).alias("row")).select("row.url", "row.label")
