@@ -90,13 +90,13 @@ def test_empty_corpus(spark, folder, tmp_path):
 
 def test_every_operator_has_its_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLES) <= set(queries.QUERIES)
 
 
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_queries_against_duckdb(spark, sf, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "embeddings"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     result = connection.execute(queries.ORACLES[name])
     columns = [c[0] for c in result.description]
