@@ -74,6 +74,29 @@ def test_links_are_counted_like_all_pairs(spark, monkeypatch, block):
     assert got == {d: len(found) for d, found in partners.items()}
 
 
+@pytest.mark.parametrize("block", [1024, 5])
+def test_links_far_from_the_pivot_are_counted(spark, monkeypatch, block):
+    # A chain: each text differs a little from the one before, the ends are not linked.
+    monkeypatch.setattr(ngram_join.link_counts, "__defaults__", (block, ngram_join.GROUP_BYTES))
+    text, rows = prose(9000, 150), []
+    for i in range(24):
+        rows.append((i, text))
+        text = near(text, i, 1)
+    rows += [(100 + i, rows[12][1] + f" tail{i}") for i in range(12)]  # all near one text: settled without comparing
+    _, groups, links = brute(rows)
+    got = {r["doc_id"]: (r["group_id"], r["n_links"]) for r in similar_documents(frame(spark, rows)).collect()}
+    assert got == {d: (groups[d], sum(d in link for link in links)) for d in groups}
+    assert min(n for _, n in got.values()) < 12 < max(n for _, n in got.values())
+
+
+def test_further_links_merge_labels(spark):
+    labels = spark.createDataFrame([(b"a", b"a"), (b"b", b"a"), (b"c", b"c"), (b"d", b"c"), (b"e", b"e"), (b"f", b"e")], "node binary, label binary")
+    more = spark.createDataFrame([(b"b", b"d", 0.9), (b"d", b"x", 0.8), (b"y", b"z", 0.8)], "a binary, b binary, similarity double")
+    got = {bytes(r["node"]): bytes(r["label"]) for r in ngram_join._merged(labels, more).collect()}
+    assert got == {b"a": b"a", b"b": b"a", b"c": b"a", b"d": b"a", b"x": b"a", b"e": b"e", b"f": b"e", b"y": b"y", b"z": b"y"}
+    assert ngram_join._merged(labels, more.limit(0)).count() == 6
+
+
 @pytest.mark.parametrize("recall", [0.9, 0.99, 0.999])
 def test_bands_reach_the_recall(recall):
     bands, rows = choose_bands(0.8, recall)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracemill.session import delete_folder
+
 #: Bytes of text that a task hashes at once; numpy needs about 100 times this for its arrays.
 BATCH_BYTES = 1 << 20
 
@@ -35,6 +38,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Tables:
+    """Parquet tables in the shared folder: computed once, safe from lost executors, and deleted
+    by `drop` as soon as what was made of them is written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+        self.paths: dict[int, str] = {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(kept)] = path
+        return kept
+
+    def drop(self, *kept: DataFrame) -> None:
+        for df in kept:
+            delete_folder(self.spark, self.paths.pop(id(df)))
+
+
 def text_batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of a batch with about BATCH_BYTES of UTF-8 text each; null texts are empty."""
     texts = batch.column(column)
@@ -104,9 +128,11 @@ def smallest_reachable(links: DataFrame, rounds: int = 100) -> DataFrame:
     Alternates two star contractions: every node's larger neighbours, then its smaller ones,
     are hung on its smallest neighbour. Both are joins on a node with a grouped minimum, so
     that a hub shrinks before it is shuffled; the number of rounds grows with the logarithm
-    of the longest chain. The links stay on executors throughout.
+    of the longest chain. The links stay on executors throughout, and on disk only those of
+    the last round.
     """
-    edges = checkpointed(links.select("a", "b").where("a <> b").distinct())
+    tables = Tables(links.sparkSession)
+    edges = tables.keep(links.select("a", "b").where("a <> b").distinct())
     state = None
     for _ in range(rounds):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -118,7 +144,8 @@ def smallest_reachable(links: DataFrame, rounds: int = 100) -> DataFrame:
         small = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(
             least.select("a", F.col("m").alias("b"))
         )
-        edges = checkpointed(small.distinct())
+        before, edges = edges, tables.keep(small.distinct())
+        tables.drop(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(

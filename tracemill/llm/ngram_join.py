@@ -12,9 +12,13 @@
    for as long as they are being counted in a task; only links leave it. A bucket of n near
    copies that the pivot links costs n pairs; one that stays open costs its square in counting.
 4. Verified links are contracted to groups by star contraction on executors.
-5. Links are counted among all pairs of a group, block by block, whichever buckets they share. As
-   every colliding pair was decided, no link leads out of its group. Tasks return one partial
-   count per class and never pairs; a group costs its square in counting.
+5. Links are counted among all pairs of a group, whichever buckets they share. As every colliding
+   pair was decided, no link leads out of its group. Each set is reduced to its difference from
+   its group's pivot, from which common n-grams of any two follow exactly, and near copies differ
+   little. Jaccard distances obey the triangle inequality: sets that are both near enough to the
+   pivot are linked, sets whose distances from it differ too much are not, and both are settled
+   by counting. The others are compared block by block. Tasks return one partial count per class
+   and never pairs.
 
 A set's n-grams are the `size` consecutive words from each word on (words: white-space
 separated, unchanged); a shorter text has all its words as its one n-gram. Two sets are linked
@@ -35,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.common import KEY_BITS, bitmap, by_bitmap, checkpointed, smallest_reachable, text_batches
+from tracemill.llm.common import KEY_BITS, Tables, bitmap, by_bitmap, smallest_reachable, text_batches
 from tracemill.llm.hashing import Words, mix, signed
 
 NGRAM = 5
@@ -43,9 +47,12 @@ THRESHOLD = 0.8
 RECALL = 0.999
 #: Members of a bucket that a task compares with as many others.
 BLOCK = 256
-#: Members, and bytes of their sets, of a group that a task compares with as many others. Each
-#: set is sent once for every block of its group.
+#: Members of a group, and bytes of their differences, that a task compares with as many others.
 GROUP_BLOCK, GROUP_BYTES = 1024, 8 << 20
+#: Bands of distance from the pivot, over the distance that links may have.
+RINGS = 8
+#: Distances this close to a bound are compared and not taken as settled.
+CLOSE = 1e-9
 #: N-grams that are compared at once, as columns of a matrix.
 COLUMNS = 4096
 #: Hashes of a signature. Many rows in a band keep texts that share only a common passage apart.
@@ -244,31 +251,83 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out
 
 
+def differences(both: DataFrame) -> DataFrame:
+    """Of `both` (class, label, parts, grams, base): (class, label, parts, base, missing, diff, distance): the
+    size of the set `base`, how many of its n-grams `grams` lacks, the n-grams that only one of
+    the two has, and their Jaccard distance."""
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, bytes, float]] = []
+            for own, other in zip(batch.column(3), batch.column(4), strict=True):
+                x, base = (np.frombuffer(v.as_buffer(), np.uint64) for v in (own, other))
+                diff = np.setxor1d(x, base, assume_unique=True)
+                common = (len(x) + len(base) - len(diff)) // 2
+                out.append((len(base), len(base) - common, diff.tobytes(), len(diff) / (common + len(diff))))
+            size, missing, diff, distance = zip(*out, strict=True) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(size, pa.int64()), pa.array(missing, pa.int64()),
+                 pa.array(diff, pa.binary()), pa.array(distance, pa.float64())],
+                names=["class", "label", "parts", "base", "missing", "diff", "distance"],
+            )
+
+    return both.select("class", "label", "parts", "grams", "base").mapInArrow(
+        differ, "class binary, label binary, parts int, base long, missing long, diff binary, distance double"
+    )
+
+
 def link_counts(labels: DataFrame, sets: DataFrame, threshold: float, block: int = GROUP_BLOCK, block_bytes: int = GROUP_BYTES) -> DataFrame:
-    """(class, n_links): links of each class in `labels` (node, label) to others of its label.
+    """(class, n_links): links of each class in `labels` (node, label, met) to others of its label.
 
-    A label's classes are dealt into blocks; each pair of blocks is a task of its own that
-    returns how many links each class has there.
+    A label's pivot is the class that met most others. Classes of a label with more than a
+    block of them are dealt into rings by their distance from it, large rings into blocks; each pair of blocks whose links do not follow from
+    the distances is a task of its own that returns how many links each class has there.
     """
-    named = labels.select(F.col("node").alias("class"), "label")
-    sizes = sets.select("class", F.length("grams").alias("bytes")).join(named, "class")
-    groups = sizes.groupBy("label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-    blocks = F.ceil(F.greatest(F.col("n") / block, F.least(F.col("bytes") / block_bytes, "n"))).cast("int")
-    named = checkpointed(named.join(groups.select("label", "n", blocks.alias("blocks")), "label"))
+    tables = Tables(labels.sparkSession)
+    named = labels.select(F.col("node").alias("class"), "label", "met")
+    groups = named.groupBy("label").agg(F.count("*").alias("n"), F.max_by("class", F.struct("met", "class")).alias("pivot"))
+    named = tables.keep(named.join(groups, "label").select("class", "label", "n", "pivot", F.ceil(F.col("n") / block).cast("int").alias("parts")))
     # A group of two is one link.
     pairs = named.where("n = 2").select("class", F.lit(1).cast("long").alias("n_links"))
-    dealt = sets.join(named.where("n > 2"), "class").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class", "grams")
+    larger = named.where("n > 2")
+    # A pivot's set goes to every part of its group once.
+    pivots = larger.where(F.col("class") == F.col("pivot")).join(sets.withColumnRenamed("grams", "base"), "class")
+    pivots = pivots.select("label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "base")
+    own = larger.join(sets, "class").withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+    reduced = tables.keep(differences(own.join(pivots, ["label", "part"])))
+    reach = 1 - threshold
+    members = reduced.withColumn("ring", F.when(F.col("parts") > 1, F.floor(F.col("distance") * (RINGS / max(reach, CLOSE)))).otherwise(0).cast("int"))
+    rings = members.groupBy("label", "ring").agg(
+        F.count("*").alias("n"), F.sum(F.length("diff")).alias("bytes"), F.min("distance").alias("low"), F.max("distance").alias("high")
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / block, F.least(F.col("bytes") / block_bytes, "n"))).cast("int")
+    # A label has RINGS / reach rings at most.
+    rings = rings.groupBy("label").agg(F.collect_list(F.struct("ring", "n", "low", "high", blocks.alias("blocks"))).alias("rings"))
+    rings = rings.select("label", "rings", F.explode("rings").alias("mine"))
+    linked = lambda r: r["high"] + F.col("mine.high") <= reach - CLOSE
+    apart = lambda r: F.greatest(r["low"] - F.col("mine.high"), F.col("mine.low") - r["high"]) > reach + CLOSE
+    settled = F.aggregate(F.filter("rings", linked), F.lit(0).cast("long"), lambda n, r: n + r["n"] - (r["ring"] == F.col("mine.ring")).cast("long"))
+    block_id = lambda ring, number: F.shiftleft(ring.cast("long"), 40) + number
+    others = F.flatten(F.transform(
+        F.filter("rings", lambda r: ~linked(r) & ~apart(r)),
+        lambda r: F.transform(F.sequence(F.lit(0), r["blocks"] - 1), lambda k: block_id(r["ring"], k)),
+    ))
+    rings = rings.select("label", F.col("mine.ring").alias("ring"), F.col("mine.blocks").alias("blocks"), settled.alias("settled"), others.alias("others"))
+    dealt = members.join(rings, ["label", "ring"])
+    known = dealt.select("class", F.col("settled").alias("n_links"))
+    dealt = dealt.withColumn("own", block_id(F.col("ring"), F.pmod(F.xxhash64("class"), F.col("blocks")))).withColumn("other", F.explode("others"))
+    dealt = dealt.select("label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class", "base", "missing", "diff")
 
     def count(table: pa.Table) -> pa.Table:
-        sets = [np.frombuffer(value.as_buffer(), np.uint64) for value in table["grams"]]
-        size = np.array([len(x) for x in sets])
+        sets = [np.frombuffer(value.as_buffer(), np.uint64) for value in table["diff"]]
+        missing, base = table["missing"].to_numpy(), table["base"].to_numpy()
+        size = base - 2 * missing + np.array([len(x) for x in sets])
         own, low, high = table["own"].to_numpy(), table["low"][0].as_py(), table["high"][0].as_py()
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
         number = np.zeros(len(sets), np.int64)
         if len(left) and len(right):
             common = common_counts([sets[k] for k in left], [sets[k] for k in right])
+            common += (base - missing)[left][:, None] - missing[right]
             linked = common / (size[left][:, None] + size[right] - common) >= threshold
             if low == high:
                 np.fill_diagonal(linked, False)
@@ -279,7 +338,7 @@ def link_counts(labels: DataFrame, sets: DataFrame, threshold: float, block: int
         return pa.table({"class": table["class"].take(pa.array(found)), "n_links": pa.array(number[found])})
 
     parts = dealt.groupBy("label", "low", "high").applyInArrow(count, "class binary, n_links long")
-    return pairs.union(parts.groupBy("class").agg(F.sum("n_links").alias("n_links")))
+    return pairs.union(known.union(parts).groupBy("class").agg(F.sum("n_links").alias("n_links")))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -288,46 +347,67 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def class_links(docs: DataFrame, size: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL,
                 max_hashes: int = MAX_HASHES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of `docs` (doc, text): (doc, class) members, (node, label) group label of each linked
-    class, (class, grams) sets of all classes that share a bucket."""
+    """Of `docs` (doc, text): (doc, class) members, (node, label, met) group label and verified
+    links of each linked class, (class, grams) sets of all classes that share a bucket."""
     bands, rows = choose_bands(threshold, recall, max_hashes)
-    signed_docs = checkpointed(signatures(docs, size, bands, rows))
+    tables = Tables(docs.sparkSession)
+    signed_docs = tables.keep(signatures(docs, size, bands, rows))
     members = signed_docs.select("doc", "class").distinct()
     classes = signed_docs.groupBy("class").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands"))
     # A band's hash holds its number. Short keys travel with the hashes; classes that share
     # one, should that ever happen, are candidates of each other like any in one bucket.
     buckets = classes.select(F.xxhash64("class").alias("short"), F.explode("bands").alias("value"))
     shared = buckets.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
-    held = checkpointed(buckets.join(shared, "value"))
+    found = tables.keep(buckets.join(shared, "value"))
     # The pivot is the member that meets most others in all its buckets: the text that others
     # are copies of is nearer to them than they are to each other.
-    central = held.groupBy("short").agg(F.sum(F.col("n") - 1).alias("met"))
-    held = held.join(central, "short").select("value", "short", "met")
+    central = found.groupBy("short").agg(F.sum(F.col("n") - 1).alias("met"))
+    held = found.join(central, "short").select("value", "short", "met")
     pivots = held.groupBy("value").agg(F.max_by("short", F.struct("met", "short")).alias("pivot"))
     named = classes.select("class", F.xxhash64("class").alias("short")).join(central.select("short"), "short", "left_semi")
-    named = checkpointed(named)
+    named = tables.keep(named)
     pivot_names = named.select(F.col("class").alias("pivot_class"), F.col("short").alias("pivot"))
     placed = held.join(pivots, "value").join(named, "short").join(pivot_names, "pivot")
-    placed = checkpointed(placed.select("value", "class", "pivot_class"))
+    placed = tables.keep(placed.select("value", "class", "pivot_class"))
+    tables.drop(found, named)
     # The sets of colliding classes: text is read again rather than kept for all classes.
     needed = placed.select("class").distinct()
-    sources = checkpointed(classes.select("class", "doc").join(needed, "class", "left_semi").select("doc").distinct())
+    sources = tables.keep(classes.select("class", "doc").join(needed, "class", "left_semi").select("doc").distinct())
     slot = F.pmod(F.xxhash64("doc"), F.lit(1 << KEY_BITS)).alias("cell")
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(sources.select(slot), 1 << KEY_BITS))
     near = by_bitmap(docs.select("doc", "text", slot), "cell", wanted, True)
     texts = near.join(sources, "doc", "left_semi").select("text")
-    sets = checkpointed(gram_sets(texts, size).join(needed, "class", "left_semi").dropDuplicates(["class"]))
+    sets = tables.keep(gram_sets(texts, size).join(needed, "class", "left_semi").dropDuplicates(["class"]))
+    tables.drop(sources)
+    wanted.destroy()
     tried = _ordered(placed.select(F.col("class").alias("x"), F.col("pivot_class").alias("y")))
-    links = checkpointed(verified(tried, sets, threshold))
-    labels = smallest_reachable(links)
+    links = tables.keep(verified(tried, sets, threshold))
+    labels = tables.keep(smallest_reachable(links))
     # Buckets that still hold several groups: their members are compared with each other.
     grouped = placed.select("value", "class").join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "label", F.coalesce("label", "class")
     )
     split = grouped.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     rest = grouped.join(split.select("value"), "value", "left_semi").join(sets, "class")
-    more = checkpointed(linked_in_buckets(rest.select("value", "class", "label", "grams"), threshold))
-    return members, smallest_reachable(links.union(more)), sets
+    more = tables.keep(linked_in_buckets(rest.select("value", "class", "label", "grams"), threshold))
+    tables.drop(placed)
+    ends = links.union(more)
+    ends = ends.select(F.col("a").alias("node")).union(ends.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("met"))
+    labels = ends.join(_merged(labels, more), "node")
+    return members, labels, sets
+
+
+def _merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """`labels` (node, label) after further links (a, b): only the labels are contracted."""
+    if more.isEmpty():
+        return labels
+    label = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    joined = more.join(label("a"), "a", "left").join(label("b"), "b", "left")
+    joined = joined.select("a", "b", *(F.coalesce(f"label_{end}", end).alias(f"label_{end}") for end in "ab"))
+    tops = smallest_reachable(joined.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    nodes = labels.union(joined.select("a", "label_a")).union(joined.select("b", "label_b")).distinct()
+    found = nodes.join(tops.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
+    return found.select("node", F.coalesce("top", "label").alias("label"))
 
 
 def similar_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = NGRAM,
@@ -341,13 +421,15 @@ def similar_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     """
     plain = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
     members, labels, sets = class_links(plain, size, threshold, recall)
+    tables = Tables(docs.sparkSession)
+    labels = tables.keep(labels)
     classes = members.groupBy("class").agg(F.min("doc").alias("class_id"), (F.count("*") - 1).alias("n_copies"))
-    classes = classes.join(labels.withColumnRenamed("node", "class"), "class", "left")
+    classes = classes.join(labels.select(F.col("node").alias("class"), "label"), "class", "left")
     counts = ["n_copies"]
     if count_links:
         classes = classes.join(link_counts(labels, sets, threshold), "class", "left")
         counts.append("n_links")
-    classes = checkpointed(classes.withColumn("label", F.coalesce("label", "class")))
+    classes = tables.keep(classes.withColumn("label", F.coalesce("label", "class")))
     groups = classes.groupBy("label").agg(F.min("class_id").alias("group_id"))
     classes = classes.join(groups, "label").select("class", "class_id", "group_id", *counts)
     found = members.join(classes, "class").groupBy("doc").agg(
