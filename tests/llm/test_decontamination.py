@@ -86,6 +86,25 @@ def test_first_word_of_a_short_item_as_a_name(spark):
     assert set(hits(spark, rows, items)) == {(1, 1), (2, 1), (3, 2)}
 
 
+def test_short_items_are_found_as_copies(spark):
+    items = [(1, "Who wrote the play Hamlet"), (2, "Ann ran 5 km"), (3, "yes"), (4, "?"), (5, None), (6, ITEMS[0][1]), (7, "who wrote the play hamlet?")]
+    rows = [
+        (1, "So: who wrote the play Hamlet?"), (2, "then ann ran 5km, YES"), (3, "Ann ran 6 km"), (4, "eyes"), (5, "who wrote a play"),
+        (6, "yes"), (7, None), (8, ""), (9, f"{ITEMS[0][1]} Yes. yes"), (None, "yes"), (10, "WHO WROTE THE PLAY HAMLET"), (10, "no"), (11, "yes"), (11, "yes"),
+    ]
+    got = hits(spark, rows, items, short=True)
+    assert set(got) == {(1, 1), (1, 7), (2, 2), (2, 3), (6, 3), (9, 3), (9, 6), (10, 1), (10, 7), (11, 3)}
+    assert [(got[k]["n_matched"], got[k]["n_item"], got[k]["first_token"], got[k]["same_values"]) for k in ((1, 1), (2, 3))] == [(5, 5, 1, True), (1, 1, 5, True)]
+    assert set(hits(spark, rows, items)) == {(9, 6)}
+
+
+def test_short_items_like_brute_force(spark):
+    items = [(i, prose(900 + i, 1 + i % 5, 12)) for i in range(15)]
+    rows = [(i, prose(i, i % 40, 12)) for i in range(60)]
+    expected = {(d, i) for d, text in rows for i, item in items if f" {item} " in f" {text} "}
+    assert set(hits(spark, rows, items, short=True)) == expected and len(expected) > 100
+
+
 def test_every_offset_and_run_length_is_found(spark):
     rng = random.Random(3)
     item = prose(77, 40, 10_000)

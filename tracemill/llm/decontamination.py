@@ -14,9 +14,13 @@ names as words; an item's first window also with its first word as a name. Windo
 was counted to be small. Matches are then aligned by their offset, compared token by token and
 checked for slots, on the few documents that have any.
 
-Defined results: null and empty texts have no tokens and hit nothing; items of fewer than
-`least` tokens identify nothing and are not searched; equal items each report their hits;
-repeated documents report alike; rows with a null id are left out, as they cannot be named.
+Items of fewer than `LEAST` tokens have too few words for a template. With `short` they are found
+by exact copies: all their tokens in a row, in any case. Without it they are not searched, for
+callers that drop documents and would lose all that use such a phrase.
+
+Defined results: null and empty texts have no tokens and hit nothing; items without tokens are
+in no document; equal items each report their hits; repeated documents report alike; rows with
+a null id are left out, as they cannot be named.
 """
 
 from __future__ import annotations
@@ -143,13 +147,49 @@ def _hits(pairs: DataFrame, run: int) -> DataFrame:
     )
 
 
+def unmarked(marked_text: Column) -> Column:
+    """The tokens without their marks."""
+    return F.transform(tokens(marked_text), lambda t: F.translate(t, NUMBER + NAME + UNIT, ""))
+
+
+def _copies(plain: DataFrame, phrases: DataFrame, lengths: list[int]) -> DataFrame:
+    """Hits of `phrases` (item_id, phrase, n) in `plain` (doc_id, text): documents that hold all
+    tokens of one in a row. `lengths` are the values of n, below LEAST.
+
+    Tokens hold no space, so that the joined words are an exact key. One row per document,
+    item and place meets the map-side minimum; a phrase that all documents use costs a row each.
+    """
+    words = plain.select("doc_id", unmarked(marked(F.col("text"))).alias("words"))
+
+    def places(n: int) -> Column:
+        starts = F.when(F.size("words") >= n, F.sequence(F.lit(0), F.size("words") - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda k: F.struct(k.alias("at"), F.array_join(F.slice("words", k + 1, n), " ").alias("phrase")))
+
+    spoken = words.select("doc_id", F.explode(F.concat(*map(places, lengths))).alias("place")).select("doc_id", "place.at", "place.phrase")
+    found = spoken.join(phrases, "phrase").groupBy("doc_id", "item_id").agg(F.min("at").alias("at"), F.first("n").alias("n"))
+    n = F.col("n").cast("long")
+    return found.select(
+        "doc_id", "item_id", n.alias("n_matched"), n.alias("n_item"), F.lit(0).cast("long").alias("n_slots"),
+        F.lit(True).alias("same_values"), F.col("at").cast("long").alias("first_token"),
+    )
+
+
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id",
-                 item_text: str = "text", run: int = RUN, width: int = WIDTH) -> DataFrame:
+                 item_text: str = "text", run: int = RUN, width: int = WIDTH, short: bool = False) -> DataFrame:
     """One row per document and item that share a run: doc_id, item_id, n_matched (tokens of
-    the longest such run), n_item, n_slots, same_values (false: re-parameterised), first_token."""
-    named = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), marked(F.col(item_text)).alias("marked"))
-    named = named.select("item_id", tokens(F.col("marked")).alias("item"), template(F.col("marked")).alias("plain"), worded(F.col("marked")).alias("worded")).where(F.size("item") >= LEAST)
-    sizes = named.agg(F.min(F.size("item")).alias("least"), F.sum(F.size("item")).alias("all")).first()
+    the longest such run), n_item, n_slots, same_values (false: re-parameterised), first_token.
+
+    With `short`, items below LEAST tokens are searched as exact copies, which have no slots.
+    """
+    every = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), marked(F.col(item_text)).alias("marked"))
+    named = every.select("item_id", tokens(F.col("marked")).alias("item"), template(F.col("marked")).alias("plain"), worded(F.col("marked")).alias("worded"))
+    size, long = F.size("item"), F.size("item") >= LEAST
+    brief = (size > 0) & ~long
+    sizes = named.agg(
+        F.min(F.when(long, size)).alias("least"), F.sum(F.when(long, size)).alias("all"),
+        F.collect_set(F.when(brief, size)).alias("lengths"), F.count(F.when(brief, size)).alias("brief"),  # LEAST - 1 lengths at most
+    ).first()
+    named = named.where(long)
     shortest = min(run, sizes["least"] or run)
     width = min(width, shortest)
     step = shortest - width + 1
@@ -171,4 +211,11 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     hits = _hits(pairs, run)
     columns = ["n_matched", "n_item", "n_slots", "same_values", "first_token"]
     longest = F.max_by(F.struct(*columns), F.struct("n_matched", "same_values", -F.col("first_token")))
-    return hits.groupBy("doc_id", "item_id").agg(longest.alias("best")).select("doc_id", "item_id", "best.*")
+    hits = hits.groupBy("doc_id", "item_id").agg(longest.alias("best")).select("doc_id", "item_id", "best.*")
+    if not short or not sizes["brief"]:
+        return hits
+    phrases = every.select("item_id", unmarked(F.col("marked")).alias("words"))
+    phrases = phrases.where(F.size("words").between(1, LEAST - 1)).select("item_id", F.array_join("words", " ").alias("phrase"), F.size("words").alias("n"))
+    if sizes["brief"] <= BROADCAST_WINDOWS:
+        phrases = F.broadcast(phrases)
+    return hits.unionByName(_copies(plain, phrases, sorted(sizes["lengths"])))
