@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from tracemill.session import delete_folder
 
 #: Bytes of text that a task hashes at once; numpy needs about 100 times this for its arrays.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
+#: Rows that pass between Spark and a Python worker at once.
+BATCH_ROWS = 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,6 +34,11 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of so few rows that neither Spark nor a Python worker holds much text at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The same rows, computed once and kept where a lost executor cannot take them away."""
     shared_folder(df.sparkSession)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.common import KEY_BITS, Tables, bitmap, by_bitmap, smallest_reachable, text_batches
+from tracemill.llm.common import KEY_BITS, Tables, bitmap, by_bitmap, small_batches, smallest_reachable, text_batches
 from tracemill.llm.hashing import Words, mix, signed
 
 NGRAM = 5
@@ -419,6 +419,7 @@ def similar_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     counts the other classes linked to this one. Without `count_links` there is no column
     n_links, for callers that need groups only.
     """
+    small_batches(docs.sparkSession)
     plain = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
     members, labels, sets = class_links(plain, size, threshold, recall)
     tables = Tables(docs.sparkSession)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracemill.llm.common import checkpointed
+from tracemill.llm.common import checkpointed, small_batches
 from tracemill.llm.tokens import TokenEncoder, default_path
 
 SEQUENCE = 1024
@@ -155,4 +155,5 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
 def pack_documents(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), size: int = SEQUENCE,
                    tokenizer: str | None = None, end_id: int = END_ID, ids: bool = True, added: bool = False) -> DataFrame:
     """Pieces of all `docs` with their sequence and place in it."""
+    small_batches(docs.sparkSession)
     return pack(encoded_pieces(docs, text, keep, size, tokenizer, end_id, ids, added), size)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -67,8 +68,7 @@ class TokenEncoder:
         }
         self.encoding = tiktoken.Encoding("chunks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.chunks = Chunks(self.encoding)
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = not added
+        self.path, self.keeps_added = path, added
         # The library takes only special ones for ordinary text.
         own = [t["content"] for t in spec["added_tokens"] if added or not t.get("special")]
         self.added = re.compile("|".join(map(re.escape, own))) if own else None
@@ -79,6 +79,13 @@ class TokenEncoder:
         for token, rank in ranks.items():
             self.sizes[rank] = len(token)
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """Loaded with the first text that needs it, which most tasks never see."""
+        library = Tokenizer.from_file(self.path)
+        library.encode_special_tokens = not self.keeps_added
+        return library
+
     @classmethod
     def load(cls, path: str, added: bool = False) -> TokenEncoder:
         """One encoder a Python worker, kept from task to task."""
