@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,33 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def give_back() -> None:
+    """Returns to the system what this process has freed: Arrow and the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(work: Batches) -> Batches:
+    """`work` of a task, after which its Python worker holds no memory that it does not use.
+
+    Workers outlive their tasks. A stage with several Python steps has several of them for each
+    core, and the idle ones stay in the executor's memory while later steps run.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The same rows, computed once and kept where a lost executor cannot take them away."""
     shared_folder(df.sparkSession)
@@ -114,7 +142,7 @@ def by_bitmap(df: DataFrame, cell: str, raw: Broadcast, wanted: bool) -> DataFra
             here = in_bitmap(raw.value, batch.column(cell).to_numpy(zero_copy_only=False))
             yield batch.filter(pa.array(here == wanted))
 
-    return df.mapInArrow(pick, df.schema)
+    return df.mapInArrow(giving_back(pick), df.schema)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracemill.llm.common import text_batches
+from tracemill.llm.common import giving_back, text_batches
 
 UNKNOWN = "und"
 SIZES = (1, 2, 3)
@@ -117,7 +117,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", bits: int = 1
                 "n": pa.array(total[filled], pa.int64()),
             })
 
-    counted = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
+    counted = rows.mapInArrow(giving_back(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
         F.sum("n").alias("n")
     ).toArrow().to_pydict()
     languages = sorted(set(counted["lang"]))
@@ -179,7 +179,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", names: t
                     names=[*part.schema.names, predicted, score],
                 )
 
-    return docs.mapInArrow(tag, schema)
+    return docs.mapInArrow(giving_back(tag), schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.common import KEY_BITS, Tables, bitmap, by_bitmap, small_batches, smallest_reachable, text_batches
+from tracemill.llm.common import KEY_BITS, Tables, bitmap, by_bitmap, giving_back, small_batches, smallest_reachable, text_batches
 from tracemill.llm.hashing import Words, mix, signed
 
 NGRAM = 5
@@ -141,7 +141,7 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array((np.arange(len(values) + 1) * bands).astype(np.int32)), pa.array(signed(values.ravel()))),
                 ], names=["doc", "class", "bands"])
 
-    return docs.where("doc is not null").mapInArrow(sign, f"doc {kind}, class binary, bands array<long>")
+    return docs.where("doc is not null").mapInArrow(giving_back(sign), f"doc {kind}, class binary, bands array<long>")
 
 
 def gram_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -156,7 +156,7 @@ def gram_sets(docs: DataFrame, size: int) -> DataFrame:
                 sets = [raw[first[d] : first[d + 1]] for d in grams.filled]
                 yield pa.RecordBatch.from_arrays([_binary(grams.keys()), pa.array(sets, pa.binary())], names=["class", "grams"])
 
-    return docs.select("text").mapInArrow(gather, "class binary, grams binary")
+    return docs.select("text").mapInArrow(giving_back(gather), "class binary, grams binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -182,7 +182,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 names=["a", "b", "similarity"],
             )
 
-    return both.mapInArrow(judge, "a binary, b binary, similarity double")
+    return both.mapInArrow(giving_back(judge), "a binary, b binary, similarity double")
 
 
 def shared_counts(sets: list[np.ndarray]) -> Iterator[np.ndarray]:
@@ -272,7 +272,7 @@ def differences(both: DataFrame) -> DataFrame:
             )
 
     return both.select("class", "label", "parts", "grams", "base").mapInArrow(
-        differ, "class binary, label binary, parts int, base long, missing long, diff binary, distance double"
+        giving_back(differ), "class binary, label binary, parts int, base long, missing long, diff binary, distance double"
     )
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracemill.llm.common import checkpointed, small_batches
+from tracemill.llm.common import checkpointed, giving_back, small_batches
 from tracemill.llm.tokens import TokenEncoder, default_path
 
 SEQUENCE = 1024
@@ -68,7 +68,7 @@ def encoded_pieces(docs: DataFrame, text: str = "text", keep: tuple[str, ...] =
                 columns.append(pa.array(values, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(F.col(text).alias("text"), *keep).mapInArrow(cut, schema)
+    return docs.select(F.col(text).alias("text"), *keep).mapInArrow(giving_back(cut), schema)
 
 
 @dataclass
@@ -149,7 +149,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
                 offset[mine] = slot[k]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequence), pa.array(offset)], names=schema.names)
 
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(giving_back(place), schema)
 
 
 def pack_documents(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), size: int = SEQUENCE,

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracemill.llm.common import KEY_BITS, bitmap, by_bitmap, checkpointed, fresh, in_bitmap, text_batches
+from tracemill.llm.common import KEY_BITS, bitmap, by_bitmap, checkpointed, fresh, giving_back, in_bitmap, text_batches
 from tracemill.llm.hashing import Words, mix, running_min, signed
 
 WINDOW = 50
@@ -115,7 +115,7 @@ def repeated_cells(docs: DataFrame, text: str, window: int, anchor: int, bits: i
         if size:
             yield emit()
 
-    cells = docs.select(text).mapInArrow(sketch, "cell int, n int").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = docs.select(text).mapInArrow(giving_back(sketch), "cell int, n int").groupBy("cell").agg(F.sum("n").alias("n"))
     return bitmap(cells.where("n >= 2"), SKETCH_ROWS << bits)
 
 
@@ -149,7 +149,7 @@ def _candidates(docs: DataFrame, window: int, anchor: int, bits: int) -> DataFra
 
     kind = docs.schema["doc"].dataType.simpleString()
     return docs.where("doc is not null").mapInArrow(
-        find, f"doc {kind}, version long, anchor long, run long, start int, count int, windows array<long>"
+        giving_back(find), f"doc {kind}, version long, anchor long, run long, start int, count int, windows array<long>"
     )
 
 
@@ -243,7 +243,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     others = placed.select(*(f.name for f in fields), cell)
-    return joined.mapInArrow(cut, schema).union(others.mapInArrow(leave, schema))
+    return joined.mapInArrow(giving_back(cut), schema).union(others.mapInArrow(giving_back(leave), schema))
 
 
 def _without(raw: bytes, start: np.ndarray, covered: np.ndarray) -> bytes:
