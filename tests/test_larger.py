@@ -62,3 +62,13 @@ def test_pieces_read_the_traces_once(spark, sf):
 
     D.text_pieces(Q.valid(spark, sf), Q.rows(spark, sf), Q.CFG, 100, stage)
     assert [label for label, _ in labels] == ["traces", "ranges"] and labels[1][1] == 0
+
+
+def test_states_hold_rows_and_not_text(spark, tmp_path):
+    """Every row of a touched trace was written as JSON and read back, its earlier rows with each batch."""
+    from tracemill.streaming.history import with_history
+
+    logs_frame(spark, [log("a", "m")]).write.parquet(str(tmp_path / "in"))
+    found = with_history(L.stream_logs(spark, str(tmp_path / "in")))
+    text = found._jdf.queryExecution().analyzed().toString()
+    assert "to_json" not in text and "from_json" not in text
