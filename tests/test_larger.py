@@ -72,3 +72,13 @@ def test_states_hold_rows_and_not_text(spark, tmp_path):
     found = with_history(L.stream_logs(spark, str(tmp_path / "in")))
     text = found._jdf.queryExecution().analyzed().toString()
     assert "to_json" not in text and "from_json" not in text
+
+
+def test_partial_traces_are_counted_without_a_join(spark):
+    """Every row of the table went through the driver, or was shuffled and sorted for a join."""
+    table = logs_frame(spark, [log(c, f"m {i}", at=i, seq=i) for i, c in enumerate("abcabd")] + [log(None, "m", at=9, seq=9)] * 2)
+    batch = table.where("rowSeq > 3").unionByName(logs_frame(spark, [log("new", "m", at=5, seq=20)]))
+    found = L.partial_traces(batch, table)
+    text = plan(found)
+    assert "Join" not in text and "BroadcastExchange" not in text and text.count("Exchange hashpartitioning") == 1
+    assert [tuple(r) for r in found.select("correlationId", "n", "total").collect()] == [("b", 1, 2)]
