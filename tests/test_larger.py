@@ -82,3 +82,59 @@ def test_partial_traces_are_counted_without_a_join(spark):
     text = plan(found)
     assert "Join" not in text and "BroadcastExchange" not in text and text.count("Exchange hashpartitioning") == 1
     assert [tuple(r) for r in found.select("correlationId", "n", "total").collect()] == [("b", 1, 2)]
+
+
+ODD_ROWS = [
+    log("a", "TimeoutError: upstream 10.0.0.1 silent", "error", at=3), log("a", "Retrying, FALLBACK used", "warning", at=2, logger=""),
+    log("a", "oom: retry", at=2, seq=9), log("a", "oom: retry", at=2, seq=9), log("a", "x", "debug", at=2, seq=1, logger="b"),
+    log("b", None, at=1), log("b", "panic", "bogus", at=2, logger=None), log("c", "User did", None, at=5, meta="[1]"),
+    log("d", "calm", at=5, meta='{"error_type": "Disk"}', status=503, path="/users/7", method="GET"),
+    log("d", "CrashFailure", "critical", timestamp=None, seq=3), log("e", ": blank", at=1), log("e", "Straße ΟΔΟΣ", at=4, meta="not json"),
+    log(None, "deadlock", at=1), log("f", "no project", at=1, project=None), log("f", "12:30 tick", at=1, seq=0, exception="[2]"),
+    log("g", "wait", at=7, meta="NaN"), log("g", "bad\x01level", "trace", at=8), log("g", "fine", "warn", at=9),
+]
+
+
+def packed_table(spark, entries):
+    """Rows as the streaming job hands them on, every other one from an earlier batch."""
+    from tracemill import schemas as S
+    from tracemill.operators.rows import packed_rows
+    from tests.helpers import AS_OF
+
+    at = F.timestamp_seconds(F.when(F.col("rowSeq") % 2 == 0, 100).otherwise(50))
+    item = F.struct(at.alias("at"), F.struct(*S.LOGS.names).alias("row"))
+    lists = logs_frame(spark, entries).groupBy("correlationId").agg(F.collect_list(item).alias("items"), F.count("*").alias("n"))
+    return packed_rows(lists.withColumn("batch_at", F.timestamp_seconds(F.lit(100))), AS_OF)
+
+
+def test_packed_traces_have_the_features_of_their_rows(spark, monkeypatch):
+    from tracemill.config import EngineConfig
+    from tracemill.operators import traces as O
+    from tracemill.operators.rows import unpacked
+
+    packed = packed_table(spark, ODD_ROWS)
+    expected = sorted(map(str, O.trace_features(unpacked(packed), EngineConfig()).collect()))
+    assert len(expected) == 8
+    for longest in (10_000, 2, 0):
+        monkeypatch.setattr(O, "LONG_TRACE", longest)
+        assert sorted(map(str, O.trace_features(packed, EngineConfig()).collect())) == expected
+
+
+def test_packed_traces_are_folded_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Rows of a trace came out of the state together, and were dealt out and sorted twice to be together again."""
+    import tracemill.streaming.ingest as ingest
+    from tests.test_state import ENTRIES, store_of
+    from tracemill.config import EngineConfig
+    from tracemill.operators.rows import is_packed
+    from tracemill.operators.traces import folded_lists
+
+    given, judge = [], ingest.run_batch
+
+    def noted(rows, *args, **options):
+        text = plan(folded_lists(rows, EngineConfig()))
+        given.append(is_packed(rows) and "Exchange" not in text and "Sort " not in text)
+        return judge(rows, *args, **options)
+
+    monkeypatch.setattr(ingest, "run_batch", noted)
+    store_of(spark, tmp_path, ENTRIES, ENTRIES[:2])
+    assert given == [True, True]
