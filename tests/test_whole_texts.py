@@ -1,5 +1,6 @@
 """Documents hold every line of their trace, however long they are together."""
 
+import json
 from dataclasses import replace
 from datetime import datetime
 
@@ -8,10 +9,12 @@ from pyspark.sql import functions as F
 
 from catalog import queries as Q
 from tests.helpers import AS_OF, log, logs_frame
+from tests.test_features import nested
 from tracemill.config import EngineConfig
 from tracemill.operators import documents as D
 from tracemill.operators.rows import flat_rows
 from tracemill.operators.traces import trace_features, valid_traces
+from tracemill.streaming.nested import NestedStore, run_nested, stream_raw_traces
 
 
 def test_long_lines_are_in_the_text(spark):
@@ -43,3 +46,12 @@ def test_streamed_documents_are_whole(spark, tmp_path, monkeypatch, name):
         "TimeoutError: upstream 10.0.0.9:8080 silent for 5 ms at 0x1009. Outcome: failure, 404, 10ms"
     )
     assert len(texts) == 3 and all("TimeoutError" in text for text in texts.values())
+
+
+def test_nested_documents_are_whole(spark, tmp_path):
+    incoming, store = tmp_path / "in", NestedStore(spark, str(tmp_path / "store"))
+    incoming.mkdir()
+    (incoming / "1.json").write_text(json.dumps(nested("a", message="a message of its own")) + "\n")
+    cfg = replace(EngineConfig.standalone(), whole_text_chars=10)
+    run_nested(stream_raw_traces(spark, str(incoming)), store, lambda batch_id: AS_OF, cfg).awaitTermination()
+    assert [r.semantic_text for r in store.documents().collect()] == ["Service: orders. a message of its own. Outcome: success"]
