@@ -35,7 +35,7 @@ def events(spark, path):
     table.write.parquet(f"{path}/events.parquet")
 
 
-@pytest.mark.parametrize("name", ["idempotent_replay", "late_rows", "merge_on_duplicate"])
+@pytest.mark.parametrize("name", ["idempotent_replay", "late_rows", "merge_on_duplicate", "stream_ingest"])
 def test_streamed_documents_are_whole(spark, tmp_path, monkeypatch, name):
     """A trace with more characters of lines than a limit lost them, and nothing else held them."""
     events(spark, str(tmp_path))
